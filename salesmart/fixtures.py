@@ -34,8 +34,8 @@ def cents(amount: Column) -> Column:
     return amount.cast("decimal(12,2)")
 
 
-def sales(spark: SparkSession, sf_dir: str, monthly: bool = False) -> DataFrame:
-    """Sales with their change operation; ``monthly`` books them on the first of the month.
+def sales(spark: SparkSession, sf_dir: str, quarterly: bool = False) -> DataFrame:
+    """Sales with their change operation; ``quarterly`` books them on the first day of the quarter.
 
     The small tables are joined to the orders first, so the order lines, by far
     the largest table, are shuffled for two joins only.
@@ -51,7 +51,7 @@ def sales(spark: SparkSession, sf_dir: str, monthly: bool = False) -> DataFrame:
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     )
-    booked = F.date_trunc("month", "l_shipdate") if monthly else F.col("l_shipdate")
+    booked = F.date_trunc("quarter", "l_shipdate") if quarterly else F.col("l_shipdate")
     discount = F.round(F.col("l_discount") * 100).cast("int")
     price = cents(F.col("l_extendedprice")).cast("decimal(10,2)")
     return lines.select(

@@ -3,38 +3,31 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.operators.keys import distinct_keys
 
 
 def load_audit(listing: DataFrame, details: DataFrame, keys: Sequence[str], date_column: str) -> DataFrame:
-    """Per load date: rows listed, rows with details, rows without."""
+    """Per load date: rows listed, rows with details, rows without.
+
+    The listing is counted per key before the join, so a key listed very often
+    joins as one row.
+    """
+    listed = listing.groupBy(*dict.fromkeys([*keys, date_column])).agg(F.count(F.lit(1)).alias("_listed"))
     found = distinct_keys(details, keys).withColumn("_found", F.lit(True))
-    listed = F.count(F.lit(1))
-    detailed = F.count("_found")
+    total = F.sum("_listed")
+    detailed = F.sum(F.when(F.col("_found"), F.col("_listed")).otherwise(0))
     return (
-        listing.select(*dict.fromkeys([*keys, date_column]))
-        .join(found, list(keys), "left")
+        listed.join(found, list(keys), "left")
         .groupBy(date_column)
-        .agg(listed.alias("listed"), detailed.alias("detailed"), (listed - detailed).alias("missing"))
+        .agg(total.alias("listed"), detailed.alias("detailed"), (total - detailed).alias("missing"))
     )
 
 
-def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    """Run ``write`` and return how many rows went through it, without a second scan."""
-    seen = Observation()
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    try:
-        return seen.get["rows"]
-    except Py4JJavaError:
-        return 0  # AQE found the input empty and left the count out of the plan
-
-
 def next_load_date(target: DataFrame, first: dt.date, date_column: str = "load_date") -> dt.date:
     """The day after the last loaded one, or ``first`` for an empty target."""
     last = target.agg(F.max(date_column)).first()[0]

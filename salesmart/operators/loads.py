@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from salesmart.functions.times import moment_literal, months_later
-from salesmart.operators.audit import counted_write
-from salesmart.operators.keys import absent_rows, upserted
+from salesmart.operators.keys import absent_rows, distinct_keys, upserted
 from salesmart.operators.retention import keep_recent
 from salesmart.session import working_folder
 from salesmart.sources.lake import read_day, read_dataset, write_dataset
@@ -45,15 +44,15 @@ def replace_date(
     day: dt.date,
     date_column: str = "load_date",
     partition_by: Sequence[str] = (),
-) -> None:
-    """Replace all rows of one date by the batch rows of that date.
+) -> int:
+    """Replace all rows of one date by the batch rows of that date; returns their number.
 
     It overwrites the date's own folder, so further partitions below it that the
     batch does not have vanish too, and a batch without rows empties the date.
     The batch must not read the table itself.
     """
     rows = batch.filter(F.col(date_column) == F.lit(day)).drop(date_column)
-    write_dataset(
+    return write_dataset(
         rows,
         date_folder(path, date_column, day),
         partition_by,
@@ -134,22 +133,31 @@ def upsert_by_key(
     keys: Sequence[str],
     date_column: str = "load_date",
     key_implies_date: bool | None = None,
+    days: Sequence[dt.date | None] | None = None,
 ) -> list[dt.date | None]:
     """Replace the table rows that share a key with the batch, add the rest; returns the dates rewritten.
 
-    Where the key holds or implies the date, only the batch's dates are read.
-    Otherwise the key columns of the table are searched for other dates to rewrite.
+    ``days`` are the batch's dates, where the caller knows them. Where the key
+    holds or implies the date, only these dates are read. Otherwise the key
+    columns of the table are searched for other dates to rewrite.
+
+    The batch's distinct keys are written beside the table first: the join then
+    knows their size, and as it joins two plain scans, AQE can split a table key
+    that holds very many rows.
     """
     spark = batch.sparkSession
+    beside = working_folder(spark, "keys")
+    distinct_keys(batch, keys).write.parquet(beside)
+    new_keys = read_dataset(spark, beside, batch.select(*keys).schema)
     table = open_table(spark, path, table_schema(batch, [date_column]), [date_column])
-    days = dates_of(batch, date_column)
+    days = list(dates_of(batch, date_column) if days is None else days)
     if key_implies_date is None:
         key_implies_date = date_column in keys
     if not key_implies_date:
-        moved = table.join(batch.select(*keys).distinct(), list(keys), "left_semi")
+        moved = table.join(new_keys, list(keys), "left_semi")
         days += [day for day in dates_of(moved, date_column) if day not in days]
     touched = on_dates(table, date_column, days)
-    rewrite_dates(upserted(touched, batch, keys), path, days, date_column)
+    rewrite_dates(upserted(touched, batch, keys, new_keys), path, days, date_column)
     return days
 
 
@@ -193,7 +201,7 @@ def insert_if_absent(
     schema = table_schema(batch, [date_column])
     table = open_table(batch.sparkSession, path, schema, [date_column])
     new_rows = absent_rows(batch, on_dates(table, date_column, days), keys)
-    return counted_write(new_rows, lambda df: write_dataset(df, path, [date_column]))
+    return write_dataset(new_rows, path, [date_column])
 
 
 def load_together(
@@ -217,18 +225,19 @@ def load_day(
     lake_path: str,
     schema: StructType,
     day: dt.date,
-    write: Callable[[DataFrame], None],
+    write: Callable[[DataFrame], int],
     date_column: str = "event_date",
 ) -> int:
-    """Hand one day of the lake to ``write``; returns the number of rows, 0 without writing for an empty day.
+    """Hand one day of the lake to ``write``; an empty day is not written.
 
-    The emptiness check stops at the first row found; the rows are counted while
-    they are written.
+    ``write`` is ``append_jdbc``, ``replace_date`` or the like and returns the
+    number of rows. The emptiness check stops at the first row it finds, and the
+    rows are counted while they are written, so the day is not scanned twice.
     """
     rows = read_day(spark, lake_path, day, schema, date_column)
     if rows.isEmpty():
         return 0
-    return counted_write(rows, write)
+    return write(rows)
 
 
 def expire_rows(

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from salesmart.sources.lake import spread_for_write
@@ -82,7 +82,7 @@ def full_refresh(
     database, _, plain = name.rpartition(".")
     prefix = f"{database}." if database else ""
     earlier = builds_of(spark, name)
-    build = f"{prefix}{plain}__build_{len(earlier) and int(earlier[-1][-9:]) + 1:09d}"
+    build = f"{prefix}{plain}__build_{dt.datetime.now(dt.UTC):%Y%m%d%H%M%S%f}"
     writer = spread_for_write(df, partition_by).write.format("parquet").options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)

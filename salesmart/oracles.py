@@ -19,8 +19,8 @@ def half_up(numerator: str, denominator: str) -> str:
     return f"((2 * ({numerator}) + ({denominator})) // (2 * ({denominator})))"
 
 
-def sales_cte(monthly: bool = False) -> str:
-    booked = "date_trunc('month', l_shipdate)::TIMESTAMP" if monthly else "l_shipdate"
+def sales_cte(quarterly: bool = False) -> str:
+    booked = "date_trunc('quarter', l_shipdate)::TIMESTAMP" if quarterly else "l_shipdate"
     return f"""
 WITH lines AS (
     SELECT *,
@@ -75,9 +75,9 @@ LAKE = f"""{SALE}, cdc_op,
 FIRST_IMAGES = "cdc_op IN ('c', 'r')"
 
 
-def daily_mart(monthly: bool) -> str:
+def daily_mart(quarterly: bool) -> str:
     rated = "rating BETWEEN 1 AND 5"
-    return f"""{sales_cte(monthly)}
+    return f"""{sales_cte(quarterly)}
 SELECT event_date, region, category,
     count(*) AS total_orders,
     count(DISTINCT order_id) AS unique_orders,
@@ -134,7 +134,7 @@ FROM lineitem JOIN part ON l_partkey = p_partkey"""
 
 # Lake
 
-ORACLES["lake_day_scan"] = f"{sales_cte(True)} SELECT {LAKE} FROM sales WHERE event_date = '1998-03-01'"
+ORACLES["lake_day_scan"] = f"{sales_cte(True)} SELECT {LAKE} FROM sales WHERE event_date = '1998-04-01'"
 ORACLES["jdbc_day_load"] = ORACLES["lake_day_scan"]
 ORACLES["stream_cdc_to_lake"] = f"{sales_cte(True)} SELECT {LAKE} FROM sales WHERE {FIRST_IMAGES}"
 

@@ -37,7 +37,7 @@ from salesmart.streaming.mart import start_mart_stream
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed values the queries and their SQL share.
-LAKE_DAY = dt.date(1998, 3, 1)
+LAKE_DAY = dt.date(1998, 4, 1)
 REPLACED_DATE = dt.date(2026, 3, 20)
 LAST_LOADED = dt.date(2026, 3, 17)
 FIRST_DATE = dt.date(2026, 3, 15)
@@ -151,7 +151,7 @@ def price_derivation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lake_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = working_folder(spark, "lake")
-    write_dataset(fx.lake_rows(fx.sales(spark, sf_dir, monthly=True)), path)
+    write_dataset(fx.lake_rows(fx.sales(spark, sf_dir, quarterly=True)), path)
     return read_day(spark, path, LAKE_DAY, model.LAKE_SCHEMA)
 
 
@@ -164,7 +164,7 @@ def replayed_lake(spark: SparkSession, records: str, lake: str, checkpoint: str)
 @query
 def stream_cdc_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = working_folder(spark, "stream")
-    fx.change_records(fx.sales(spark, sf_dir, monthly=True)).write.parquet(f"{folder}/records")
+    fx.change_records(fx.sales(spark, sf_dir, quarterly=True)).write.parquet(f"{folder}/records")
     replayed_lake(spark, f"{folder}/records", f"{folder}/lake", f"{folder}/checkpoint")
     return read_dataset(spark, f"{folder}/lake", model.LAKE_SCHEMA)
 
@@ -173,10 +173,10 @@ def stream_cdc_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 def jdbc_day_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = working_folder(spark, "day-load")
     lake, warehouse = f"{folder}/lake", f"{folder}/warehouse"
-    write_dataset(fx.lake_rows(fx.sales(spark, sf_dir, monthly=True)), lake)
+    write_dataset(fx.lake_rows(fx.sales(spark, sf_dir, quarterly=True)), lake)
 
-    def sink(rows: DataFrame) -> None:
-        loads.replace_date(rows, warehouse, LAKE_DAY, "event_date", ["region"])
+    def sink(rows: DataFrame) -> int:
+        return loads.replace_date(rows, warehouse, LAKE_DAY, "event_date", ["region"])
 
     for _ in range(2):  # the second run replaces what the first one loaded
         loads.load_day(spark, lake, model.LAKE_SCHEMA, LAKE_DAY, sink)
@@ -209,7 +209,7 @@ def mart_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change records arrive channel by channel; both streams restart after each arrival."""
     folder = working_folder(spark, "incremental")
-    sales = fx.sales(spark, sf_dir, monthly=True)
+    sales = fx.sales(spark, sf_dir, quarterly=True)
     for channel in ("F", "O", "P"):
         arrived = fx.change_records(sales.filter(F.col("channel") == channel))
         arrived.write.mode("append").parquet(f"{folder}/records")
@@ -403,7 +403,7 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = folder.rsplit("/", 1)[-1].replace("-", "_")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
     name = f"{database}.mart_sales_daily"
-    rows = fx.lake_rows(fx.sales(spark, sf_dir, monthly=True))
+    rows = fx.lake_rows(fx.sales(spark, sf_dir, quarterly=True))
     for kept in (rows.filter(F.col("cdc_op") == "c"), rows):
         mart = model.daily_mart(model.staged_sales(kept))
         tables.full_refresh(tables.commented(mart, {"event_date": "day of the sale"}), name)

@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from salesmart.sources.counts import counting
+
 BATCH_ROWS = 10_000
 
 
@@ -18,8 +20,8 @@ def append_jdbc(
     batch_rows: int = BATCH_ROWS,
     connections: int = 16,
     mode: str = "append",
-) -> None:
-    """Append over JDBC with at most ``connections`` open at a time.
+) -> int:
+    """Append over JDBC with at most ``connections`` open at a time; returns the number of rows.
 
     Each task inserts in one transaction, so a failed task leaves nothing behind.
     A task whose commit succeeded but whose report was lost is run again and
@@ -27,8 +29,9 @@ def append_jdbc(
     ignores repeats, or load a day table with ``mode="overwrite"`` instead.
     ``overwrite`` empties the table and keeps its definition.
     """
+    counted, rows = counting(df)
     (
-        df.write.format("jdbc")
+        counted.write.format("jdbc")
         .option("url", url)
         .option("dbtable", table)
         .option("driver", driver)
@@ -39,3 +42,4 @@ def append_jdbc(
         .mode(mode)
         .save()
     )
+    return rows()

@@ -50,11 +50,11 @@ def parse_changes(records: DataFrame) -> DataFrame:
     text = F.col("value").cast("string")
     parsed = records.select(
         F.from_json(text, f"payload STRUCT<{ENVELOPE}>, {ENVELOPE}").alias("doc"),
-        text.alias("text"),
+        "value",
         F.col("timestamp").alias("ingest_ts"),
     )
     bare = F.struct("doc.before", "doc.after", "doc.op", "doc.ts_ms")
-    quoted = F.from_json(F.get_json_object("text", "$.payload"), ENVELOPE)
+    quoted = F.from_json(F.get_json_object(text, "$.payload"), ENVELOPE)
     event = F.coalesce("doc.payload", F.when(F.col("doc.op").isNotNull(), bare), quoted)
     return parsed.select(event.alias("event"), "ingest_ts")
 

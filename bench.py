@@ -37,8 +37,6 @@ def main() -> None:
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="12g",
         spark__sql__shuffle__partitions=cpus,
-        # Tables of a few MB: without it AQE would leave a write to one task.
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="4m",
     )
     spark.sparkContext.setLogLevel("ERROR")
     cold, warm = {}, {}

@@ -88,7 +88,7 @@ def lake_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def change_records(rows: DataFrame) -> DataFrame:
+def change_records(rows: DataFrame, *extra: str) -> DataFrame:
     """Sales as change records: bare envelopes for channel F, wrapped ones for the others.
 
     Updates and deletes carry the row before the change, deletes nothing after it.
@@ -111,7 +111,7 @@ def change_records(rows: DataFrame) -> DataFrame:
     text = F.when(F.col("channel") == "F", F.to_json(envelope, keep_nulls)).otherwise(
         F.to_json(F.struct(envelope.alias("payload")), keep_nulls)
     )
-    return rows.select(text.cast("binary").alias("value"), F.col("cdc_ts").alias("timestamp"))
+    return rows.select(text.cast("binary").alias("value"), F.col("cdc_ts").alias("timestamp"), *extra)
 
 
 def load_date_of(number: Column) -> Column:

@@ -210,8 +210,9 @@ def mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change records arrive channel by channel; both streams restart after each arrival."""
     folder = working_folder(spark, "incremental")
     sales = fx.sales(spark, sf_dir, quarterly=True)
+    fx.change_records(sales, "channel").write.partitionBy("channel").parquet(f"{folder}/all")
     for channel in ("F", "O", "P"):
-        arrived = fx.change_records(sales.filter(F.col("channel") == channel))
+        arrived = spark.read.parquet(f"{folder}/all").filter(F.col("channel") == channel).drop("channel")
         arrived.write.mode("append").parquet(f"{folder}/records")
         replayed_lake(spark, f"{folder}/records", f"{folder}/lake", f"{folder}/lake-checkpoint")
         start_mart_stream(

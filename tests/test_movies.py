@@ -1,0 +1,94 @@
+import datetime as dt
+import json
+from decimal import Decimal
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from salesmart.operators.pages import flatten_pages, union_pages
+from salesmart.plans import movies
+
+D1, D2 = dt.date(2026, 3, 15), dt.date(2026, 3, 16)
+RAW = "id BIGINT, load_date DATE, movie_id BIGINT, payload STRING, ingested_at TIMESTAMP"
+
+
+def raw(spark, *items):
+    at = dt.datetime(2026, 3, 15, 8)
+    return spark.createDataFrame([(i, d, m, json.dumps(p), at) for i, (d, m, p) in enumerate(items)], RAW)
+
+
+LISTED = {
+    "title": "A", "original_title": "A0", "original_language": "en", "overview": "", "release_date": "2026-03-14",
+    "popularity": 7.25, "vote_average": "", "vote_count": 12, "adult": False, "video": "true",
+    "poster_path": None, "genre_ids": [1, 2],
+}
+
+
+def test_listing(spark):
+    row = movies.stage_listing(raw(spark, (D1, 10, LISTED))).first().asDict()
+    assert row["raw_id"] == 0 and row["movie_id"] == 10 and row["load_date"] == D1
+    assert row["release_date"] == dt.date(2026, 3, 14) and row["popularity"] == Decimal("7.25")
+    assert (row["vote_average"], row["vote_count"], row["is_adult"], row["is_video"]) == (None, 12, False, True)
+    assert (row["overview"], row["poster_path"], row["backdrop_path"]) == ("", None, None)
+    assert row["genre_ids_json"] == "[1,2]" and json.loads(row["raw_payload"]) == LISTED
+
+
+def test_one_load_date(spark):
+    table = raw(spark, (D1, 1, LISTED), (D2, 2, LISTED))
+    assert [r["movie_id"] for r in movies.stage_listing(table, D2).collect()] == [2]
+    assert movies.stage_listing(table).count() == 2
+
+
+def test_bad_value(spark):
+    table = raw(spark, (D1, 1, LISTED | {"vote_count": "many"}))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        movies.stage_listing(table).collect()
+    assert movies.stage_listing(table, lenient=True).first()["vote_count"] is None
+
+
+def test_details_and_their_mart(spark):
+    detail = {
+        "title": "A", "original_language": "en", "runtime": 95, "budget": 30_000_000_000, "revenue": "",
+        "release_date": "", "genres": [{"id": 3, "name": "x"}], "spoken_languages": [], "status": "Released",
+    }
+    staged = movies.stage_details(raw(spark, (D1, 10, detail)), with_row_key=False)
+    assert "stage_row_key" not in staged.columns
+    row = staged.first()
+    assert (row["genres_json"], row["spoken_languages_json"]) == ('[{"id":3,"name":"x"}]', "[]")
+    assert row["movie_status"] == "Released" and row["production_companies_json"] is None
+    mart = movies.mart_from_details(staged, D1)
+    assert tuple(mart.columns) == movies.DETAIL_MART
+    assert tuple(mart.first()) == (D1, 10, "A", "en", None, 95, 30_000_000_000, None, None, None, None)
+
+
+def test_mart_keeps_listed_movies_without_details(spark):
+    listing = movies.stage_listing(raw(spark, (D1, 1, LISTED), (D1, 2, LISTED), (D2, 1, LISTED)))
+    details = movies.stage_details(raw(spark, (D1, 1, {"runtime": 90, "popularity": 99}), (D2, 2, {"runtime": 80})))
+    mart = movies.mart_from_listing(listing, details)
+    found = {(r["load_date"], r["movie_id"]): (r["runtime_minutes"], r["popularity"]) for r in mart.collect()}
+    assert found == {(D1, 1): (90, Decimal("7.25")), (D1, 2): (None, Decimal("7.25")), (D2, 1): (None, Decimal("7.25"))}
+    assert mart.select("mart_row_key").distinct().count() == 3
+    assert movies.mart_from_listing(listing, details, D2).count() == 1
+
+
+def test_landed_records_keep_their_last_form(spark):
+    records = spark.createDataFrame([(1, "old", 1), (2, "only", 2), (1, None, 3)], "id BIGINT, title STRING, seq INT")
+    landed = movies.land_documents(records, F.lit(D1), order_by="seq")
+    assert rows(landed) == [(D1, 1, '{"id":1,"title":null}'), (D1, 2, '{"id":2,"title":"only"}')]
+
+
+def test_pages(spark):
+    bodies = [
+        ("a", 1, '{"results": [{"id": 1}, {"id": 2}]}'),
+        ("a", 2, '{"results": [{"id": 2}]}'),
+        ("a", 3, '{"results": [{"id": 9}]}'),
+        ("b", 1, '{"page": 1}'),
+        ("b", 2, '{"results": []}'),
+        ("c", 1, '{"results": null}'),
+    ]
+    table = spark.createDataFrame(bodies, "listing STRING, page INT, body STRING")
+    typed = flatten_pages(table, "STRUCT<id: BIGINT>", max_pages=2).select("listing", "page", "item.id")
+    assert rows(typed) == [("a", 1, 1), ("a", 1, 2), ("a", 2, 2)]
+    as_text = flatten_pages(union_pages(table, table), "STRING")
+    assert rows(as_text.filter("page = 3")) == [("a", 3, '{"id":9}')] * 2

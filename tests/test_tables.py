@@ -1,0 +1,103 @@
+import datetime as dt
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from salesmart.operators import tables
+from salesmart.operators.quality import check_report, null_counts, repeated_keys, require
+from salesmart.sources.lake import write_dataset
+
+
+@pytest.fixture
+def database(spark, folder):
+    name = f"db_{Path(folder).name}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}/{name}'")
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_literal_rows_with_arrays(spark, database):
+    name = f"{database}.orders"
+    columns = "order_id SMALLINT, user_id SMALLINT, order_date TIMESTAMP, total_amount BIGINT, paid BOOLEAN, items ARRAY<BIGINT>"
+    tables.create_table(spark, name, columns)
+    tables.create_table(spark, name, columns)  # exists already
+    row = (1, 100, dt.datetime(2024, 5, 10, 14, 30), 1000, True, [11, 21, 6])
+    tables.insert_rows(spark, name, [row], columns)
+    assert rows(spark.table(name)) == [row]
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_ALREADY_EXISTS"):
+        tables.create_table(spark, name, columns, if_not_exists=False)
+    tables.drop_table(spark, name)
+    tables.drop_table(spark, name)
+    assert not spark.catalog.tableExists(name)
+
+
+def test_default_stored_and_derived_columns(spark, database):
+    name = f"{database}.computed"
+    tables.create_table(spark, name, "id INT, col_default BIGINT DEFAULT 42, day DATE COMMENT 'Some comment'")
+    tables.insert_rows(spark, name, [(1,)], "id INT")
+    tables.insert_rows(spark, name, [(2, None)], "id INT, col_default BIGINT")
+    assert rows(spark.table(name)) == [(1, 42, None), (2, None, None)]
+    assert [f.metadata.get("comment") for f in spark.table(name).schema] == [None, None, "Some comment"]
+    df = spark.createDataFrame([(1, 5)], "id INT, col_default INT")
+    derived = {"col_alias": F.col("col_default") + 1}
+    assert rows(tables.with_computed(df, {"col_default": F.lit(42)}, derived)) == [(1, 5, 6)]
+    assert rows(tables.with_computed(df.select("id"), {"col_default": F.lit(42)}, derived)) == [(1, 42, 43)]
+
+
+def test_full_refresh_switches_whole_builds(spark, database):
+    name = f"{database}.mart"
+    first = spark.createDataFrame([(1, "EU")], "n INT, region STRING")
+    build = tables.full_refresh(tables.commented(first, {"n": "a number"}), name)
+    assert rows(spark.table(name)) == [(1, "EU")]
+    assert spark.table(build).schema["n"].metadata["comment"] == "a number"
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        tables.full_refresh(first.select((F.col("n") / (F.col("n") - 1)).alias("n")), name)
+    assert rows(spark.table(name)) == [(1, "EU")]
+    wider = spark.createDataFrame([(2, "007", 3.5), (3, None, 1.0)], "n INT, region STRING, x DOUBLE")
+    for _ in range(3):
+        tables.full_refresh(wider, name, ["region"])
+    assert rows(spark.table(name).select("n", "region", "x")) == [(2, "007", 3.5), (3, None, 1.0)]
+    assert len(tables.builds_of(spark, name)) == 2
+
+
+def test_refresh_may_read_the_table_it_replaces(spark, database):
+    name = f"{database}.mart"
+    tables.full_refresh(spark.range(3).toDF("n"), name)
+    tables.full_refresh(spark.table(name).select((F.col("n") + 10).alias("n")), name)
+    assert rows(spark.table(name)) == [(10,), (11,), (12,)]
+
+
+def test_sorted_files_hold_ranges_and_split_a_hot_key(spark, folder):
+    df = spark.range(20000).select(F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") % 1000).alias("k"), "id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tables.write_sorted(df, f"{folder}/s", ["k"], spread_by=["id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    files = [pq.read_table(f).to_pylist() for f in sorted(Path(f"{folder}/s").glob("*.parquet"))]
+    pairs = [[(r["k"], r["id"]) for r in part] for part in files]
+    assert all(part == sorted(part) for part in pairs)
+    assert [p for part in pairs for p in part] == sorted(p for part in pairs for p in part)
+    assert max(map(len, pairs)) < 20000 * 0.4 and sum(map(len, pairs)) == 20000
+
+
+def test_compression(spark, folder):
+    write_dataset(spark.range(10), f"{folder}/z", (), options=tables.compression("zstd", 10))
+    file = next(Path(f"{folder}/z").glob("*.parquet"))
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_checks(spark):
+    df = spark.createDataFrame([(1, None), (1, 2), (None, 3), (None, 4), (5, 2)], "a INT, b INT")
+    assert rows(null_counts(df, ["a", "b"])) == [("a", 2), ("b", 1)]
+    assert rows(repeated_keys(df, ["a"])) == [(1, 2)]
+    assert rows(repeated_keys(df, ["a", "b"])) == []
+    report = check_report(df, not_null=["a", "b"], unique=["a", "b"])
+    assert rows(report) == [("not_null", "a", 2), ("not_null", "b", 1), ("unique", "a", 1), ("unique", "b", 1)]
+    with pytest.raises(ValueError, match=r"not_null\(a\): 2"):
+        require(df, not_null=["a"])
+    require(df.filter("a = 5"), not_null=["a", "b"], unique=["a"])
+    assert rows(null_counts(df.limit(0), ["a"])) == [("a", 0)]

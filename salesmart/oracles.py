@@ -144,6 +144,7 @@ ORACLES["stg_sales_events"] = f"""{sales_cte()}
 SELECT {SALE}, CASE WHEN rating BETWEEN 1 AND 5 THEN rating END AS valid_rating
 FROM sales WHERE {FIRST_IMAGES}"""
 
+ORACLES["stg_sales_view"] = ORACLES["stg_sales_events"]
 ORACLES["mart_sales_daily"] = daily_mart(False)
 ORACLES["mart_from_changes"] = daily_mart(False)
 ORACLES["mart_incremental"] = daily_mart(True)

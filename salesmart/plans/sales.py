@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions.binary import decode_decimal
@@ -19,7 +19,8 @@ ROW_IMAGE = (
     "region STRING, city STRING, payment_method STRING, channel STRING, is_returned BOOLEAN, "
     "rating INT, created_at BIGINT"
 )
-ENVELOPE = f"before STRING, after STRUCT<{ROW_IMAGE}>, op STRING, ts_ms BIGINT"
+EVENT = f"after STRUCT<{ROW_IMAGE}>, op STRING, ts_ms BIGINT"
+ENVELOPE = f"before STRING, {EVENT}"
 FIRST_IMAGE_OPS = ("c", "r")
 RATINGS = (1, 5)
 
@@ -41,20 +42,23 @@ def is_first_image(event: Column, ops: Sequence[str] = FIRST_IMAGE_OPS) -> Colum
     return event["op"].isin(*ops) & event["after"]["id"].isNotNull()
 
 
-def parse_changes(records: DataFrame) -> DataFrame:
+def parse_changes(records: DataFrame, with_before: bool = False) -> DataFrame:
     """Change records (``value``, ``timestamp``) to ``event`` structs and ``ingest_ts``.
 
     One parse covers an envelope below ``payload`` and a bare one. An envelope
-    that is itself JSON text is parsed again, only where the first parse found neither.
+    that is itself JSON text is parsed again, only where the first parse found
+    neither. The row before the change is JSON text and skipped unless asked for.
     """
+    fields = ENVELOPE if with_before else EVENT
     text = F.col("value").cast("string")
     parsed = records.select(
-        F.from_json(text, f"payload STRUCT<{ENVELOPE}>, {ENVELOPE}").alias("doc"),
+        F.from_json(text, f"payload STRUCT<{fields}>, {fields}").alias("doc"),
         "value",
         F.col("timestamp").alias("ingest_ts"),
     )
-    bare = F.struct("doc.before", "doc.after", "doc.op", "doc.ts_ms")
-    quoted = F.from_json(F.get_json_object(text, "$.payload"), ENVELOPE)
+    names = [*(["before"] if with_before else []), "after", "op", "ts_ms"]
+    bare = F.struct(*[f"doc.{name}" for name in names])
+    quoted = F.from_json(F.get_json_object(text, "$.payload"), fields)
     event = F.coalesce("doc.payload", F.when(F.col("doc.op").isNotNull(), bare), quoted)
     return parsed.select(event.alias("event"), "ingest_ts")
 
@@ -123,6 +127,20 @@ def staged_sales(sales: DataFrame, ops: Sequence[str] = FIRST_IMAGE_OPS) -> Data
     )
 
 
+def create_staged_view(
+    spark: SparkSession, name: str, source: str, ops: Sequence[str] = FIRST_IMAGE_OPS
+) -> None:
+    """The staging layer as a view in the catalog over a table of lake rows."""
+    columns = [c for c in spark.table(source).columns if c not in CHANGE_COLUMNS]
+    low, high = RATINGS
+    kept = ", ".join(f"'{op}'" for op in ops)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(columns)}, "
+        f"CASE WHEN rating BETWEEN {low} AND {high} THEN rating END AS valid_rating "
+        f"FROM {source} WHERE cdc_op IN ({kept})"
+    )
+
+
 def rounded_mean(value: Column) -> Column:
     """The mean of a decimal or integer, rounded half up once, from the exact sum and count."""
     return F.round(F.sum(value) / F.count(value), 2).cast("double")

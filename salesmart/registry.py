@@ -192,6 +192,19 @@ def stg_sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.staged_sales(spark.table("raw_sales_events"))
 
 
+@query
+def stg_sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging layer as a catalog view over the raw table."""
+    folder = working_folder(spark, "layers")
+    database = folder.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
+    raw, view = f"{database}.raw_sales_events", f"{database}.stg_sales_events"
+    tables.create_table(spark, raw, model.LAKE_SCHEMA)
+    tables.append_rows(fx.lake_rows(fx.sales(spark, sf_dir)), raw)
+    model.create_staged_view(spark, view, raw)
+    return spark.table(view)
+
+
 @query
 def mart_sales_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = model.staged_sales(fx.lake_rows(fx.sales(spark, sf_dir)))

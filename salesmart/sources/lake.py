@@ -44,8 +44,14 @@ def write_dataset(
 
 
 def read_dataset(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """Read with a given schema: inference could turn a text partition into a number."""
-    return spark.read.schema(schema).parquet(path)
+    """Read with a given schema, columns in its order.
+
+    Inference could turn a text partition into a number, and Spark would put the
+    partition columns in the order of the folders.
+    """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def read_day(

@@ -85,6 +85,12 @@ def test_what_is_dropped_is_counted(spark):
     assert seen.get == {"read": 8, "kept": 1}
 
 
+def test_row_before_the_change(spark):
+    texts = [wrapped(envelope(op="u", before=image(id=2))), wrapped(envelope())]
+    found = model.parse_changes(records(spark, texts), with_before=True).select("event.before").collect()
+    assert [r[0] and json.loads(r[0])["id"] for r in found] == [2, None]
+
+
 def test_null_fields(spark):
     texts = [wrapped(envelope(discount_pct=None, unit_price=None, rating=None, created_at=None, region=None))]
     row = model.decode_changes(records(spark, texts)).first()

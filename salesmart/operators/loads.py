@@ -18,7 +18,7 @@ from pyspark.sql.types import StructField, StructType
 from salesmart.functions.times import moment_literal, months_later
 from salesmart.operators.keys import absent_rows, distinct_keys, upserted
 from salesmart.operators.retention import keep_recent
-from salesmart.session import working_folder
+from salesmart.session import remove_folder, working_folder
 from salesmart.sources.lake import read_day, read_dataset, write_dataset
 
 
@@ -77,16 +77,11 @@ def date_folder(path: str, date_column: str, day: dt.date | None) -> str:
 
 
 def clear_dates(
-    spark: SparkSession,
-    path: str,
-    schema: StructType,
-    days: Iterable[dt.date | None],
-    date_column: str = "load_date",
+    spark: SparkSession, path: str, days: Iterable[dt.date | None], date_column: str = "load_date"
 ) -> None:
-    """Empty the given dates."""
-    none = spark.createDataFrame([], StructType([f for f in schema.fields if f.name != date_column]))
+    """Drop the given dates with all that lies below them."""
     for day in days:
-        none.write.mode("overwrite").parquet(date_folder(path, date_column, day))
+        remove_folder(spark, date_folder(path, date_column, day))
 
 
 def dates_of(df: DataFrame, date_column: str) -> list[dt.date | None]:
@@ -109,7 +104,7 @@ def rewrite_dates(
 
     The rows are first written beside the table, in the shared working folder, so
     nothing is read from the dates while they are replaced, and the rows survive
-    a failure in between.
+    a failure in between. The copy is removed once the dates are in place.
     """
     spark = df.sparkSession
     schema = table_schema(df, [date_column])
@@ -124,7 +119,8 @@ def rewrite_dates(
         .parquet(path)
     )
     kept = dates_of(written, date_column)
-    clear_dates(spark, path, schema, [day for day in days if day not in kept], date_column)
+    clear_dates(spark, path, [day for day in days if day not in kept], date_column)
+    remove_folder(spark, beside)
 
 
 def upsert_by_key(
@@ -158,6 +154,7 @@ def upsert_by_key(
         days += [day for day in dates_of(moved, date_column) if day not in days]
     touched = on_dates(table, date_column, days)
     rewrite_dates(upserted(touched, batch, keys, new_keys), path, days, date_column)
+    remove_folder(spark, beside)
     return days
 
 
@@ -270,5 +267,5 @@ def expire_rows(
     if partly:
         rows = on_dates(table, date_column, partly)
         rewrite_dates(keep_recent(rows, moment, as_of, months), path, partly, date_column)
-    clear_dates(spark, path, schema, gone, date_column)
+    clear_dates(spark, path, gone, date_column)
     return sorted([*gone, *partly])

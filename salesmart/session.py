@@ -54,3 +54,9 @@ def working_folder(spark: SparkSession, purpose: str) -> str:
             spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="salesmart-")
         )
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever store its address names; a missing one is fine."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -215,6 +215,18 @@ def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dated_conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn as a page of its conversation's own load date; the line number is the item's id."""
+    items = F.transform(
+        F.split("text", "\n", -1), lambda line, i: F.struct((i + 1).alias("id"), line.alias("line"))
+    )
+    return table(spark, sf_dir, "conversations").select(
+        load_date_of(F.col("conv_id")).alias("load_date"),
+        F.col("turn").alias("page"),
+        F.to_json(F.struct(items.alias("results"))).alias("body"),
+    )
+
+
 def document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         F.concat(F.lit("doc-"), "doc_id").alias("listing"),

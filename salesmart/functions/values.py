@@ -17,6 +17,16 @@ def row_key(*parts: Column | str) -> Column:
     return F.md5(F.concat(*texts[1:]))
 
 
+def dated_id(day: Column, number: Column, bits: int = 40) -> Column:
+    """A whole number that is unique for the day and the number, the same on every run.
+
+    The number takes the lower ``bits``; one that does not fit raises.
+    """
+    days = F.datediff(day, F.lit("1970-01-01").cast("date")).cast("bigint")
+    too_large = F.raise_error(F.concat(F.lit("id out of range: "), number.cast("string"))).cast("bigint")
+    return F.when(number.between(0, 2**bits - 1), days * 2**bits + number).when(number.isNotNull(), too_large)
+
+
 def within(value: Column, low: int, high: int) -> Column:
     """The value where it lies in the range, else NULL."""
     return F.when(value.between(low, high), value)

@@ -4,7 +4,9 @@
     jobs.py load-day     one day of the lake to a database, or to a Parquet table
     jobs.py mart         the daily mart, kept up to date with the lake
     jobs.py full-mart    the daily mart rebuilt from the whole lake, as a catalog table
+    jobs.py ingest       result pages and details of one load date to the raw tables
     jobs.py stage        one load date of raw movie documents to the staging tables
+    jobs.py check        the checks on the staging tables
     jobs.py movies       one load date of the staging tables to the movie mart
 
 Endpoints and credentials of the stores belong to the Spark configuration of the
@@ -20,9 +22,12 @@ from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesmart.operators.audit import next_load_date
-from salesmart.operators.loads import load_day, replace_date, upsert_by_key
+from salesmart.operators.keys import last_per_key
+from salesmart.operators.loads import load_day, load_together, open_table, replace_date, table_schema, upsert_by_key
+from salesmart.operators.quality import require
 from salesmart.operators.tables import full_refresh
 from salesmart.plans import movies
 from salesmart.plans import sales as model
@@ -68,16 +73,40 @@ def rebuild_mart(spark: SparkSession, args: argparse.Namespace) -> None:
     full_refresh(sales_mart(read_dataset(spark, args.lake, model.LAKE_SCHEMA)), args.name)
 
 
+def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Pages (``load_date, page, body``) and details (``load_date, body``) come as Parquet."""
+    pages = read_dataset(spark, args.pages, "load_date DATE, page INT, body STRING")
+    found = movies.listed_in_pages(movies.on_date(pages, args.date), args.max_pages)
+    details = movies.on_date(read_dataset(spark, args.details, "load_date DATE, body STRING"), args.date)
+    number = F.get_json_object("body", "$.id").cast("bigint")
+    # Details that came more than once are copies of one another.
+    once = details.select("load_date", number.alias("movie_id"), F.col("body").alias("payload"))
+    once = last_per_key(once, movies.MOVIE_KEY, ["payload"])
+    now = F.current_timestamp()
+    loaded = load_together(
+        {
+            f"{args.root}/raw/listing": movies.as_raw(found, now),
+            f"{args.root}/raw/details": movies.as_raw(once, now),
+        },
+        movies.MOVIE_KEY,
+    )
+    print(f"{args.date}: {loaded}")
+
+
+def check(spark: SparkSession, args: argparse.Namespace) -> None:
+    for table in movie_tables(spark, args.root, "stage"):
+        require(table, movies.STAGE_NOT_NULL, movies.STAGE_UNIQUE)
+
+
 def movie_tables(spark: SparkSession, root: str, layer: str) -> tuple[DataFrame, DataFrame]:
-    """The listing and the details of a layer."""
-    if layer == "raw":
-        schemas = [RAW_MOVIES] * 2
-    else:
-        raw = spark.createDataFrame([], RAW_MOVIES)
-        schemas = [movies.stage_listing(raw).schema, movies.stage_details(raw).schema]
-    names = ("listing", "details")
-    listing, details = (read_dataset(spark, f"{root}/{layer}/{n}", s) for n, s in zip(names, schemas, strict=True))
-    return listing, details
+    """The listing and the details of a layer, empty where nothing was loaded yet."""
+    listing = details = spark.createDataFrame([], RAW_MOVIES)
+    if layer == "stage":
+        listing, details = movies.stage_listing(listing), movies.stage_details(details)
+    return tuple(
+        open_table(spark, f"{root}/{layer}/{name}", table_schema(empty, ["load_date"]), ["load_date"])
+        for name, empty in (("listing", listing), ("details", details))
+    )
 
 
 def stage(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -133,6 +162,12 @@ def parser() -> argparse.ArgumentParser:
 
     job("full-mart", rebuild_mart, "lake", "name")
 
+    sub = job("ingest", ingest, "root", "pages", "details")
+    sub.add_argument("--date", type=dt.date.fromisoformat, required=True)
+    sub.add_argument("--max-pages", type=int, default=2)
+
+    job("check", check, "root")
+
     sub = job("stage", stage, "root")
     sub.add_argument("--date", type=dt.date.fromisoformat, help="else the day after the last one staged")
     sub.add_argument("--first", type=dt.date.fromisoformat, default=dt.date(2026, 3, 15))

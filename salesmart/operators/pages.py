@@ -14,7 +14,7 @@ def flatten_pages(
     page: str = "page",
     items: str = "results",
 ) -> DataFrame:
-    """One row per item, with the other columns of its page.
+    """One row per item and its ``position``, with the other columns of its page.
 
     Pages beyond ``max_pages`` are dropped before they are parsed; a page without
     the array gives no rows. ``item_type`` is the type of one item, ``STRING`` to
@@ -23,7 +23,7 @@ def flatten_pages(
     kept = pages if max_pages is None else pages.filter(F.col(page) <= max_pages)
     others = [c for c in pages.columns if c != body]
     found: Column = F.from_json(F.col(body), f"`{items}` ARRAY<{item_type}>")[items]
-    return kept.select(*others, F.explode(found).alias("item"))
+    return kept.select(*others, F.posexplode(found).alias("position", "item"))
 
 
 def union_pages(first: DataFrame, *others: DataFrame) -> DataFrame:

@@ -257,6 +257,17 @@ WITH found AS ({TURNS}
     UNION ALL SELECT 'doc-' || doc_id, 1, string_split(text, chr(10)) FROM documents
 ) {ITEMS}"""
 
+ORACLES["pages_to_raw"] = f"""
+WITH found AS (
+    SELECT DATE '2026-03-15' + CAST(conv_id AS INTEGER) AS load_date, conv_id AS listing, turn AS page,
+        string_split(text, chr(10)) AS lines FROM conversations
+), items AS (SELECT load_date, found_items.* FROM ({ITEMS}) AS found_items
+    JOIN (SELECT DISTINCT listing, load_date FROM found) USING (listing))
+SELECT date_diff('day', DATE '1970-01-01', load_date) * 1099511627776 + line_no AS id,
+    CAST(load_date AS VARCHAR) AS load_date, CAST(line_no AS BIGINT) AS movie_id, line
+FROM (SELECT *, row_number() OVER (PARTITION BY load_date, line_no ORDER BY page DESC) AS place FROM items)
+WHERE place = 1"""
+
 # Load modes
 
 ORACLES["dedup_last"] = """

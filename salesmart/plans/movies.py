@@ -12,12 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.documents import json_text, text_fields, typed_columns
-from salesmart.functions.values import row_key
+from salesmart.functions.values import dated_id, row_key
 from salesmart.operators.keys import enriched, last_per_key
+from salesmart.operators.pages import flatten_pages
 
 NUMBER = "decimal(20,6)"
 MOVIE_KEY = ("load_date", "movie_id")
 
+# The checks both staging tables must pass.
+STAGE_NOT_NULL = ("raw_id", "movie_id", "load_date")
+STAGE_UNIQUE = ("raw_id",)
+
 # Staging column -> (JSON key, type), in table order. Sub-documents
 # stay JSON text.
 LISTING_COLUMNS: dict[str, tuple[str, str]] = {
@@ -89,6 +94,27 @@ def land_documents(records: DataFrame, load_date: Column, key: str = "id", order
     return last_per_key(landed, MOVIE_KEY, ["_order"]).drop("_order")
 
 
+def listed_in_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """The movies on result pages (``load_date, page, body``) as ``load_date, movie_id, payload`` rows.
+
+    A movie that a load date lists more than once is kept as it came last.
+    """
+    items = flatten_pages(pages, "STRING", max_pages)
+    keyed = items.withColumns({"movie_id": F.get_json_object("item", "$.id").cast("bigint"), "payload": F.col("item")})
+    return last_per_key(keyed, MOVIE_KEY, ["page", "position"]).select(*MOVIE_KEY, "payload")
+
+
+def as_raw(landed: DataFrame, ingested_at: Column) -> DataFrame:
+    """Landed rows with the columns of the raw table; the id is the same on every run."""
+    return landed.select(
+        dated_id(F.col("load_date"), F.col("movie_id")).alias("id"),
+        "movie_id",
+        "payload",
+        ingested_at.alias("ingested_at"),
+        "load_date",
+    )
+
+
 def stage_documents(
     raw: DataFrame,
     columns: Mapping[str, tuple[str, str]],

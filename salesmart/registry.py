@@ -320,6 +320,14 @@ def flatten_all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select("listing", "page", "item.*")
 
 
+@query
+def pages_to_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A conversation is a load date, a turn a page, a line a movie; the last line of a number wins."""
+    listed = movies.listed_in_pages(fx.dated_conversation_pages(spark, sf_dir))
+    raw = movies.as_raw(listed, F.col("load_date").cast("timestamp"))
+    return raw.select("id", *movies.MOVIE_KEY, F.get_json_object("payload", "$.line").alias("line"))
+
+
 # Load modes -----------------------------------------------------------------
 
 

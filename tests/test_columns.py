@@ -15,7 +15,7 @@ from salesmart.functions.times import (
     second_text,
     weekday_from_monday,
 )
-from salesmart.functions.values import discounted_total, is_positive, row_key, within
+from salesmart.functions.values import dated_id, discounted_total, is_positive, row_key, within
 
 
 def values(spark, kind, items, expression):
@@ -80,6 +80,17 @@ def test_row_key(spark):
     assert [r[0] for r in df.select(row_key("d", "m")).collect()] == [expected, None, None]
 
 
+def test_dated_id(spark):
+    day = dt.date(2026, 3, 15)
+    numbers = [0, 7, 2**40 - 1, None]
+    found = values(spark, "BIGINT", numbers, lambda c: dated_id(F.lit(day), c))
+    base = (day - dt.date(1970, 1, 1)).days * 2**40
+    assert found == [base, base + 7, base + 2**40 - 1, None]
+    for number in (-1, 2**40):
+        with pytest.raises(PySparkException, match="out of range"):
+            values(spark, "BIGINT", [number], lambda c: dated_id(F.lit(day), c))
+
+
 def test_ranges_and_flags(spark):
     assert values(spark, "INT", [0, 1, 5, 6, None], lambda c: within(c, 1, 5)) == [None, 1, 5, None, None]
     assert values(spark, "INT", [10, 0, -1, None], is_positive) == [True, False, False, False]

@@ -5,7 +5,10 @@ import pytest
 from conftest import rows
 from test_streaming import arrive, events, lake, to_lake
 
+from pyspark.sql import functions as F
+
 from salesmart import jobs
+from salesmart.operators.loads import replace_date
 from salesmart.plans import sales as model
 from salesmart.sources.lake import read_dataset, write_dataset
 
@@ -52,6 +55,32 @@ def test_movie_jobs(spark, root, mode):
     assert rows(found.select("movie_id", "runtime_minutes")) == [(0, 3), (1, 4), (2, None)]
 
 
+def test_from_pages_to_the_mart(spark, folder):
+    day = dt.date(2026, 3, 15)
+
+    def page(*items):
+        return json.dumps({"results": [{"id": i, "title": t} for i, t in items]})
+
+    pages = [(day, 1, page((1, "a"), (2, "b"))), (day, 2, page((1, "again"))), (day, 3, page((9, "too far")))]
+    detail = [(day, json.dumps({"id": i, "runtime": 90 + i})) for i in (1, 1, 2)]
+    spark.createDataFrame(pages, "load_date DATE, page INT, body STRING").write.parquet(f"{folder}/pages")
+    spark.createDataFrame(detail, "load_date DATE, body STRING").write.parquet(f"{folder}/found")
+    place = ["--root", folder]
+    taken = ["--pages", f"{folder}/pages", "--details", f"{folder}/found", "--date", "2026-03-15"]
+    for _ in range(2):
+        jobs.main(["ingest", *place, *taken], spark)
+    jobs.main(["stage", *place], spark)
+    jobs.main(["check", *place], spark)
+    jobs.main(["movies", *place, "--date", "2026-03-15", "--source", "listing"], spark)
+    found = spark.read.parquet(f"{folder}/mart/listing")
+    assert rows(found.select("movie_id", "title", "runtime_minutes")) == [(1, "again", 91), (2, "b", 92)]
+    replace_date(spark.read.parquet(f"{folder}/stage/listing").withColumn("raw_id", F.lit(1)), f"{folder}/bad", day)
+    bad = spark.read.parquet(f"{folder}/bad")
+    write_dataset(bad, f"{folder}/stage/listing", ["load_date"])
+    with pytest.raises(ValueError, match=r"unique\(raw_id\): [12]"):
+        jobs.main(["check", *place], spark)
+
+
 def test_database_job(spark, folder, monkeypatch):
     arrive(spark, folder, events(0, 3))
     to_lake(spark, folder)

@@ -91,4 +91,4 @@ def test_pages(spark):
     typed = flatten_pages(table, "STRUCT<id: BIGINT>", max_pages=2).select("listing", "page", "item.id")
     assert rows(typed) == [("a", 1, 1), ("a", 1, 2), ("a", 2, 2)]
     as_text = flatten_pages(union_pages(table, table), "STRING")
-    assert rows(as_text.filter("page = 3")) == [("a", 3, '{"id":9}')] * 2
+    assert rows(as_text.filter("page = 3")) == [("a", 3, 0, '{"id":9}')] * 2

@@ -50,15 +50,15 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
 def load_one_day(spark: SparkSession, args: argparse.Namespace) -> None:
     schema = read_dataset(spark, args.lake, model.LAKE_SCHEMA).schema
 
-    def to_database(rows: DataFrame) -> int:
+    def to_database(rows: DataFrame) -> None:
         password = os.environ.get("JDBC_PASSWORD", "")
         if args.password_file:
             password = Path(args.password_file).read_text().strip()
         login = {"user": args.user, "password": password}
-        return append_jdbc(rows, args.url, args.table, args.driver, login)
+        append_jdbc(rows, args.url, args.table, args.driver, login)
 
-    def to_table(rows: DataFrame) -> int:
-        return replace_date(rows, args.table, args.date, "event_date", ["region"])
+    def to_table(rows: DataFrame) -> None:
+        replace_date(rows, args.table, args.date, "event_date", ["region"])
 
     rows = load_day(spark, args.lake, schema, args.date, to_database if args.url else to_table)
     print(f"{args.date}: {rows} rows")

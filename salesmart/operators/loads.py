@@ -2,7 +2,9 @@
 
 A table is a folder whose first partition column is a date. Every mode can be
 run again after a failure and then gives the same table. Dates collected here
-are partition values, at most one per day of the table, never rows.
+are partition values, at most one per day of the table, never rows. Rows are
+counted in the table, where Spark adds up the footers of the dates' files and
+opens no column.
 """
 
 from __future__ import annotations
@@ -52,13 +54,11 @@ def replace_date(
     The batch must not read the table itself.
     """
     rows = batch.filter(F.col(date_column) == F.lit(day)).drop(date_column)
-    return write_dataset(
-        rows,
-        date_folder(path, date_column, day),
-        partition_by,
-        mode="overwrite",
-        options={"partitionOverwriteMode": "static"},
+    folder = date_folder(path, date_column, day)
+    write_dataset(
+        rows, folder, partition_by, mode="overwrite", options={"partitionOverwriteMode": "static"}
     )
+    return read_dataset(batch.sparkSession, folder, rows.schema).count()
 
 
 def replace_touched_dates(df: DataFrame, path: str, date_column: str = "load_date") -> None:
@@ -195,10 +195,12 @@ def insert_if_absent(
         raise ValueError(f"the key must hold {date_column}")
     if days is None:
         days = checked_dates(batch, keys, date_column)
+    spark = batch.sparkSession
     schema = table_schema(batch, [date_column])
-    table = open_table(batch.sparkSession, path, schema, [date_column])
-    new_rows = absent_rows(batch, on_dates(table, date_column, days), keys)
-    return write_dataset(new_rows, path, [date_column])
+    existing = on_dates(open_table(spark, path, schema, [date_column]), date_column, days)
+    before = existing.count()
+    write_dataset(absent_rows(batch, existing, keys), path, [date_column])
+    return on_dates(read_dataset(spark, path, schema), date_column, days).count() - before
 
 
 def load_together(
@@ -222,19 +224,18 @@ def load_day(
     lake_path: str,
     schema: StructType,
     day: dt.date,
-    write: Callable[[DataFrame], int],
+    write: Callable[[DataFrame], object],
     date_column: str = "event_date",
 ) -> int:
-    """Hand one day of the lake to ``write``; an empty day is not written.
+    """Hand one day of the lake to ``write`` and return its rows; an empty day is not written.
 
-    ``write`` is ``append_jdbc``, ``replace_date`` or the like and returns the
-    number of rows. The emptiness check stops at the first row it finds, and the
-    rows are counted while they are written, so the day is not scanned twice.
+    ``write`` calls ``append_jdbc``, ``replace_date`` or the like.
     """
     rows = read_day(spark, lake_path, day, schema, date_column)
-    if rows.isEmpty():
-        return 0
-    return write(rows)
+    count = rows.count()
+    if count:
+        write(rows)
+    return count
 
 
 def expire_rows(

@@ -13,8 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from salesmart.sources.counts import counting
-
 LAKE_PARTITIONS = ("region", "event_date")
 
 
@@ -33,14 +31,11 @@ def write_dataset(
     partition_by: Sequence[str] = LAKE_PARTITIONS,
     mode: str = "append",
     options: Mapping[str, str] | None = None,
-) -> int:
-    """Write and return the number of rows, counted on the way."""
-    counted, rows = counting(spread_for_write(df, partition_by))
-    writer = counted.write.mode(mode).options(**(options or {}))
+) -> None:
+    writer = spread_for_write(df, partition_by).write.mode(mode).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return rows()
 
 
 def read_dataset(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:

@@ -85,7 +85,7 @@ def test_database_job(spark, folder, monkeypatch):
     arrive(spark, folder, events(0, 3))
     to_lake(spark, folder)
     calls = []
-    monkeypatch.setattr(jobs, "append_jdbc", lambda df, *rest: calls.append((df.count(), *rest)) or 3)
+    monkeypatch.setattr(jobs, "append_jdbc", lambda df, *rest: calls.append((df.count(), *rest)))
     monkeypatch.setenv("JDBC_PASSWORD", "p")
     jobs.main(
         ["load-day", "2024-05-10", "--lake", f"{folder}/lake", "--table", "t", "--url", "jdbc:x", "--driver", "d"], spark

@@ -132,7 +132,7 @@ def test_load_day(spark, folder):
     target = f"{folder}/target"
 
     def sink(df):
-        return write_dataset(df, target, ["load_date"])
+        write_dataset(df, target, ["load_date"])
 
     assert loads.load_day(spark, path, schema, D[4], sink, "load_date") == 0
     assert not Path(target).exists()

@@ -17,7 +17,7 @@ def lake(spark, folder):
     schema = "id BIGINT, region STRING, event_date DATE"
     days = [dt.date(2024, 5, d) for d in (1, 2, 3)]
     data = [(i, ["EU", "007", None][i % 3], days[i // 3 % 3]) for i in range(90)]
-    assert write_dataset(spark.createDataFrame(data, schema), f"{folder}/lake") == 90
+    write_dataset(spark.createDataFrame(data, schema), f"{folder}/lake")
     return f"{folder}/lake", schema, data
 
 
@@ -32,15 +32,15 @@ def test_one_day_reads_its_partitions_only(spark, folder):
     df = read_day(spark, path, day, schema)
     assert rows(df) == sorted([r for r in data if r[2] == day], key=repr)
     assert "PartitionFilters: [isnotnull(event_date" in plan(df)
+    count = plan(df.agg(F.count(F.lit(1))))
+    assert "PartitionFilters: [isnotnull(event_date" in count and "ReadSchema: struct<>" in count
 
 
-def test_jdbc_options(monkeypatch):
+def test_jdbc_options():
     df = MagicMock()
-    monkeypatch.setattr(relational, "counting", lambda d: (d, lambda: 7))
     chain = df.write.format.return_value
     chain.option.return_value = chain.options.return_value = chain.mode.return_value = chain
-    n = relational.append_jdbc(df, "jdbc:x", "t", "driver.D", {"user": "u"}, connections=4)
-    assert n == 7
+    relational.append_jdbc(df, "jdbc:x", "t", "driver.D", {"user": "u"}, connections=4)
     df.write.format.assert_called_once_with("jdbc")
     options = {c.args[0]: c.args[1] for c in chain.option.call_args_list}
     assert options == {

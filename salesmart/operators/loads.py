@@ -1,15 +1,17 @@
 """Load modes for Parquet tables partitioned by a date.
 
-A table is a folder whose first partition column is a date. Every mode can be
-run again after a failure and then gives the same table. Dates collected here
-are partition values, at most one per day of the table, never rows. Rows are
-counted in the table, where Spark adds up the footers of the dates' files and
-opens no column.
+A table is a folder whose first partition column is a date. Lost executors cost
+repeated tasks only. After a failed job, the load is run again; one that rewrites
+dates of the table itself is completed from its copy (``rewrite_dates``). Dates
+collected here are partition values, at most one per day of the table, never
+rows. Rows are counted in the table, where Spark adds up the footers of the
+dates' files and opens no column.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -23,6 +25,8 @@ from salesmart.operators.retention import keep_recent
 from salesmart.session import remove_folder, working_folder
 from salesmart.sources.lake import read_day, read_dataset, write_dataset
 
+log = logging.getLogger(__name__)
+
 
 def table_schema(batch: DataFrame, partition_by: Sequence[str]) -> StructType:
     """The schema as Spark reads it back: partition columns last."""
@@ -103,15 +107,28 @@ def rewrite_dates(
     """Give the listed dates the rows of ``df``, which may read the table itself.
 
     The rows are first written beside the table, in the shared working folder, so
-    nothing is read from the dates while they are replaced, and the rows survive
-    a failure in between. The copy is removed once the dates are in place.
+    nothing is read from the dates while they are replaced. A failure up to there
+    leaves the table as it was. The folder is logged before the dates are swapped:
+    after a failure in the swap, ``swap_dates`` with that folder completes it.
     """
     spark = df.sparkSession
-    schema = table_schema(df, [date_column])
     beside = working_folder(spark, "rewrite")
     write_dataset(df, beside, [date_column], mode="overwrite")
+    log.info("swapping %s into %s for %s", beside, path, [str(day) for day in days])
+    swap_dates(spark, beside, path, table_schema(df, [date_column]), days, date_column)
+
+
+def swap_dates(
+    spark: SparkSession,
+    beside: str,
+    path: str,
+    schema: StructType,
+    days: Sequence[dt.date | None],
+    date_column: str = "load_date",
+) -> None:
+    """Give the listed dates the rows in the folder ``beside``, then remove it. Can be run again."""
     written = read_dataset(spark, beside, schema)
-    # Already laid out by date, so the second write needs no shuffle.
+    # Already laid out by date, so this write needs no shuffle.
     (
         written.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -81,6 +81,22 @@ def test_upsert_into_a_new_table(spark, folder):
     assert read(spark, f"{folder}/new") == [(1, "a", D[0])]
 
 
+def test_swap_is_completed_from_the_copy(spark, folder, monkeypatch):
+    path = table(spark, folder, (1, "a", D[0]), (2, "b", D[1]), (3, "c", D[1]))
+    schema = spark.createDataFrame([], SCHEMA).schema
+
+    def fail(spark, beside, path, *rest):
+        loads.clear_dates(spark, path, [D[1]])  # the old date is gone, the new one not there yet
+        raise RuntimeError(beside)
+
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError) as failure:
+        patch.setattr(loads, "swap_dates", fail)
+        loads.upsert_by_key(frame(spark, (2, "new", D[1])), path, ["load_date", "k"])
+    assert read(spark, path) == [(1, "a", D[0])]
+    loads.swap_dates(spark, str(failure.value), path, schema, [D[1]])
+    assert read(spark, path) == [(1, "a", D[0]), (2, "new", D[1]), (3, "c", D[1])]
+
+
 def test_first_write_wins(spark, folder):
     path = table(spark, folder, (1, "first", D[0]))
     batch = frame(spark, (1, "second", D[0]), (1, "other date", D[1]), (2, "new", D[0]))

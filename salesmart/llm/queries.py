@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesmart.llm.exact_dedup import exact_duplicates
+from salesmart.llm.mixing import mixed, word_count
+from salesmart.llm.sharding import interleaved_shards
+from salesmart.llm.token_count import token_counts
+from salesmart.llm.url_filter import Rule, url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +27,49 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# The shares of the sources in code-point order, repeating.
+MIX_WEIGHTS = (3, 1, 2)
+
+URL_RULES = (
+    Rule("org", "/", "allow"),
+    Rule("example.org", "/es/", "block"),
+    Rule("example.org", "/en/1", "block"),
+    Rule("com", "/fr/", "allow"),
+    Rule("com", "/de/", "block"),
+)
+
+
+@query
+def op2_mixing(spark, folder):
+    mix = mixed(table(spark, folder, "documents"), F.array("source"), word_count(), MIX_WEIGHTS)
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query
+def op4_sharding(spark, folder):
+    shards = interleaved_shards(table(spark, folder, "documents"), shards=8)
+    return shards.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "source",
+    )
+
+
+@query
+def op5_url_filters(spark, folder):
+    return url_verdicts(table(spark, folder, "pages"), URL_RULES)
+
+
+@query
+def op6_token_counts(spark, folder):
+    return token_counts(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op10_exact_dedup(spark, folder):
     return exact_duplicates(table(spark, folder, "documents"))

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 from salesmart.llm.exact_dedup import exact_duplicates
 from salesmart.llm.mixing import mixed, word_count
+from salesmart.llm.neighbours import nearest
+from salesmart.llm.packing import packed_sequences
 from salesmart.llm.sharding import interleaved_shards
+from salesmart.llm.substring_dedup import repeated_passages
 from salesmart.llm.token_count import token_counts
+from salesmart.llm.toxicity import fold, toxicity_scores, train
 from salesmart.llm.url_filter import Rule, url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +49,11 @@ def op2_mixing(spark, folder):
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@query
+def op3_packing(spark, folder):
+    return packed_sequences(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op4_sharding(spark, folder):
     shards = interleaved_shards(table(spark, folder, "documents"), shards=8)
@@ -70,6 +79,53 @@ def op6_token_counts(spark, folder):
     return token_counts(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op7_neighbours(spark, folder):
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op8_toxicity(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = train(documents, table(spark, folder, "labels").filter(fold() != 0))
+    return toxicity_scores(documents, model).select(
+        "doc_id",
+        F.coalesce(fold() == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op9_substring_dedup(spark, folder):
+    return repeated_passages(table(spark, folder, "documents"))
+
+
+ORACLES["op9_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), windows AS (
+  SELECT doc_id, s, array_to_string(ws[s:s + 49], ' ') AS body
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS s FROM d)
+), marks AS (
+  SELECT doc_id, s FROM windows JOIN (SELECT body, min(doc_id) AS first FROM windows GROUP BY body) USING (body)
+  WHERE first < doc_id
+), words AS (
+  SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM d
+), judged AS (
+  SELECT doc_id, i, word, coalesce(i - max(s) OVER (PARTITION BY doc_id ORDER BY i) < 50, false) AS gone
+  FROM words LEFT JOIN (SELECT doc_id, s, s AS i FROM marks) USING (doc_id, i)
+)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS body
+  FROM judged GROUP BY doc_id
+) j USING (doc_id)
+"""
+
+
 @query
 def op10_exact_dedup(spark, folder):
     return exact_duplicates(table(spark, folder, "documents"))

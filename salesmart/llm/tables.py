@@ -72,17 +72,16 @@ def bitmap(cells: DataFrame, bits: int) -> np.ndarray:
     Spark packs slices of 2**16 bits; the driver gets 2**bits / 8 bytes at most,
     however many rows there are.
     """
-    column = cells.columns[0]
-
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         flags = np.zeros(1 << SLICE_BITS, np.uint8)
         flags[group["bit"].to_numpy()] = 1
         return pd.DataFrame({"slice": group["slice"].iloc[:1], "packed": [np.packbits(flags).tobytes()]})
 
     slices = (
-        cells.select(
-            F.shiftright(F.col(column).cast("long"), SLICE_BITS).cast("int").alias("slice"),
-            F.col(column).cast("long").bitwiseAND(F.lit((1 << SLICE_BITS) - 1)).cast("int").alias("bit"),
+        cells.toDF("cell")
+        .select(
+            F.shiftright(F.col("cell").cast("long"), SLICE_BITS).cast("int").alias("slice"),
+            F.col("cell").cast("long").bitwiseAND(F.lit((1 << SLICE_BITS) - 1)).cast("int").alias("bit"),
         )
         .distinct()
         .groupBy("slice")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from salesmart.llm.exact_dedup import exact_duplicates
 from salesmart.llm.mixing import mixed, word_count
+from salesmart.llm.near_dedup import NearSettings, near_duplicates
 from salesmart.llm.neighbours import nearest
 from salesmart.llm.packing import packed_sequences
 from salesmart.llm.sharding import interleaved_shards
@@ -43,6 +44,43 @@ URL_RULES = (
 )
 
 
+@query
+def op1_near_dedup(spark, folder):
+    return near_duplicates(table(spark, folder, "documents"), NearSettings(words=2))
+
+
+ORACLES["op1_near_dedup"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(
+    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) < 2 THEN ws
+    ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS shingle
+  FROM d
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+  HAVING 100 * count(*) >= 80 * (na.n + nb.n - count(*))
+), ways AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, w.y FROM reach r JOIN ways w ON w.x = r.other
+), least AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT l.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, l.doc_id = component_id AS kept
+FROM least l LEFT JOIN n USING (doc_id)
+"""
+
+
 @query
 def op2_mixing(spark, folder):
     mix = mixed(table(spark, folder, "documents"), F.array("source"), word_count(), MIX_WEIGHTS)

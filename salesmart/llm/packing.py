@@ -14,7 +14,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.tables import Workspace
+from salesmart.llm.tables import Workspace, ship_package
 from salesmart.llm.token_count import byte_symbols
 
 # Fixed value: the pattern of byte-level files that splits a text before the merges.
@@ -79,6 +79,7 @@ def tokenised_pieces(documents: DataFrame, path: str, limit: int, end_id: int, w
                     columns.append(pa.array([p.astype(np.int64) for p in tokens], pa.list_(pa.int64())))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
+    ship_package(documents.sparkSession)
     kind = documents.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
     return documents.select("doc_id", "text").mapInArrow(cut, schema)

@@ -30,15 +30,20 @@ class PassageSettings(NamedTuple):
     id_bits: int = 24
 
 
-def anchors(hashes: np.ndarray, settings: PassageSettings) -> np.ndarray:
+def anchors(hashes: np.ndarray, settings: PassageSettings) -> tuple[np.ndarray, np.ndarray]:
     """For each window the least hash of the runs of ``anchor`` words in it.
 
     Equal windows have equal anchors, so an anchor is counted in at least as many
     documents as any window it stands for, while a text has far fewer of them.
+    Returns the anchors in order, and for how many windows on end each stands.
     """
     runs = rolling(hashes, settings.anchor)
     width = settings.window - settings.anchor + 1
-    return sliding_min(runs, width) if len(runs) >= width else np.zeros(0, np.uint64)
+    if len(runs) < width:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    keys = sliding_min(runs, width)
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[starts], np.diff(np.append(starts, len(keys)))
 
 
 def sketch_cells(keys: np.ndarray, settings: PassageSettings) -> np.ndarray:
@@ -97,7 +102,7 @@ def repeated_passages(
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.unique(anchors(word_hashes().of(words_of(t.as_py()))[:, 0], settings)) for t in batch["text"]]
+            found = [np.unique(anchors(word_hashes().of(words_of(t.as_py()))[:, 0], settings)[0]) for t in batch["text"]]
             found = np.concatenate(found) if found else np.zeros(0, np.uint64)
             cells, n = np.unique(sketch_cells(found, settings), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(np.minimum(n, 2), pa.int32())], ["cell", "n"])
@@ -115,10 +120,9 @@ def repeated_passages(
             which, spots, high, low = [], [], [], []
             for i, text in enumerate(batch["text"]):
                 hashes = word_hashes().of(words_of(text.as_py()))
-                keys = anchors(hashes[:, 0], settings)
-                if not len(keys):
-                    continue
-                at = np.flatnonzero(bit_set(several.value, sketch_cells(keys, settings)).all(axis=0))
+                keys, spans = anchors(hashes[:, 0], settings)
+                often = bit_set(several.value, sketch_cells(keys, settings)).all(axis=0)
+                at = np.flatnonzero(np.repeat(often, spans))
                 if len(at):
                     which.append(i)
                     spots.append(at)

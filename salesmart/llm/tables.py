@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -22,10 +25,30 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand the package to the executors, wherever the driver imported it from.
+
+    The archive is a file of the driver, which serves it, once per application.
+    """
+    context, package = spark.sparkContext, Path(__file__).resolve().parent.parent
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    folder = _shipped[context.applicationId] = tempfile.TemporaryDirectory(prefix="package-")
+    archive = Path(folder.name) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
 class Workspace:
     """Tables of one run in the shared folder. A lost executor costs no table."""
 
     def __init__(self, spark: SparkSession, purpose: str):
+        ship_package(spark)
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 

@@ -12,6 +12,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.llm.tables import ship_package
+
 # Distinct pre-tokens whose counts a worker remembers; beyond that it starts anew.
 REMEMBERED = 300_000
 # Distinct pre-tokens merged at once.
@@ -194,6 +196,7 @@ def token_counts(documents: DataFrame, path: str, limit: int = 2048) -> DataFram
                     [some["doc_id"], some["n_bytes"], pa.array(numbers, pa.int64())], ["doc_id", "n_bytes", "n_tokens"]
                 )
 
+    ship_package(documents.sparkSession)
     sized = documents.select("doc_id", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
     kind = documents.schema["doc_id"].dataType.simpleString()
     return sized.mapInArrow(counted, f"doc_id {kind}, n_bytes long, n_tokens long").withColumn(

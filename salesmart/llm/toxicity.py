@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.llm.tables import ship_package
+
 
 class ToxicitySettings(NamedTuple):
     """ngram: characters (UTF-8 bytes) of a feature; bits: 2**bits features.
@@ -91,6 +93,7 @@ def train(documents: DataFrame, labels: DataFrame, settings: ToxicitySettings =
     gives the ratios, then each fits weights, which are averaged. The driver gets
     the chosen labels and three arrays of 2**bits numbers a group.
     """
+    ship_package(documents.sparkSession)
     size = 1 << settings.bits
     chosen = (
         labels.filter("doc_id is not null and toxic is not null")
@@ -146,6 +149,7 @@ def toxicity_scores(
     from, every score is 0. A column of that name is replaced. The model that tasks
     get has 2 * 2**bits numbers.
     """
+    ship_package(documents.sparkSession)
     documents = documents.drop(column)
     ratios = model.ratios.astype(np.float32)
     weighted = (model.ratios * model.weights).astype(np.float32)

@@ -8,7 +8,7 @@ import hashlib
 import numpy as np
 
 # Distinct words a worker remembers; beyond that it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 # Base of the rolling hash: odd, so that it has an inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 

@@ -118,7 +118,8 @@ def template_verdicts(work: Workspace, tree: DataFrame, settings: TemplateSettin
         "leaves",
     )
     total = leaves.agg(F.sum("labels").alias("labels"), F.sum("blocked").alias("blocked")).first()
-    overall = ((total["blocked"] or 0) + 1) / ((total["labels"] or 0) + 2)
+    # Nothing is rejected where nothing is labelled.
+    overall = (total["blocked"] + 1) / (total["labels"] + 2) if total["labels"] else 0.0
 
     def smoothed(blocked: Column, labels: Column, parent: Column) -> Column:
         return (blocked + settings.prior * parent) / (labels + settings.prior)

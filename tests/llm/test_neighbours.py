@@ -1,0 +1,76 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from salesmart.llm.neighbours import CurveSettings, hilbert_keys, nearest
+
+
+@pytest.mark.parametrize("dims, bits", [(2, 4), (3, 3), (5, 2)])
+def test_the_curve_visits_every_cell_stepwise(dims, bits):
+    cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), -1).reshape(-1, dims)
+    keys = hilbert_keys(cells, bits)
+    assert sorted(keys.tolist()) == list(range(len(cells)))
+    path = cells[np.argsort(keys)]
+    assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def frame(spark, vectors):
+    rows = [(i, None if v is None else [None if x is None else float(x) for x in v], 1) for i, v in vectors]
+    return spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<FLOAT>, vec INT")
+
+
+def brute(vectors, queries, k):
+    ids, matrix = zip(*vectors, strict=True)
+    units = np.float32(matrix).astype(float)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    found = {}
+    for i, unit in zip(ids, units, strict=True):
+        if queries(i):
+            others = sorted((-float(u @ unit), j) for j, u in zip(ids, units, strict=True) if j != i)
+            found[i] = [(j, -s) for s, j in others[:k]]
+    return found
+
+
+def test_recall_against_brute_force(spark):
+    chance = np.random.default_rng(1)
+    centres = chance.normal(size=(20, 32))
+    vectors = [(i, centres[i % 20] + 0.8 * chance.normal(size=32)) for i in range(3000)]
+    rows = nearest(frame(spark, vectors), F.col("vec_id") % 50 == 0).collect()
+    wanted = brute(vectors, lambda i: i % 50 == 0, 5)
+    hits = 0
+    for query, best in wanted.items():
+        mine = sorted((r for r in rows if r["query_id"] == query), key=lambda r: r["rank"])
+        assert [r["rank"] for r in mine] == [1, 2, 3, 4, 5]
+        assert [r["score"] for r in mine] == sorted((r["score"] for r in mine), reverse=True)
+        exact = dict(brute_scores(vectors, query))
+        assert all(r["score"] == pytest.approx(exact[r["vec_id"]], abs=1e-12) for r in mine)
+        hits += len({r["vec_id"] for r in mine} & {j for j, _ in best})
+    assert hits >= 0.9 * 5 * len(wanted)
+
+
+def brute_scores(vectors, query):
+    return brute(vectors, lambda i: i == query, len(vectors))[query]
+
+
+def test_crowds_of_equal_vectors_and_ties(spark):
+    """A third of all rows hold one vector; answers are the smallest ids of them."""
+    chance = np.random.default_rng(2)
+    vectors = [(i, [1.0, 2.0, 2.0, 0.0] if i % 3 == 0 else chance.normal(size=4)) for i in range(600)]
+    rows = nearest(frame(spark, vectors), F.col("vec_id") % 150 == 0).collect()
+    for query in (0, 150, 300, 450):
+        mine = sorted((r["rank"], r["vec_id"]) for r in rows if r["query_id"] == query)
+        assert [j for _, j in mine] == [j for j in range(0, 600, 3) if j != query][:5]
+        assert all(r["score"] == pytest.approx(1, abs=1e-12) for r in rows if r["query_id"] == query)
+
+
+def test_vectors_that_take_no_part(spark):
+    bad = [(0, None), (1, [0, 0]), (2, [None, 1]), (3, [float("nan"), 1]), (4, [float("inf"), 1]), (None, [1, 1])]
+    good = [(5, [1, 0]), (6, [1, 1]), (7, [3e38, 3e38]), (8, [1e-38, 0])]
+    rows = nearest(frame(spark, bad + good), F.lit(True), settings=CurveSettings(curves=2, windows=3)).collect()
+    assert {r["query_id"] for r in rows} == {5, 6, 7, 8} and len(rows) == 4 * 3
+    assert [(r["rank"], r["vec_id"]) for r in sorted(rows, key=lambda r: (r["query_id"], r["rank"]))][:3] == [(1, 8), (2, 6), (3, 7)]
+
+
+def test_no_rows_and_one_row(spark):
+    assert nearest(frame(spark, []), F.lit(True)).count() == 0
+    assert nearest(frame(spark, [(1, [1.0, 2.0])]), F.lit(True)).count() == 0

@@ -1,0 +1,67 @@
+import hashlib
+
+import numpy as np
+import pytest
+from llm_corpus import corpus, words
+
+from salesmart.llm.substring_dedup import PassageSettings, anchors, repeated_passages
+from salesmart.llm.words import rolling, sliding_min, word_hashes
+
+
+def expected(rows, size):
+    first = {}
+    for doc_id, text, *_ in rows:
+        w = words(text)
+        for i in range(len(w) - size + 1):
+            if doc_id is not None:
+                key = tuple(w[i : i + size])
+                first[key] = min(first.get(key, doc_id), doc_id)
+    found = []
+    for doc_id, text, *_ in rows:
+        w = words(text)
+        gone = set()
+        for i in range(len(w) - size + 1):
+            if doc_id is not None and first[tuple(w[i : i + size])] < doc_id:
+                gone |= set(range(i, i + size))
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        found.append((doc_id, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest(), kept))
+    return sorted(found, key=repr)
+
+
+@pytest.mark.parametrize(
+    "settings",
+    [PassageSettings(row_bits=20), PassageSettings(window=20, anchor=7, row_bits=20), PassageSettings(window=10, anchor=9, row_bits=4, id_bits=8)],
+)
+def test_equals_brute_force(documents, settings):
+    """Also with a sketch and bitmaps so small that they sort out nothing."""
+    found = repeated_passages(documents, settings, with_text=True).collect()
+    wanted = expected(corpus(), settings.window)
+    assert sorted(map(tuple, found), key=repr) == wanted
+    assert sum(r[2] > 0 for r in wanted) > 10
+
+
+def test_no_rows(nothing):
+    assert repeated_passages(nothing).count() == 0
+
+
+def test_equal_windows_have_equal_anchors():
+    text = [b"w%d" % (i % 17) for i in range(300)]
+    settings = PassageSettings(window=20, anchor=8)
+    hashes = word_hashes().of(text)
+    keys, spans = anchors(hashes[:, 0], settings)
+    per_window = np.repeat(keys, spans)
+    assert len(per_window) == 281
+    assert len({(tuple(text[i : i + 20]), int(k)) for i, k in enumerate(per_window)}) == len({tuple(text[i : i + 20]) for i in range(281)})
+
+
+def test_rolling_hashes_tell_runs_apart():
+    text = [b"a", b"b", b"a", b"b", b"b", b"a", b"a", b"b"]
+    runs = rolling(word_hashes().of(text)[:, 0], 2)
+    assert len(set(runs.tolist())) == len({tuple(text[i : i + 2]) for i in range(7)})
+    assert len(rolling(np.zeros(3, np.uint64), 4)) == 0
+
+
+@pytest.mark.parametrize("width", range(1, 12))
+def test_sliding_min(width):
+    values = np.random.default_rng(width).integers(0, 100, 40).astype(np.uint64)
+    assert sliding_min(values, width).tolist() == [min(values[i : i + width]) for i in range(40 - width + 1)]

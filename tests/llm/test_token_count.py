@@ -1,0 +1,42 @@
+import os
+import random
+
+import public_tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_corpus import corpus
+from tokenizers import Tokenizer
+
+from salesmart.llm.token_count import token_counts, word_tokenizer
+
+os.environ["TOKENIZERS_PARALLELISM"] = "false"
+PATH = public_tokenizers.path("word_bpe_49k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+
+
+def library(texts):
+    return [len(e.ids) for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_equals_the_library(documents):
+    rows = token_counts(documents, PATH, limit=100).collect()
+    texts = [t or "" for _, t, *_ in corpus()]
+    wanted = sorted(((r[0], len(t.encode()), n, n > 100) for r, t, n in zip(corpus(), texts, library(texts), strict=True)), key=repr)
+    assert sorted(((r["doc_id"], r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in rows), key=repr) == wanted
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from("abehinorstABT '<|>endoftext1٣ÉßİΣσς́ \t\x85\x1c\u2003你🙂"), max_size=60))
+def test_any_text(text):
+    assert word_tokenizer(PATH).count([text]) == library([text])
+
+
+def test_runs_of_one_pair_and_long_words():
+    texts = ["a" * n for n in range(1, 40)] + ["haha" * 2000, "<|startoftext|>a<|endoftext|><|endoftext|>", "'s'S don'T"]
+    chance = random.Random(1)
+    texts += ["".join(chance.choices("abcdefgh", k=200)) for _ in range(200)]
+    assert word_tokenizer(PATH).count(texts) == library(texts)
+
+
+def test_no_rows(nothing):
+    assert token_counts(nothing, PATH).count() == 0

@@ -1,0 +1,62 @@
+import pytest
+
+from salesmart.llm.queries import URL_RULES
+from salesmart.llm.url_filter import TemplateSettings, url_verdicts
+
+CASES = {
+    "https://a.Example.ORG/es/1": ("a.example.org", "/es/1", "example.org/es/", "block"),
+    "http://example.org/en/17?x=/es/": ("example.org", "/en/17", "example.org/en/1", "block"),
+    "http://notexample.org/es/": ("notexample.org", "/es/", "org/", "allow"),
+    "x://org/": ("org", "/", "org/", "allow"),
+    "http://m.shop.com/fr/9#top": ("m.shop.com", "/fr/9", "com/fr/", "allow"),
+    "http://com/de/": ("com", "/de/", "com/de/", "block"),
+    "http://a.org": ("a.org", "", None, None),
+    "http://a.org?q=/es/": ("a.org", "", None, None),
+    "http://a.net/p://q/r": ("a.net", "/p://q/r", None, None),
+    "a\nb://c.net/\nd": ("c.net", "/\nd", None, None),
+    "ÉÀ://ÉÀA.net/É": ("ÉÀa.net", "/É", None, None),
+    "no scheme/at all": ("", "", None, None),
+    "": ("", "", None, None),
+    None: ("", "", None, None),
+    "://": ("", "", None, None),
+    "http:///x": ("", "/x", None, None),
+}
+
+
+def frame(spark, urls):
+    return spark.createDataFrame([(i, u, "x", 1) for i, u in enumerate(urls)], "page_id BIGINT, url STRING, host STRING, label INT")
+
+
+def test_hosts_paths_and_rules(spark):
+    urls = list(CASES) + ["http://com/de/"]
+    rows = {r["page_id"]: r for r in url_verdicts(frame(spark, urls), URL_RULES).collect()}
+    assert len(rows) == len(urls)
+    for i, url in enumerate(urls):
+        host, path, rule, verdict = CASES[url]
+        assert (rows[i]["host"], rows[i]["path"], rows[i]["rule"]) == (host, path, rule)
+        assert rows[i]["verdict"] == verdict if verdict else rows[i]["verdict"] in ("allow", "block")
+
+
+def test_templates_learn_from_ruled_urls(spark):
+    """A host whose numbered pages are mostly blocked by rules loses the others too."""
+    rules = [r for r in URL_RULES if r.verdict == "block"] + [URL_RULES[3]]
+    urls = [f"http://spam.com/de/{i}" for i in range(60)] + [f"http://spam.com/xx/{i}" for i in range(40)]
+    urls += [f"http://good.com/fr/{i}" for i in range(60)] + [f"http://good.com/xx/{i}" for i in range(40)]
+    rows = url_verdicts(frame(spark, urls), rules).collect()
+    templates = {r["template"] for r in rows}
+    assert templates == {"/de/*", "/xx/*", "/fr/*"}
+    verdicts = {(r["host"], r["verdict"]) for r in rows if r["rule"] is None}
+    assert verdicts == {("spam.com", "block"), ("good.com", "allow")}
+
+
+@pytest.mark.parametrize("children", [5, 100])
+def test_variable_segments(spark, children):
+    urls = [f"http://h.net/item/{i}/view" for i in range(50)] + ["http://h.net/about"] * 30
+    settings = TemplateSettings(min_children=children)
+    found = {r["template"] for r in url_verdicts(frame(spark, urls), [], settings).collect()}
+    assert found == ({"/item/*/view", "/about"} if children == 5 else {"/about", *(f"/item/{i}/view" for i in range(50))})
+
+
+def test_no_rows_and_no_rules(spark):
+    assert url_verdicts(frame(spark, []), URL_RULES).count() == 0
+    assert {r["verdict"] for r in url_verdicts(frame(spark, ["http://a.net/b"]), []).collect()} == {"allow"}

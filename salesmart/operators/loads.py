@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from salesmart.functions.times import moment_literal, months_later
-from salesmart.operators.keys import absent_rows, distinct_keys, upserted
+from salesmart.operators.keys import absent_rows, distinct_keys, same_key, upserted
 from salesmart.operators.retention import keep_recent
 from salesmart.session import remove_folder, working_folder
-from salesmart.sources.lake import read_day, read_dataset, write_dataset
+from salesmart.sources.lake import BATCH, date_folder, read_day, read_dataset, refuse_sink_log, write_dataset
 
 log = logging.getLogger(__name__)
 
@@ -57,7 +57,9 @@ def replace_date(
     batch does not have vanish too, and a batch without rows empties the date.
     The batch must not read the table itself.
     """
-    rows = batch.filter(F.col(date_column) == F.lit(day)).drop(date_column)
+    refuse_sink_log(batch.sparkSession, path)
+    on_day = F.col(date_column).isNull() if day is None else F.col(date_column) == F.lit(day)
+    rows = batch.filter(on_day).drop(date_column)
     folder = date_folder(path, date_column, day)
     write_dataset(
         rows, folder, partition_by, mode="overwrite", options={"partitionOverwriteMode": "static"}
@@ -76,14 +78,11 @@ def replace_touched_dates(df: DataFrame, path: str, date_column: str = "load_dat
     )
 
 
-def date_folder(path: str, date_column: str, day: dt.date | None) -> str:
-    return f"{path}/{date_column}={'__HIVE_DEFAULT_PARTITION__' if day is None else day.isoformat()}"
-
-
 def clear_dates(
     spark: SparkSession, path: str, days: Iterable[dt.date | None], date_column: str = "load_date"
 ) -> None:
     """Drop the given dates with all that lies below them."""
+    refuse_sink_log(spark, path)
     for day in days:
         remove_folder(spark, date_folder(path, date_column, day))
 
@@ -102,20 +101,25 @@ def on_dates(df: DataFrame, date_column: str, days: Sequence[dt.date | None]) ->
 
 
 def rewrite_dates(
-    df: DataFrame, path: str, days: Sequence[dt.date | None], date_column: str = "load_date"
+    df: DataFrame,
+    path: str,
+    days: Sequence[dt.date | None],
+    date_column: str = "load_date",
+    further: Sequence[str] = (),
 ) -> None:
     """Give the listed dates the rows of ``df``, which may read the table itself.
 
-    The rows are first written beside the table, in the shared working folder, so
+    ``further`` are the table's partitions below the date. The rows are first written beside the table, in the shared working folder, so
     nothing is read from the dates while they are replaced. A failure up to there
     leaves the table as it was. The folder is logged before the dates are swapped:
     after a failure in the swap, ``swap_dates`` with that folder completes it.
     """
     spark = df.sparkSession
+    refuse_sink_log(spark, path)
     beside = working_folder(spark, "rewrite")
     write_dataset(df, beside, [date_column], mode="overwrite")
     log.info("swapping %s into %s for %s", beside, path, [str(day) for day in days])
-    swap_dates(spark, beside, path, table_schema(df, [date_column]), days, date_column)
+    swap_dates(spark, beside, path, table_schema(df, [date_column]), days, date_column, further)
 
 
 def swap_dates(
@@ -125,9 +129,16 @@ def swap_dates(
     schema: StructType,
     days: Sequence[dt.date | None],
     date_column: str = "load_date",
+    further: Sequence[str] = (),
 ) -> None:
     """Give the listed dates the rows in the folder ``beside``, then remove it. Can be run again."""
     written = read_dataset(spark, beside, schema)
+    if further:  # a dynamic overwrite would leave the partitions below a date that have no rows now
+        for day in days:
+            replace_date(read_day(spark, beside, day, schema, date_column), path, day, date_column, further)
+        clear_dates(spark, path, [day for day in days if day not in dates_of(written, date_column)], date_column)
+        remove_folder(spark, beside)
+        return
     # Already laid out by date, so this write needs no shuffle.
     (
         written.write.mode("overwrite")
@@ -150,24 +161,32 @@ def upsert_by_key(
 ) -> list[dt.date | None]:
     """Replace the table rows that share a key with the batch, add the rest; returns the dates rewritten.
 
-    ``days`` are the batch's dates, where the caller knows them. Where the key
-    holds or implies the date, only these dates are read. Otherwise the key
-    columns of the table are searched for other dates to rewrite.
+    ``days`` are the dates the batch may have, where the caller knows them; a batch
+    with rows on other dates raises. Where the key holds or implies the date, only
+    these dates are read. Otherwise the key columns of the table are searched for
+    other dates to rewrite.
 
-    The batch's distinct keys are written beside the table first: the join then
-    knows their size, and as it joins two plain scans, AQE can split a table key
-    that holds very many rows.
+    The batch is computed once: it and its distinct keys are written beside the
+    table first. The joins then know their sizes, and as they join plain scans,
+    AQE can split a table key that holds very many rows.
     """
     spark = batch.sparkSession
-    beside = working_folder(spark, "keys")
-    distinct_keys(batch, keys).write.parquet(beside)
-    new_keys = read_dataset(spark, beside, batch.select(*keys).schema)
+    beside = working_folder(spark, "upsert")
+    batch.write.parquet(f"{beside}/rows")
+    batch = read_dataset(spark, f"{beside}/rows", batch.schema)
+    distinct_keys(batch, keys).write.parquet(f"{beside}/keys")
+    new_keys = read_dataset(spark, f"{beside}/keys", batch.select(*keys).schema)
     table = open_table(spark, path, table_schema(batch, [date_column]), [date_column])
-    days = list(dates_of(batch, date_column) if days is None else days)
+    present = dates_of(batch, date_column)
+    others = [day for day in present if days is not None and day not in days]
+    if others:
+        remove_folder(spark, beside)
+        raise ValueError(f"the batch has rows on {', '.join(map(str, others))}, which are not among its days")
+    days = list(present if days is None else days)
     if key_implies_date is None:
         key_implies_date = date_column in keys
     if not key_implies_date:
-        moved = table.join(new_keys, list(keys), "left_semi")
+        moved = table.join(new_keys, same_key(table, new_keys, keys), "left_semi")
         days += [day for day in dates_of(moved, date_column) if day not in days]
     touched = on_dates(table, date_column, days)
     rewrite_dates(upserted(touched, batch, keys, new_keys), path, days, date_column)
@@ -225,15 +244,49 @@ def load_together(
 ) -> dict[str, int]:
     """Insert several batches, ``{table path: batch}``, after all of them passed their checks.
 
-    A batch that fails its checks stops the load before anything is written.
-    Spark has no transaction over tables: when a later write fails, running the
-    load again adds what is missing and repeats nothing.
+    Each batch is computed once and written to the working folder; checks and
+    inserts read it there. A batch that fails its checks stops the load before
+    any table is written. Spark has no transaction over tables: when a later
+    write fails, running the load again adds what is missing and repeats nothing.
     """
-    days = {path: checked_dates(batch, keys, date_column) for path, batch in batches.items()}
-    return {
-        path: insert_if_absent(batch, path, keys, date_column, days[path])
-        for path, batch in batches.items()
-    }
+    staged, beside = {}, {}
+    try:
+        for path, batch in batches.items():
+            spark = batch.sparkSession
+            beside[path] = working_folder(spark, "load")
+            batch.write.parquet(beside[path])
+            staged[path] = read_dataset(spark, beside[path], batch.schema)
+        days = {path: checked_dates(batch, keys, date_column) for path, batch in staged.items()}
+        return {path: insert_if_absent(batch, path, keys, date_column, days[path]) for path, batch in staged.items()}
+    finally:
+        for folder in beside.values():
+            remove_folder(spark, folder)
+
+
+def compact_days(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    days: Sequence[dt.date | None],
+    date_column: str = "event_date",
+) -> None:
+    """Merge the batches of closed days of the lake, so that each has a few large files.
+
+    Only these days' folders are listed and read. Meant for days that no stream
+    writes any more; a batch that is repeated later would add its rows again.
+    """
+    for day in days:
+        rows = read_day(spark, path, day, schema, date_column).withColumn(BATCH, F.lit(f"compact-{day}"))
+        rewrite_dates(rows, path, [day], date_column, [BATCH])
+
+
+def append_day(rows: DataFrame, path: str, day: dt.date, date_column: str = "event_date") -> int:
+    """Plain append of one day to a table by date; a day that it holds already raises."""
+    spark = rows.sparkSession
+    if read_day(spark, path, day, rows.schema, date_column).limit(1).count():
+        raise ValueError(f"{path} holds {day} already")
+    write_dataset(rows, path, [date_column])
+    return read_day(spark, path, day, rows.schema, date_column).count()
 
 
 def load_day(
@@ -263,9 +316,13 @@ def expire_rows(
     as_of: dt.datetime,
     months: int = 1,
     date_column: str = "event_date",
+    further: Sequence[str] = (),
 ) -> list[dt.date]:
     """Drop the rows older than ``months`` from a table whose date is the day of ``moment``.
 
+    ``further`` are the table's partitions below the date, as in the lake; ``schema``
+    holds them too.
+
     A date is left alone, emptied or rewritten, by its first and last moment; only
     dates in which the limit falls are rewritten. Returns the dates changed.
     """
@@ -284,6 +341,6 @@ def expire_rows(
     partly = sorted(row[0] for row in days if not row["gone"])
     if partly:
         rows = on_dates(table, date_column, partly)
-        rewrite_dates(keep_recent(rows, moment, as_of, months), path, partly, date_column)
+        rewrite_dates(keep_recent(rows, moment, as_of, months), path, partly, date_column, further)
     clear_dates(spark, path, gone, date_column)
     return sorted([*gone, *partly])

@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from salesmart.functions.documents import json_text, text_fields, typed_columns
@@ -65,6 +65,7 @@ DETAIL_COLUMNS: dict[str, tuple[str, str]] = {
     "production_countries_json": ("production_countries", "string"),
     "spoken_languages_json": ("spoken_languages", "string"),
 }
+# The columns of the marts.
 DETAIL_MART = (
     "load_date", "movie_id", "title", "original_language", "release_date", "runtime_minutes",
     "budget", "revenue", "popularity", "vote_average", "vote_count",
@@ -94,16 +95,34 @@ def land_documents(records: DataFrame, load_date: Column, key: str = "id", order
     return last_per_key(landed, MOVIE_KEY, ["_order"]).drop("_order")
 
 
-def listed_in_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+def listed_in_pages(
+    pages: DataFrame,
+    max_pages: int | None = None,
+    lenient: bool = False,
+    observe: Observation | str | None = None,
+) -> DataFrame:
     """The movies on result pages (``load_date, page, body``) as ``load_date, movie_id, payload`` rows.
 
-    A movie that a load date lists more than once is kept as it came last.
+    A movie that a load date lists more than once is kept as it came last. Pages
+    that cannot be read raise, or are counted by ``observe`` when ``lenient``.
     """
-    items = flatten_pages(pages, "STRING", max_pages)
+    items = flatten_pages(pages, "STRING", max_pages, lenient=lenient, observe=observe)
     keyed = items.withColumns({"movie_id": F.get_json_object("item", "$.id").cast("bigint"), "payload": F.col("item")})
     return last_per_key(keyed, MOVIE_KEY, ["page", "position"]).select(*MOVIE_KEY, "payload")
 
 
+def listed_details(details: DataFrame, listed: DataFrame) -> DataFrame:
+    """The details (``load_date, fetched_at, body``) of listed movies as landed rows.
+
+    Of details that were fetched more than once the last ones stay; what no page
+    of the load date lists is left out.
+    """
+    number = F.get_json_object("body", "$.id").cast("bigint")
+    landed = details.select("load_date", number.alias("movie_id"), F.col("body").alias("payload"), "fetched_at")
+    last = last_per_key(landed, MOVIE_KEY, ["fetched_at", "payload"]).drop("fetched_at")
+    return enriched(listed.select(*MOVIE_KEY), last, MOVIE_KEY)
+
+
 def as_raw(landed: DataFrame, ingested_at: Column) -> DataFrame:
     """Landed rows with the columns of the raw table; the id is the same on every run."""
     return landed.select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.binary import decode_decimal
 from salesmart.functions.times import from_epoch_micros, from_epoch_millis, second_text
-from salesmart.functions.values import is_positive, within
+from salesmart.functions.values import is_positive
 
 # The row image inside a change event, and the operations that
 # carry a first image (insert, snapshot read).
@@ -25,9 +25,9 @@ FIRST_IMAGE_OPS = ("c", "r")
 RATINGS = (1, 5)
 
 MONEY = ("unit_price", "total_price")
-PARTITIONS = ("region", "event_date")
+PARTITIONS = ("event_date",)
 
-# The lake's columns as they are read back, partition columns last.
+# The lake's columns as they are read back, partition columns last.
 LAKE_SCHEMA = (
     "id BIGINT, order_id STRING, customer_id INT, product_id INT, product_name STRING, "
     "category STRING, quantity INT, unit_price DECIMAL(10,2), discount_pct INT, "
@@ -36,6 +36,8 @@ LAKE_SCHEMA = (
     "ingest_ts TIMESTAMP, has_discount BOOLEAN, region STRING, event_date DATE"
 )
 CHANGE_COLUMNS = ("cdc_op", "cdc_ts", "ingest_ts")
+# Why a record was not decoded; null for rows that were.
+REJECT_REASON = "reject_reason"
 
 
 def is_first_image(event: Column, ops: Sequence[str] = FIRST_IMAGE_OPS) -> Column:
@@ -60,7 +62,7 @@ def parse_changes(records: DataFrame, with_before: bool = False) -> DataFrame:
     bare = F.struct(*[f"doc.{name}" for name in names])
     quoted = F.from_json(F.get_json_object(text, "$.payload"), fields)
     event = F.coalesce("doc.payload", F.when(F.col("doc.op").isNotNull(), bare), quoted)
-    return parsed.select(event.alias("event"), "ingest_ts")
+    return parsed.select(event.alias("event"), "ingest_ts", "value")
 
 
 def first_images(
@@ -81,8 +83,14 @@ def first_images(
     return events.select("ingest_ts", F.inline(wanted)).select("after", "op", "ts_ms", "ingest_ts")
 
 
-def sales_rows(images: DataFrame, scale: int = 2, lenient: bool = False, time_as_text: bool = False) -> DataFrame:
-    """First images as typed sales rows, for the lake."""
+def sales_rows(
+    images: DataFrame,
+    scale: int = 2,
+    lenient: bool = False,
+    time_as_text: bool = False,
+    also: Sequence[Column | str] = (),
+) -> DataFrame:
+    """First images as typed sales rows, for the lake, and the columns ``also``."""
 
     def field(name: str) -> Column:
         image = F.col(f"after.{name}")
@@ -98,7 +106,41 @@ def sales_rows(images: DataFrame, scale: int = 2, lenient: bool = False, time_as
         from_epoch_millis(F.col("ts_ms")).alias("cdc_ts"),
         "ingest_ts",
         is_positive(F.col("after.discount_pct")).alias("has_discount"),
+        *also,
+    )
+
+
+def decode_or_reject(
+    records: DataFrame,
+    ops: Sequence[str] = FIRST_IMAGE_OPS,
+    scale: int = 2,
+    time_as_text: bool = False,
+    observe: Observation | str | None = None,
+) -> DataFrame:
+    """``decode_changes`` for a stream that no record may stop.
+
+    Records that are no change events, and first images with an amount that is no
+    decimal, come out too, with their ``value`` and a ``reject_reason``. Updates
+    and deletes are dropped. ``observe`` counts records, rows kept and rejects.
+    """
+    events = parse_changes(records)
+
+    def broken(event: Column) -> Column:
+        return event.isNull() | (event["op"].isNull() & event["after"].isNull())
+
+    wanted = F.filter(
+        F.array(F.struct("event", "ingest_ts", "value")),
+        lambda r: F.coalesce(broken(r["event"]) | is_first_image(r["event"], ops), F.lit(False)),
     )
+    images = events.select(F.inline(wanted)).select("event.after", "event.op", "event.ts_ms", "event", "ingest_ts", "value")
+    bad = [F.col(f"after.{m}").isNotNull() & decode_decimal(F.col(f"after.{m}"), scale=scale, lenient=True).isNull() for m in MONEY]
+    reason = F.when(broken(F.col("event")), F.lit("not a change event")).when(bad[0] | bad[1], F.lit("bad amount"))
+    rows = sales_rows(images, scale, True, time_as_text, also=[reason.alias(REJECT_REASON), "value"])
+    if observe is not None:
+        kept = F.count_if(F.col(REJECT_REASON).isNull())
+        rejected = F.count_if(F.col(REJECT_REASON).isNotNull())
+        rows = rows.observe(observe, kept.alias("kept"), rejected.alias("rejected"))
+    return rows
 
 
 def decode_changes(
@@ -118,27 +160,27 @@ def decode_changes(
     return sales_rows(images, scale, lenient, time_as_text)
 
 
+def staging(columns: Sequence[str], ops: Sequence[str] = FIRST_IMAGE_OPS) -> tuple[list[str], str]:
+    """The columns and the condition of the staging layer, for a DataFrame or a view."""
+    low, high = RATINGS
+    kept = [f"`{c}`" for c in columns if c not in CHANGE_COLUMNS]
+    kept.append(f"CASE WHEN rating BETWEEN {low} AND {high} THEN rating END AS valid_rating")
+    operations = ", ".join(f"'{op}'" for op in ops)
+    return kept, f"cdc_op IN ({operations})"
+
+
 def staged_sales(sales: DataFrame, ops: Sequence[str] = FIRST_IMAGE_OPS) -> DataFrame:
     """Lake rows without the change columns, and the rating where it is valid."""
-    return (
-        sales.filter(F.col("cdc_op").isin(*ops))
-        .withColumn("valid_rating", within(F.col("rating"), *RATINGS))
-        .drop(*CHANGE_COLUMNS)
-    )
+    columns, condition = staging(sales.columns, ops)
+    return sales.filter(condition).selectExpr(*columns)
 
 
 def create_staged_view(
     spark: SparkSession, name: str, source: str, ops: Sequence[str] = FIRST_IMAGE_OPS
 ) -> None:
     """The staging layer as a view in the catalog over a table of lake rows."""
-    columns = [c for c in spark.table(source).columns if c not in CHANGE_COLUMNS]
-    low, high = RATINGS
-    kept = ", ".join(f"'{op}'" for op in ops)
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(columns)}, "
-        f"CASE WHEN rating BETWEEN {low} AND {high} THEN rating END AS valid_rating "
-        f"FROM {source} WHERE cdc_op IN ({kept})"
-    )
+    columns, condition = staging(spark.table(source).columns, ops)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(columns)} FROM {source} WHERE {condition}")
 
 
 def rounded_mean(value: Column) -> Column:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
@@ -21,17 +21,24 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-_local_folders: dict[str, str] = {}
+# For jobs on a cluster: shuffles start wide, and AQE merges what is small. It cannot
+# split an aggregate or a range write, so the width bounds what a task of those gets.
+WIDE = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000"}
 
 
-def build_session(app_name: str = "salesmart", master: str | None = None, **settings: str) -> SparkSession:
-    """A session with the settings the jobs rely on; ``settings`` use ``__`` for dots."""
+def build_session(
+    app_name: str = "salesmart",
+    master: str | None = None,
+    settings: Mapping[str, str] | None = None,
+    **more: str,
+) -> SparkSession:
+    """A session with the settings the jobs rely on, ``settings`` and ``more``, which uses ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
-    for key, value in settings.items():
+    for key, value in more.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
@@ -43,21 +50,22 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def working_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the shared checkpoint folder of the cluster.
+    """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only a local session without that setting falls back to a temporary folder:
-    on a cluster the executors would not see it.
+    Where that is not set, as in tests, a folder in the warehouse is set.
     """
     root = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getConf().get(CHECKPOINT_SETTING)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-        root = _local_folders.setdefault(
-            spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="salesmart-")
-        )
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_working"
+        spark.conf.set(CHECKPOINT_SETTING, root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever store its address names; a missing one is fine."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,6 +2,11 @@
 
 Paths are URIs; credentials and endpoints of an object store belong to the
 caller's session or to ``options``.
+
+The lake is laid out as ``event_date=.../batch=...``: the date first, so one day is
+one folder, and below it the batch that wrote the rows, so that a batch which is
+written again replaces itself. Streams, backfills, retention and compaction all
+write this layout, and readers need no log of files.
 """
 
 from __future__ import annotations
@@ -13,7 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-LAKE_PARTITIONS = ("region", "event_date")
+from salesmart.session import folder_exists
+
+LAKE_PARTITIONS = ("event_date",)
+BATCH = "batch"
+# Where a stream's own file sink keeps the list of its files: readers see only those.
+SINK_LOG = "_spark_metadata"
 
 
 def spread_for_write(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -31,30 +41,63 @@ def write_dataset(
     partition_by: Sequence[str] = LAKE_PARTITIONS,
     mode: str = "append",
     options: Mapping[str, str] | None = None,
+    spread: bool = True,
 ) -> None:
-    writer = spread_for_write(df, partition_by).write.mode(mode).options(**(options or {}))
+    refuse_sink_log(df.sparkSession, path)
+    rows = spread_for_write(df, partition_by) if spread else df
+    writer = rows.write.mode(mode).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
 
 
-def read_dataset(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """Read with a given schema, columns in its order.
+def refuse_sink_log(spark: SparkSession, path: str) -> None:
+    """Raise for a folder in which readers would not see what is written, or would miss what is removed."""
+    if folder_exists(spark, f"{path}/{SINK_LOG}"):
+        raise ValueError(f"{path} belongs to a stream's file sink, whose log hides other files")
+
+
+def write_batch(
+    df: DataFrame, path: str, batch: str, partition_by: Sequence[str] = LAKE_PARTITIONS, spread: bool = True
+) -> None:
+    """Add the rows to the lake as one batch; written again, it takes the place of its former self.
+
+    A repeated batch must have rows on the same dates, which holds for a
+    micro-batch that is run again and for a backfill of the same source.
+    """
+    rows = df.drop(BATCH).withColumn(BATCH, F.lit(batch))
+    columns = [*partition_by, BATCH]
+    write_dataset(rows, path, columns, "overwrite", {"partitionOverwriteMode": "dynamic"}, spread)
+
+
+def read_dataset(
+    spark: SparkSession, path: str, schema: str | StructType, options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Read with a given schema, columns in its order; partitions that are not in it are left out.
 
     Inference could turn a text partition into a number, and Spark would put the
     partition columns in the order of the folders.
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    return spark.read.schema(schema).options(**(options or {})).parquet(path).select(*schema.names)
+
+
+def date_folder(path: str, date_column: str, day: dt.date | None) -> str:
+    return f"{path}/{date_column}={'__HIVE_DEFAULT_PARTITION__' if day is None else day.isoformat()}"
 
 
 def read_day(
     spark: SparkSession,
     path: str,
-    day: dt.date,
+    day: dt.date | None,
     schema: str | StructType,
     date_column: str = "event_date",
 ) -> DataFrame:
-    """One day of the dataset; only that day's partitions are read."""
-    return read_dataset(spark, path, schema).filter(F.col(date_column) == F.lit(day))
+    """One day of the dataset, whose first partition is the date: only its folder is listed."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    folder = date_folder(path, date_column, day)
+    if not folder_exists(spark, folder):
+        return spark.createDataFrame([], schema)
+    return read_dataset(spark, folder, schema, {"basePath": path})

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from salesmart.operators.loads import dates_of, on_dates, replace_touched_dates
 from salesmart.plans.sales import LAKE_SCHEMA, daily_mart, staged_sales
-from salesmart.sources.lake import read_dataset
+from salesmart.sources.lake import BATCH, read_dataset
 
 EVERY = "1 hour"
 
@@ -53,7 +53,9 @@ def start_mart_stream(
     so following the lake opens no data column. A micro-batch that is run again
     after a failure rebuilds the same dates.
     """
-    reader = spark.readStream.schema(schema)
+    # Files that retention or compaction removed are no loss: their dates come with
+    # the files that took their place, or are gone.
+    reader = spark.readStream.schema(f"{schema}, {BATCH} STRING").option("ignoreMissingFiles", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 

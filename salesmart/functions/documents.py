@@ -12,11 +12,6 @@ TRUE_WORDS = ("on", "tr", "tru", "ye")
 FALSE_WORDS = ("of", "off", "fa", "fal", "fals")
 
 
-def unwrapped(document: Column, field: str = "payload") -> Column:
-    """The JSON text below ``field``, or the document itself where it has no such field."""
-    return F.coalesce(F.get_json_object(document, f"$.{field}"), document)
-
-
 def json_text(*columns: Column | str) -> Column:
     """A JSON object of the columns; NULL fields are kept as ``null``."""
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})

@@ -38,7 +38,11 @@ def is_positive(value: Column) -> Column:
 
 
 def discounted_total(price: Column, quantity: Column, discount_pct: Column, precision: int = 12) -> Column:
-    """``price * quantity`` less the discount, exact, rounded half up to cents."""
-    gross = price.cast("decimal(10,2)") * quantity.cast("decimal(6,0)")
-    kept = (F.lit(100) - discount_pct).cast("decimal(3,0)") * F.lit(Decimal("0.01"))
+    """``price * quantity`` less the discount, rounded once, half up, to cents.
+
+    Prices and discounts count to four places, quantities to three; nothing is
+    rounded before the product.
+    """
+    gross = price.cast("decimal(14,4)") * quantity.cast("decimal(10,3)")
+    kept = (F.lit(100) - discount_pct.cast("decimal(7,4)")) * F.lit(Decimal("0.01"))
     return F.round(gross * kept, 2).cast(f"decimal({precision},2)")

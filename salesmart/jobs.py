@@ -1,6 +1,8 @@
 """The jobs on the command line, for ``spark-submit``.
 
     jobs.py stream       change records of a Kafka topic to the lake, until stopped
+    jobs.py compact      the batches of closed days of the lake merged
+    jobs.py expire       old rows dropped from the lake
     jobs.py load-day     one day of the lake to a database, or to a Parquet table
     jobs.py mart         the daily mart, kept up to date with the lake
     jobs.py full-mart    the daily mart rebuilt from the whole lake, as a catalog table
@@ -21,19 +23,29 @@ import os
 from collections.abc import Sequence
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-
-from salesmart.operators.audit import next_load_date
-from salesmart.operators.keys import last_per_key
-from salesmart.operators.loads import load_day, load_together, open_table, replace_date, table_schema, upsert_by_key
+from pyspark.sql.types import StructType
+
+from salesmart.operators.audit import finish_date, next_load_date
+from salesmart.operators.loads import (
+    append_day,
+    compact_days,
+    expire_rows,
+    load_day,
+    load_together,
+    open_table,
+    replace_date,
+    table_schema,
+    upsert_by_key,
+)
 from salesmart.operators.quality import require
 from salesmart.operators.tables import full_refresh
 from salesmart.plans import movies
 from salesmart.plans import sales as model
-from salesmart.session import build_session
+from salesmart.session import WIDE, build_session
 from salesmart.sources.kafka import kafka_changes
-from salesmart.sources.lake import read_dataset
+from salesmart.sources.lake import BATCH, read_dataset
 from salesmart.sources.relational import append_jdbc
 from salesmart.streaming.lake import start_lake_stream
 from salesmart.streaming.mart import sales_mart, start_mart_stream
@@ -43,12 +55,27 @@ RAW_MOVIES = "id BIGINT, movie_id BIGINT, payload STRING, ingested_at TIMESTAMP,
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     records = kafka_changes(spark, args.servers, args.topic, max_offsets_per_trigger=args.max_offsets)
-    rows = model.decode_changes(records, observe="changes")
-    start_lake_stream(rows, args.lake, args.checkpoint, every=args.every).awaitTermination()
+    rows = model.decode_or_reject(records, observe="changes")
+    start_lake_stream(
+        rows, args.lake, args.checkpoint, every=args.every, rejects=args.rejects or f"{args.lake}_rejects"
+    ).awaitTermination()
+
+
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    schema = StructType.fromDDL(model.LAKE_SCHEMA)
+    days = [args.first + dt.timedelta(days=i) for i in range((args.last - args.first).days + 1)]
+    compact_days(spark, args.lake, schema, days)
+
+
+def expire(spark: SparkSession, args: argparse.Namespace) -> None:
+    schema = StructType.fromDDL(f"{model.LAKE_SCHEMA}, {BATCH} STRING")
+    as_of = dt.datetime.combine(args.as_of, dt.time())
+    days = expire_rows(spark, args.lake, schema, "event_time", as_of, args.months, further=[BATCH])
+    print(f"{len(days)} dates changed")
 
 
 def load_one_day(spark: SparkSession, args: argparse.Namespace) -> None:
-    schema = read_dataset(spark, args.lake, model.LAKE_SCHEMA).schema
+    schema = StructType.fromDDL(model.LAKE_SCHEMA)
 
     def to_database(rows: DataFrame) -> None:
         password = os.environ.get("JDBC_PASSWORD", "")
@@ -58,7 +85,10 @@ def load_one_day(spark: SparkSession, args: argparse.Namespace) -> None:
         append_jdbc(rows, args.url, args.table, args.driver, login)
 
     def to_table(rows: DataFrame) -> None:
-        replace_date(rows, args.table, args.date, "event_date", ["region"])
+        if args.append:
+            append_day(rows, args.table, args.date)
+        else:
+            replace_date(rows, args.table, args.date, "event_date")
 
     rows = load_day(spark, args.lake, schema, args.date, to_database if args.url else to_table)
     print(f"{args.date}: {rows} rows")
@@ -74,14 +104,12 @@ def rebuild_mart(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Pages (``load_date, page, body``) and details (``load_date, body``) come as Parquet."""
+    """Pages (``load_date, page, body``) and details (``load_date, fetched_at, body``) come as Parquet."""
     pages = read_dataset(spark, args.pages, "load_date DATE, page INT, body STRING")
-    found = movies.listed_in_pages(movies.on_date(pages, args.date), args.max_pages)
-    details = movies.on_date(read_dataset(spark, args.details, "load_date DATE, body STRING"), args.date)
-    number = F.get_json_object("body", "$.id").cast("bigint")
-    # Details that came more than once are copies of one another.
-    once = details.select("load_date", number.alias("movie_id"), F.col("body").alias("payload"))
-    once = last_per_key(once, movies.MOVIE_KEY, ["payload"])
+    counted = Observation("pages")
+    found = movies.listed_in_pages(movies.on_date(pages, args.date), args.max_pages, args.lenient, counted)
+    details = read_dataset(spark, args.details, "load_date DATE, fetched_at TIMESTAMP, body STRING")
+    once = movies.listed_details(movies.on_date(details, args.date), found)
     now = F.current_timestamp()
     loaded = load_together(
         {
@@ -90,12 +118,12 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         },
         movies.MOVIE_KEY,
     )
-    print(f"{args.date}: {loaded}")
+    print(f"{args.date}: {loaded}, pages {counted.get}")
 
 
 def check(spark: SparkSession, args: argparse.Namespace) -> None:
     for table in movie_tables(spark, args.root, "stage"):
-        require(table, movies.STAGE_NOT_NULL, movies.STAGE_UNIQUE)
+        require(movies.on_date(table, args.date), movies.STAGE_NOT_NULL, movies.STAGE_UNIQUE)
 
 
 def movie_tables(spark: SparkSession, root: str, layer: str) -> tuple[DataFrame, DataFrame]:
@@ -111,7 +139,8 @@ def movie_tables(spark: SparkSession, root: str, layer: str) -> tuple[DataFrame,
 
 def stage(spark: SparkSession, args: argparse.Namespace) -> None:
     listing, details = movie_tables(spark, args.root, "raw")
-    day = args.date or next_load_date(movie_tables(spark, args.root, "stage")[0], args.first)
+    state = f"{args.root}/state/staged"
+    day = args.date or next_load_date(spark, state, args.first)
     staged = {
         "listing": movies.stage_listing(listing, day, args.lenient),
         "details": movies.stage_details(details, day, args.lenient),
@@ -122,6 +151,7 @@ def stage(spark: SparkSession, args: argparse.Namespace) -> None:
             replace_date(rows, target, day)
         else:
             upsert_by_key(rows, target, ["stage_row_key"], key_implies_date=True, days=[day])
+    finish_date(spark, state, day)  # after both tables
 
 
 def movie_mart(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -148,10 +178,20 @@ def parser() -> argparse.ArgumentParser:
     sub = job("stream", stream, "servers", "topic", "lake", "checkpoint")
     sub.add_argument("--every", default="60 seconds")
     sub.add_argument("--max-offsets", type=int)
+    sub.add_argument("--rejects", help="folder for what cannot be decoded; by default beside the lake")
+
+    sub = job("compact", compact, "lake")
+    sub.add_argument("--first", type=dt.date.fromisoformat, required=True)
+    sub.add_argument("--last", type=dt.date.fromisoformat, required=True)
+
+    sub = job("expire", expire, "lake")
+    sub.add_argument("--as-of", type=dt.date.fromisoformat, required=True)
+    sub.add_argument("--months", type=int, default=1)
 
     sub = job("load-day", load_one_day, "lake", "table")
     sub.add_argument("date", type=dt.date.fromisoformat)
     sub.add_argument("--url", help="JDBC address; without it the table is a Parquet folder")
+    sub.add_argument("--append", action="store_true", help="add the day to a Parquet table; a day it holds raises")
     sub.add_argument("--driver")
     sub.add_argument("--user", default="default")
     sub.add_argument("--password-file", help="else JDBC_PASSWORD is read")
@@ -164,12 +204,14 @@ def parser() -> argparse.ArgumentParser:
 
     sub = job("ingest", ingest, "root", "pages", "details")
     sub.add_argument("--date", type=dt.date.fromisoformat, required=True)
-    sub.add_argument("--max-pages", type=int, default=2)
+    sub.add_argument("--max-pages", type=int, help="pages beyond it are left out")
+    sub.add_argument("--lenient", action="store_true", help="pages that cannot be read are skipped and counted")
 
-    job("check", check, "root")
+    sub = job("check", check, "root")
+    sub.add_argument("--date", type=dt.date.fromisoformat, help="else all dates")
 
     sub = job("stage", stage, "root")
-    sub.add_argument("--date", type=dt.date.fromisoformat, help="else the day after the last one staged")
+    sub.add_argument("--date", type=dt.date.fromisoformat, help="else the first one not finished")
     sub.add_argument("--first", type=dt.date.fromisoformat, default=dt.date(2026, 3, 15))
     sub.add_argument("--mode", choices=("replace", "upsert"), default="replace")
     sub.add_argument("--lenient", action="store_true", help="text that does not fit its type becomes NULL")
@@ -182,7 +224,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(spark or build_session(), args)
+    args.run(spark or build_session(settings=WIDE), args)
 
 
 if __name__ == "__main__":

@@ -5,10 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.operators.keys import distinct_keys
+from salesmart.session import folder_exists
+from salesmart.sources.lake import read_dataset
 
 
 def load_audit(listing: DataFrame, details: DataFrame, keys: Sequence[str], date_column: str) -> DataFrame:
@@ -28,19 +30,37 @@ def load_audit(listing: DataFrame, details: DataFrame, keys: Sequence[str], date
     )
 
 
-def next_load_date(target: DataFrame, first: dt.date, date_column: str = "load_date") -> dt.date:
-    """The day after the last loaded one, or ``first`` for an empty target."""
-    last = target.agg(F.max(date_column)).first()[0]
-    return first if last is None else last + dt.timedelta(days=1)
+FINISHED = "load_date DATE, finished_at TIMESTAMP"
+
+
+def finished_dates(spark: SparkSession, path: str) -> set[dt.date]:
+    """The load dates that were finished: one small row each."""
+    if not folder_exists(spark, path):
+        return set()
+    return {row[0] for row in read_dataset(spark, path, FINISHED).select("load_date").distinct().collect()}
+
+
+def finish_date(spark: SparkSession, path: str, day: dt.date) -> None:
+    """Note that everything of a load date is written, also when it had no rows."""
+    row = spark.range(1).select(F.lit(day).alias("load_date"), F.current_timestamp().alias("finished_at"))
+    row.coalesce(1).write.mode("append").parquet(path)
+
+
+def next_load_date(spark: SparkSession, path: str, first: dt.date) -> dt.date:
+    """The earliest date from ``first`` on that is not finished; it never depends on rows."""
+    finished, day = finished_dates(spark, path), first
+    while day in finished:
+        day += dt.timedelta(days=1)
+    return day
 
 
 def rows_to_load(
     source: DataFrame,
-    target: DataFrame,
+    path: str,
     first: dt.date,
     load_date: dt.date | None = None,
     date_column: str = "load_date",
 ) -> DataFrame:
     """The source rows of the next load date; a given ``load_date`` wins over the stored state."""
-    day = load_date or next_load_date(target, first, date_column)
+    day = load_date or next_load_date(source.sparkSession, path, first)
     return source.filter(F.col(date_column) == F.lit(day))

@@ -7,10 +7,15 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import AtomicType, StructType
 
 from salesmart.sources.lake import spread_for_write
 
+# Size of a range in a sorted write, as estimated, and the most ranges there can be:
+# the estimate of a join may be far too large.
+FILE_BYTES = 512 * 1024**2
+MOST_FILES = 100_000
+
 
 def create_table(
     spark: SparkSession,
@@ -105,18 +110,24 @@ def write_sorted(
     df: DataFrame,
     path: str,
     order_by: Sequence[str],
-    spread_by: Sequence[str] = (),
+    spread_by: Sequence[str] | None = None,
     options: Mapping[str, str] | None = None,
     mode: str = "overwrite",
+    file_bytes: int = FILE_BYTES,
 ) -> None:
     """Files that hold ranges of the sort key and are sorted inside.
 
-    Readers skip files and row groups by the key. ``spread_by`` extends the
-    ranges, so one key value with very many rows is split over several tasks.
+    Readers skip files and row groups by the key. There are as many ranges as
+    Spark's own estimate of the input's size asks for. ``spread_by`` extends the
+    ranges, so one key value with very many rows is split over several tasks; by
+    default all other columns that can be sorted do.
     """
+    if spread_by is None:
+        spread_by = [f.name for f in df.schema.fields if f.name not in order_by and isinstance(f.dataType, AtomicType)]
     key = [*order_by, *spread_by]
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     (
-        df.repartitionByRange(*key)
+        df.repartitionByRange(min(MOST_FILES, max(1, -(-size // file_bytes))), *key)
         .sortWithinPartitions(*key)
         .write.mode(mode)
         .options(**(options or {}))

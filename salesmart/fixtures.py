@@ -24,6 +24,8 @@ OPERATIONS = {
     "5-LOW": "d",
 }
 FIRST_LOAD_DATE = "2026-03-15"
+# Items a conversation can list, so that ids of two never meet.
+LINES_PER_LISTING = 65536
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,8 +36,8 @@ def cents(amount: Column) -> Column:
     return amount.cast("decimal(12,2)")
 
 
-def sales(spark: SparkSession, sf_dir: str, quarterly: bool = False) -> DataFrame:
-    """Sales with their change operation; ``quarterly`` books them on the first day of the quarter.
+def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales with their change operation, booked on the day they were shipped.
 
     The small tables are joined to the orders first, so the order lines, by far
     the largest table, are shuffled for two joins only.
@@ -51,7 +53,6 @@ def sales(spark: SparkSession, sf_dir: str, quarterly: bool = False) -> DataFram
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     )
-    booked = F.date_trunc("quarter", "l_shipdate") if quarterly else F.col("l_shipdate")
     discount = F.round(F.col("l_discount") * 100).cast("int")
     price = cents(F.col("l_extendedprice")).cast("decimal(10,2)")
     return lines.select(
@@ -71,7 +72,7 @@ def sales(spark: SparkSession, sf_dir: str, quarterly: bool = False) -> DataFram
         F.col("o_orderstatus").alias("channel"),
         (F.col("l_returnflag") == "R").alias("is_returned"),
         F.col("l_linenumber").alias("rating"),
-        booked.cast("timestamp").alias("event_time"),
+        F.col("l_shipdate").cast("timestamp").alias("event_time"),
         operation[F.col("o_orderpriority")].alias("cdc_op"),
         F.col("o_orderdate").cast("timestamp").alias("cdc_ts"),
     )
@@ -161,7 +162,7 @@ def raw_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("id"),
         F.col("quality").alias("runtime"),
         (F.col("doc_id") * 1000).alias("budget"),
-        F.when(F.col("toxic") == 1, "").otherwise((F.col("doc_id") * 3000000000).cast("string")).alias("revenue"),
+        F.when(F.col("toxic") == 1, "").otherwise((F.col("doc_id") * 30).cast("string")).alias("revenue"),
     )
     return raw_rows(rows, "doc_id", payload)
 
@@ -180,7 +181,7 @@ def raw_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("tt"), "p_partkey").alias("imdb_id"),
         F.when(F.col("p_type") == "SMALL", "").otherwise(F.col("load_date").cast("string")).alias("release_date"),
         F.col("p_size").alias("runtime"),
-        (F.col("p_partkey") * 10000000000).alias("budget"),
+        (F.col("p_partkey") * 1000).alias("budget"),
         F.when(F.col("p_type") == "LARGE", "").otherwise(F.col("p_partkey").cast("string")).alias("revenue"),
         F.col("p_retailprice").alias("popularity"),
         (F.col("p_size") / 4).alias("vote_average"),
@@ -216,12 +217,14 @@ def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dated_conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each turn as a page of its conversation's own load date; the line number is the item's id."""
+    """Each turn as a page; conversations share the load dates of a year, and an item's id
+    is its conversation and line."""
     items = F.transform(
-        F.split("text", "\n", -1), lambda line, i: F.struct((i + 1).alias("id"), line.alias("line"))
+        F.split("text", "\n", -1),
+        lambda line, i: F.struct((F.col("conv_id") * LINES_PER_LISTING + i + 1).alias("id"), line.alias("line")),
     )
     return table(spark, sf_dir, "conversations").select(
-        load_date_of(F.col("conv_id")).alias("load_date"),
+        load_date_of(F.pmod("conv_id", F.lit(365))).alias("load_date"),
         F.col("turn").alias("page"),
         F.to_json(F.struct(items.alias("results"))).alias("body"),
     )

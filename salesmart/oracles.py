@@ -19,14 +19,12 @@ def half_up(numerator: str, denominator: str) -> str:
     return f"((2 * ({numerator}) + ({denominator})) // (2 * ({denominator})))"
 
 
-def sales_cte(quarterly: bool = False) -> str:
-    booked = "date_trunc('quarter', l_shipdate)::TIMESTAMP" if quarterly else "l_shipdate"
-    return f"""
+SALES = """
 WITH lines AS (
     SELECT *,
         CAST(round(l_extendedprice * 100) AS BIGINT) AS price_cents,
         CAST(round(l_discount * 100) AS INTEGER) AS disc,
-        {booked} AS booked
+        l_shipdate AS booked
     FROM lineitem
     JOIN part ON l_partkey = p_partkey
     JOIN orders ON l_orderkey = o_orderkey
@@ -64,7 +62,8 @@ WITH lines AS (
 
 SALE = f"""
     id, order_id, customer_id, product_id, product_name, category, quantity,
-    price_cents / 100.0 AS unit_price, discount_pct, total_cents / 100.0 AS total_price,
+    CAST(price_cents / 100.0 AS DECIMAL(10,2)) AS unit_price, discount_pct,
+    CAST(total_cents / 100.0 AS DECIMAL(10,2)) AS total_price,
     region, city, payment_method, channel, is_returned, rating,
     {moment("booked", "event_time")}, event_date, has_discount"""
 
@@ -75,17 +74,16 @@ LAKE = f"""{SALE}, cdc_op,
 FIRST_IMAGES = "cdc_op IN ('c', 'r')"
 
 
-def daily_mart(quarterly: bool) -> str:
-    rated = "rating BETWEEN 1 AND 5"
-    return f"""{sales_cte(quarterly)}
+RATED = "rating BETWEEN 1 AND 5"
+DAILY_MART = f"""{SALES}
 SELECT event_date, region, category,
     count(*) AS total_orders,
     count(DISTINCT order_id) AS unique_orders,
     CAST(sum(quantity) AS BIGINT) AS total_quantity,
-    CAST(sum(total_cents) AS BIGINT) / 100.0 AS total_revenue,
+    CAST(CAST(sum(total_cents) AS BIGINT) / 100.0 AS DECIMAL(20,2)) AS total_revenue,
     CAST({half_up("sum(total_cents)", "count(*)")} AS BIGINT) / 100.0 AS avg_order_value,
-    CASE WHEN count(*) FILTER ({rated}) > 0 THEN CAST({
-        half_up(f"100 * sum(rating) FILTER ({rated})", f"count(*) FILTER ({rated})")
+    CASE WHEN count(*) FILTER ({RATED}) > 0 THEN CAST({
+        half_up(f"100 * sum(rating) FILTER ({RATED})", f"count(*) FILTER ({RATED})")
     } AS BIGINT) / 100.0 END AS avg_rating,
     count(*) FILTER (is_returned) AS returned_orders,
     CAST({half_up("10000 * count(*) FILTER (is_returned)", "count(*)")} AS BIGINT) / 100.0
@@ -97,18 +95,20 @@ GROUP BY event_date, region, category"""
 
 # Change records
 
-ORACLES["cdc_payload_extract"] = """
-SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"""
+ORACLES["cdc_payload_extract"] = f"""{SALES}
+SELECT cdc_op AS op, CASE WHEN cdc_op <> 'd' THEN id END AS id, CASE WHEN cdc_op <> 'd' THEN order_id END AS order_id,
+    {moment("ordered", "ingest_ts")}
+FROM sales"""
 
-ORACLES["cdc_decode_sales"] = f"{sales_cte()} SELECT {LAKE} FROM sales WHERE {FIRST_IMAGES}"
+ORACLES["cdc_decode_sales"] = f"{SALES} SELECT {LAKE} FROM sales WHERE {FIRST_IMAGES}"
 
 ORACLES["cdc_decimal_decode"] = """
-SELECT 'orders' AS kind, o_orderkey AS key, CAST(round(o_totalprice * 100) AS BIGINT) / 100.0 AS amount
+SELECT 'orders' AS kind, o_orderkey AS key, CAST(round(o_totalprice * 100) / 100.0 AS DECIMAL(10,2)) AS amount
 FROM orders
 UNION ALL
-SELECT 'customer', c_custkey, CAST(round(c_acctbal * 100) AS BIGINT) / 100.0 FROM customer"""
+SELECT 'customer', c_custkey, CAST(round(c_acctbal * 100) / 100.0 AS DECIMAL(10,2)) FROM customer"""
 
-ORACLES["cdc_op_filter"] = f"""{sales_cte()}
+ORACLES["cdc_op_filter"] = f"""{SALES}
 SELECT cdc_op AS op, count(*) AS n_rows FROM sales WHERE {FIRST_IMAGES} AND NOT is_returned GROUP BY cdc_op"""
 
 ORACLES["epoch_to_date"] = f"""
@@ -126,29 +126,41 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
     coalesce(CASE WHEN l_linestatus = 'O' THEN round(l_discount * 100) > 0 END, FALSE) AS has_discount
 FROM lineitem"""
 
-ORACLES["price_derivation"] = """
+ORACLES["price_derivation"] = f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-    ((CAST(round(p_retailprice * 100) AS BIGINT) * CAST(l_quantity AS BIGINT)
-        * (100 - CAST(round(l_discount * 100) AS BIGINT)) + 50) // 100) / 100.0 AS total_price
+    CAST({
+    half_up(
+        "CAST(round(p_retailprice * 100) AS BIGINT) * (2 * CAST(l_quantity AS BIGINT) + 1)"
+        " * (199 - 2 * CAST(round(l_discount * 100) AS BIGINT))",
+        "400",
+    )
+} / 100.0 AS DECIMAL(12,2)) AS total_price
 FROM lineitem JOIN part ON l_partkey = p_partkey"""
 
 # Lake
 
-ORACLES["lake_day_scan"] = f"{sales_cte(True)} SELECT {LAKE} FROM sales WHERE event_date = '1998-04-01'"
-ORACLES["jdbc_day_load"] = ORACLES["lake_day_scan"]
-ORACLES["stream_cdc_to_lake"] = f"{sales_cte(True)} SELECT {LAKE} FROM sales WHERE {FIRST_IMAGES}"
+ORACLES["lake_day_scan"] = f"{SALES} SELECT {LAKE} FROM sales WHERE event_date = '1998-04-01'"
+ORACLES["day_load"] = ORACLES["lake_day_scan"]
+ORACLES["day_append"] = f"{SALES} SELECT {LAKE} FROM sales WHERE event_date IN ('1998-04-01', '1998-04-02')"
+ORACLES["lake_lifecycle"] = f"""{SALES} SELECT {LAKE} FROM sales
+WHERE cdc_op IN ('c', 'r', 'u') AND booked + INTERVAL 1 MONTH > TIMESTAMP '1998-06-15 12:00:00'"""
+ORACLES["stream_cdc_to_lake"] = f"{SALES} SELECT {LAKE} FROM sales WHERE {FIRST_IMAGES}"
 
 # Sales models
 
-ORACLES["stg_sales_events"] = f"""{sales_cte()}
+ORACLES["stg_sales_events"] = f"""{SALES}
 SELECT {SALE}, CASE WHEN rating BETWEEN 1 AND 5 THEN rating END AS valid_rating
 FROM sales WHERE {FIRST_IMAGES}"""
 
 ORACLES["stg_sales_view"] = ORACLES["stg_sales_events"]
-ORACLES["mart_sales_daily"] = daily_mart(False)
-ORACLES["mart_from_changes"] = daily_mart(False)
-ORACLES["mart_incremental"] = daily_mart(True)
-ORACLES["full_refresh"] = daily_mart(True)
+ORACLES["mart_sales_daily"] = DAILY_MART
+ORACLES["mart_ranked"] = f"""
+SELECT event_date, region, category, total_revenue,
+    CAST(rank() OVER (PARTITION BY event_date ORDER BY total_revenue DESC) AS INTEGER) AS place
+FROM ({DAILY_MART})"""
+ORACLES["mart_from_changes"] = DAILY_MART
+ORACLES["mart_incremental"] = DAILY_MART
+ORACLES["full_refresh"] = DAILY_MART
 
 # JSON documents
 
@@ -169,8 +181,8 @@ SELECT {ROW_KEY.format("doc_id")} AS stage_row_key,
     lang AS original_language,
     text AS overview,
     CASE WHEN lang <> 'fr' THEN CAST(load_date AS VARCHAR) END AS release_date,
-    n_chars / 8.0 AS popularity,
-    CASE WHEN lang <> 'de' THEN CAST(n_chars AS DOUBLE) END AS vote_average,
+    CAST(n_chars / 8.0 AS DECIMAL(20,6)) AS popularity,
+    CASE WHEN lang <> 'de' THEN CAST(n_chars AS DECIMAL(20,6)) END AS vote_average,
     CAST(n_chars AS INTEGER) AS vote_count,
     lang = 'en' AS is_adult,
     CAST(NULL AS BOOLEAN) AS is_video,
@@ -184,12 +196,17 @@ PART_DETAIL = """
     lower(p_type) AS original_language,
     CASE WHEN p_type <> 'SMALL' THEN CAST(load_date AS VARCHAR) END AS release_date,
     p_size AS runtime_minutes,
-    p_partkey * 10000000000 AS budget,
+    p_partkey * 1000 AS budget,
     CASE WHEN p_type <> 'LARGE' THEN p_partkey END AS revenue,
-    p_retailprice AS popularity,
-    p_size / 4.0 AS vote_average,
+    CAST(p_retailprice AS DECIMAL(20,6)) AS popularity,
+    CAST(p_size / 4.0 AS DECIMAL(20,6)) AS vote_average,
     p_size AS vote_count"""
 
+ORACLES["stage_load_date"] = f"""{DOCUMENTS}
+SELECT doc_id AS raw_id, CAST(load_date AS VARCHAR) AS load_date, doc_id AS movie_id,
+    source || '/' || doc_id AS title, CAST(n_chars / 8.0 AS DECIMAL(20,6)) AS popularity
+FROM docs WHERE load_date = DATE '2026-03-20'"""
+
 ORACLES["json_stage_details"] = f"""{DOCUMENTS}
 SELECT {ROW_KEY.format("p_partkey")} AS stage_row_key,
     p_partkey AS raw_id, CAST(load_date AS VARCHAR) AS load_date, p_partkey AS movie_id, {FETCHED},
@@ -213,7 +230,7 @@ FROM parts"""
 ORACLES["nullif_cast"] = """
 SELECT o_orderkey,
     CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day,
-    CASE WHEN o_orderpriority <> '1-URGENT' THEN CAST(round(o_totalprice * 100) AS BIGINT) / 100.0 END AS amount,
+    CASE WHEN o_orderpriority <> '1-URGENT' THEN CAST(round(o_totalprice * 100) / 100.0 AS DECIMAL(20,6)) END AS amount,
     CASE WHEN o_orderpriority <> '2-HIGH' THEN o_custkey END AS customer,
     CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus = 'F' END AS finished
 FROM orders"""
@@ -226,12 +243,12 @@ SELECT {ROW_KEY.format("doc_id")} AS mart_row_key,
     source || '/' || doc_id AS title,
     lang AS original_language,
     CASE WHEN lang <> 'fr' THEN CAST(load_date AS VARCHAR) END AS release_date,
-    n_chars / 8.0 AS popularity,
-    CASE WHEN lang <> 'de' THEN CAST(n_chars AS DOUBLE) END AS vote_average,
+    CAST(n_chars / 8.0 AS DECIMAL(20,6)) AS popularity,
+    CASE WHEN lang <> 'de' THEN CAST(n_chars AS DECIMAL(20,6)) END AS vote_average,
     CAST(n_chars AS INTEGER) AS vote_count,
     CAST(quality AS INTEGER) AS runtime_minutes,
     CASE WHEN quality IS NOT NULL THEN doc_id * 1000 END AS budget,
-    CASE WHEN toxic <> 1 THEN doc_id * 3000000000 END AS revenue
+    CASE WHEN toxic <> 1 THEN doc_id * 30 END AS revenue
 FROM docs LEFT JOIN labels USING (doc_id)"""
 
 ORACLES["mart_movies_details"] = f"""{DOCUMENTS}
@@ -241,6 +258,10 @@ ORACLES["enrich_by_key"] = """
 SELECT o_orderkey, c_custkey, o_orderstatus, c_name, c_acctbal, c_mktsegment
 FROM orders JOIN customer ON o_custkey = c_custkey"""
 
+ORACLES["ingest_details"] = f"""{DOCUMENTS}
+SELECT CAST(load_date AS VARCHAR) AS load_date, doc_id AS movie_id, CAST(quality + 10 AS INTEGER) AS runtime
+FROM docs JOIN labels USING (doc_id) WHERE lang <> 'en'"""
+
 ORACLES["land_json"] = """
 SELECT '2026-03-15' AS load_date, c_custkey AS movie_id, * FROM customer"""
 
@@ -251,7 +272,8 @@ ITEMS = """
 SELECT listing, page, CAST(i AS INTEGER) AS line_no, lines[i] AS line
 FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM found)"""
 
-ORACLES["flatten_pages"] = f"WITH found AS ({TURNS} AND turn + 1 <= 2) {ITEMS}"
+ORACLES["flatten_pages"] = f"""
+WITH found AS ({TURNS}), items AS ({ITEMS}) SELECT *, page <= 2 AS in_cap FROM items"""
 ORACLES["flatten_all_pages"] = f"""
 WITH found AS ({TURNS}
     UNION ALL SELECT 'doc-' || doc_id, 1, string_split(text, chr(10)) FROM documents
@@ -259,13 +281,14 @@ WITH found AS ({TURNS}
 
 ORACLES["pages_to_raw"] = f"""
 WITH found AS (
-    SELECT DATE '2026-03-15' + CAST(conv_id AS INTEGER) AS load_date, conv_id AS listing, turn AS page,
-        string_split(text, chr(10)) AS lines FROM conversations
-), items AS (SELECT load_date, found_items.* FROM ({ITEMS}) AS found_items
-    JOIN (SELECT DISTINCT listing, load_date FROM found) USING (listing))
-SELECT date_diff('day', DATE '1970-01-01', load_date) * 1099511627776 + line_no AS id,
-    CAST(load_date AS VARCHAR) AS load_date, CAST(line_no AS BIGINT) AS movie_id, line
-FROM (SELECT *, row_number() OVER (PARTITION BY load_date, line_no ORDER BY page DESC) AS place FROM items)
+    SELECT conv_id AS listing, turn AS page, string_split(text, chr(10)) AS lines FROM conversations
+), items AS (
+    SELECT listing, page, line, CAST(listing * 65536 + line_no AS BIGINT) AS movie_id,
+        DATE '2026-03-15' + CAST(listing % 365 AS INTEGER) AS load_date FROM ({ITEMS})
+)
+SELECT date_diff('day', DATE '1970-01-01', load_date) * 1099511627776 + movie_id AS id,
+    CAST(load_date AS VARCHAR) AS load_date, movie_id, line
+FROM (SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY page DESC) AS place FROM items)
 WHERE place = 1"""
 
 # Load modes
@@ -313,7 +336,7 @@ FROM docs LEFT JOIN labels USING (doc_id) GROUP BY load_date"""
 
 ORACLES["load_cursor"] = f"""{DOCUMENTS}
 SELECT doc_id, lang, n_chars, 'source' AS origin, CAST(load_date AS VARCHAR) AS load_date
-FROM docs WHERE load_date = (SELECT max(load_date) + 1 FROM docs WHERE load_date <= DATE '2026-03-17')"""
+FROM docs WHERE load_date = DATE '2026-03-18'"""
 
 # Retention, table layout, checks
 
@@ -331,6 +354,15 @@ ORACLES["computed_columns"] = """
 SELECT p_partkey, size AS col_default, size * 33 AS col_stored, size + 1 AS col_alias
 FROM (SELECT p_partkey, CAST(CASE WHEN p_type = 'ECONOMY' THEN p_size ELSE 42 END AS BIGINT) AS size FROM part)"""
 
+ORACLES["literal_rows"] = """
+SELECT o_orderkey, CASE o_orderpriority
+        WHEN '1-URGENT' THEN 'c' WHEN '2-HIGH' THEN 'c' WHEN '3-MEDIUM' THEN 'r'
+        WHEN '4-NOT SPECIFIED' THEN 'u' WHEN '5-LOW' THEN 'd' END AS op, 7 AS weight
+FROM orders"""
+ORACLES["column_comments"] = """
+SELECT 'c_custkey' AS column_name, 'number of the customer' AS remark, count(c_custkey) AS filled FROM customer
+UNION ALL SELECT 'c_name', 'as on the invoice', count(c_name) FROM customer
+UNION ALL SELECT 'c_mktsegment', NULL, count(c_mktsegment) FROM customer"""
 ORACLES["array_column"] = " UNION ALL ".join(
     f"SELECT l_orderkey, {moment('l_shipdate', 'l_shipdate')}, {i} AS position, CAST({c} AS BIGINT) AS item"
     " FROM lineitem"

@@ -1,21 +1,22 @@
 """The registered queries: every operator, run over the whole test tables.
 
-Results hold only text, whole numbers, doubles and booleans (``plain``), so that
-another engine's result compares without guessing at types.
+Dates and times come out as text (``plain``), so that another engine's result
+compares without guessing at types; decimals stay what they are.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
 from salesmart import fixtures as fx
 from salesmart.functions.binary import decode_decimal, encode_decimal
-from salesmart.functions.documents import json_text, text_fields, typed, unwrapped
+from salesmart.functions.documents import json_text, text_fields, typed
 from salesmart.functions.times import (
     from_epoch_micros,
     from_epoch_millis,
@@ -28,9 +29,9 @@ from salesmart.functions.values import discounted_total, is_positive, row_key
 from salesmart.operators import audit, keys, loads, pages, quality, retention, tables
 from salesmart.plans import movies
 from salesmart.plans import sales as model
-from salesmart.session import use_utc, working_folder
+from salesmart.session import remove_folder, use_utc, working_folder
 from salesmart.sources.kafka import recorded_changes
-from salesmart.sources.lake import read_dataset, read_day, write_dataset
+from salesmart.sources.lake import BATCH, read_dataset, read_day, write_batch, write_dataset
 from salesmart.streaming.lake import start_lake_stream
 from salesmart.streaming.mart import start_mart_stream
 
@@ -38,8 +39,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed values the queries and their SQL share.
 LAKE_DAY = dt.date(1998, 4, 1)
+LAKE_AS_OF = dt.datetime(1998, 6, 15, 12)
+COMPACTED_DAYS = [dt.date(1998, 6, 1), dt.date(1998, 6, 2)]
+ARRIVALS = (dt.datetime(1994, 1, 1), dt.datetime(1996, 1, 1))
 REPLACED_DATE = dt.date(2026, 3, 20)
-LAST_LOADED = dt.date(2026, 3, 17)
 FIRST_DATE = dt.date(2026, 3, 15)
 AS_OF = dt.datetime(2024, 2, 15)
 DOCUMENT_KEY = ("load_date", "doc_id")
@@ -48,12 +51,10 @@ QUERIES: dict[str, Query] = {}
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, dates and times as text."""
+    """Dates and times as text."""
 
     def column(field):
         value = F.col(field.name)
-        if isinstance(field.dataType, DecimalType):
-            return value.cast("double").alias(field.name)
         if isinstance(field.dataType, DateType):
             return value.cast("string").alias(field.name)
         if isinstance(field.dataType, (TimestampType, TimestampNTZType)):
@@ -63,9 +64,47 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[column(f) for f in df.schema.fields])
 
 
+# What each query made in its last run: its result reads it, so it goes with the next run.
+_made: dict[tuple[str, str], list[Callable[[], object]]] = {}
+_running: list[Callable[[], object]] = []
+
+
+def scratch(spark: SparkSession, purpose: str) -> str:
+    """A working folder of the running query."""
+    path = working_folder(spark, purpose)
+    _running.append(lambda: remove_folder(spark, path))
+    return path
+
+
+def scratch_database(spark: SparkSession, purpose: str) -> str:
+    """A database of the running query, in a working folder of its own."""
+    folder = scratch(spark, purpose)
+    database = folder.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
+    _running.insert(0, lambda: spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE"))
+    return database
+
+
+def scratch_table(spark: SparkSession, purpose: str) -> str:
+    """The name for a table of the running query."""
+    name = f"{purpose}_{uuid.uuid4().hex}"
+    _running.insert(0, lambda: tables.drop_table(spark, name))
+    return name
+
+
+def drop_made(spark: SparkSession, name: str) -> None:
+    """Remove the tables, databases and folders a query's last run left for its result."""
+    for drop in _made.pop((spark.sparkContext.applicationId, name), []):
+        drop()
+
+
 def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plain(build(use_utc(spark), sf_dir))
+        drop_made(spark, build.__name__)
+        _running.clear()
+        result = plain(build(use_utc(spark), sf_dir))
+        _made[spark.sparkContext.applicationId, build.__name__] = list(_running)
+        return result
 
     QUERIES[build.__name__] = run
     return build
@@ -76,13 +115,15 @@ def query(build: Query) -> Query:
 
 @query
 def cdc_payload_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wrapped = F.concat(F.lit('{"payload": '), "props", F.lit("}"))
-    events = fx.table(spark, sf_dir, "events").select(
-        "event_id",
-        F.when(F.col("event_type").isin("click", "view"), F.col("props")).otherwise(wrapped).alias("value"),
+    """Operation and first image out of bare and wrapped envelopes, of every operation."""
+    events = model.parse_changes(fx.change_records(fx.sales(spark, sf_dir)))
+    after = F.col("event.after")
+    return events.select(
+        F.col("event.op").alias("op"),
+        after["id"].alias("id"),
+        after["order_id"].alias("order_id"),
+        "ingest_ts",
     )
-    inner = unwrapped(F.col("value").cast("binary").cast("string"))
-    return events.select("event_id", F.get_json_object(inner, "$.k").cast("bigint").alias("k"))
 
 
 @query
@@ -140,19 +181,31 @@ def price_derivation(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fx.table(spark, sf_dir, "lineitem").join(
         fx.table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
-    discount = F.round(F.col("l_discount") * 100).cast("int")
-    total = discounted_total(F.col("p_retailprice"), F.col("l_quantity"), discount)
+    # Half a piece and half a percent more, so that both have fractions.
+    discount = F.round(F.col("l_discount") * 100).cast("int") + F.expr("0.5")
+    total = discounted_total(F.col("p_retailprice"), F.col("l_quantity") + F.expr("0.5"), discount)
     return lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", total.alias("total_price"))
 
 
 # Lake -----------------------------------------------------------------------
 
 
+_lakes: dict[tuple[str, str], str] = {}
+
+
+def standing_lake(spark: SparkSession, sf_dir: str) -> str:
+    """The lake of all sales, written once per application for the queries that read days of it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _lakes:
+        path = working_folder(spark, "lake")
+        write_batch(fx.lake_rows(fx.sales(spark, sf_dir)), path, "all")
+        _lakes[key] = path
+    return _lakes[key]
+
+
 @query
 def lake_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = working_folder(spark, "lake")
-    write_dataset(fx.lake_rows(fx.sales(spark, sf_dir, quarterly=True)), path)
-    return read_day(spark, path, LAKE_DAY, model.LAKE_SCHEMA)
+    return read_day(spark, standing_lake(spark, sf_dir), LAKE_DAY, model.LAKE_SCHEMA)
 
 
 def replayed_lake(spark: SparkSession, records: str, lake: str, checkpoint: str) -> None:
@@ -163,26 +216,50 @@ def replayed_lake(spark: SparkSession, records: str, lake: str, checkpoint: str)
 
 @query
 def stream_cdc_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = working_folder(spark, "stream")
-    fx.change_records(fx.sales(spark, sf_dir, quarterly=True)).write.parquet(f"{folder}/records")
+    folder = scratch(spark, "stream")
+    fx.change_records(fx.sales(spark, sf_dir)).write.parquet(f"{folder}/records")
     replayed_lake(spark, f"{folder}/records", f"{folder}/lake", f"{folder}/checkpoint")
     return read_dataset(spark, f"{folder}/lake", model.LAKE_SCHEMA)
 
 
 @query
-def jdbc_day_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = working_folder(spark, "day-load")
-    lake, warehouse = f"{folder}/lake", f"{folder}/warehouse"
-    write_dataset(fx.lake_rows(fx.sales(spark, sf_dir, quarterly=True)), lake)
+def lake_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream, a backfill of the updates, retention and compaction, all on one lake."""
+    folder = scratch(spark, "lifecycle")
+    lake = f"{folder}/lake"
+    sales = fx.sales(spark, sf_dir)
+    fx.change_records(sales).write.parquet(f"{folder}/records")
+    replayed_lake(spark, f"{folder}/records", lake, f"{folder}/checkpoint")
+    write_batch(fx.lake_rows(sales).filter(F.col("cdc_op") == "u"), lake, "backfill")
+    schema = StructType.fromDDL(f"{model.LAKE_SCHEMA}, {BATCH} STRING")
+    loads.expire_rows(spark, lake, schema, "event_time", LAKE_AS_OF, further=[BATCH])
+    loads.compact_days(spark, lake, StructType.fromDDL(model.LAKE_SCHEMA), COMPACTED_DAYS)
+    return read_dataset(spark, lake, model.LAKE_SCHEMA)
 
-    def sink(rows: DataFrame) -> None:
-        loads.replace_date(rows, warehouse, LAKE_DAY, "event_date", ["region"])
 
-    for _ in range(2):  # the second run replaces what the first one loaded
-        loads.load_day(spark, lake, model.LAKE_SCHEMA, LAKE_DAY, sink)
+def day_table(spark: SparkSession, sf_dir: str, write: Callable[[DataFrame, str], object], days: list) -> DataFrame:
+    """A table into which the given days of the lake are loaded one after another."""
+    lake, warehouse = standing_lake(spark, sf_dir), scratch(spark, "day-load")
+    schema = StructType.fromDDL(model.LAKE_SCHEMA)
+    for day in days:
+        loads.load_day(spark, lake, schema, day, lambda rows, day=day: write(rows, warehouse, day))
     return read_dataset(spark, warehouse, model.LAKE_SCHEMA)
 
 
+@query
+def day_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second run replaces what the first one loaded."""
+    return day_table(
+        spark, sf_dir, lambda rows, path, day: loads.replace_date(rows, path, day, "event_date"), [LAKE_DAY, LAKE_DAY]
+    )
+
+
+@query
+def day_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days appended to one table."""
+    return day_table(spark, sf_dir, loads.append_day, [LAKE_DAY, LAKE_DAY + dt.timedelta(days=1)])
+
+
 # Sales models ---------------------------------------------------------------
 
 
@@ -195,9 +272,7 @@ def stg_sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stg_sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staging layer as a catalog view over the raw table."""
-    folder = working_folder(spark, "layers")
-    database = folder.rsplit("/", 1)[-1].replace("-", "_")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
+    database = scratch_database(spark, "layers")
     raw, view = f"{database}.raw_sales_events", f"{database}.stg_sales_events"
     tables.create_table(spark, raw, model.LAKE_SCHEMA)
     tables.append_rows(fx.lake_rows(fx.sales(spark, sf_dir)), raw)
@@ -211,6 +286,14 @@ def mart_sales_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.daily_mart(staged, ordered=True)
 
 
+@query
+def mart_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each row of a day in the mart's order."""
+    mart = model.daily_mart(model.staged_sales(fx.lake_rows(fx.sales(spark, sf_dir))))
+    place = F.rank().over(Window.partitionBy("event_date").orderBy(F.desc("total_revenue")))
+    return mart.select("event_date", "region", "category", "total_revenue", place.alias("place"))
+
+
 @query
 def mart_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart over decoded change records: decode, stage and aggregate as one plan."""
@@ -220,12 +303,17 @@ def mart_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change records arrive channel by channel; both streams restart after each arrival."""
-    folder = working_folder(spark, "incremental")
-    sales = fx.sales(spark, sf_dir, quarterly=True)
-    fx.change_records(sales, "channel").write.partitionBy("channel").parquet(f"{folder}/all")
-    for channel in ("F", "O", "P"):
-        arrived = spark.read.parquet(f"{folder}/all").filter(F.col("channel") == channel).drop("channel")
+    """Change records arrive in three ranges of dates, the seventh lines of the first range with
+    the last; both streams restart after each arrival."""
+    folder = scratch(spark, "incremental")
+    first, second = (F.col("event_time") < F.lit(day) for day in ARRIVALS)
+    late = F.col("rating") == 7
+    sales = fx.sales(spark, sf_dir).withColumn(
+        "arrival", F.when(first & ~late, 1).when(second & ~first, 2).otherwise(3)
+    )
+    fx.change_records(sales, "arrival").write.partitionBy("arrival").parquet(f"{folder}/all")
+    for arrival in (1, 2, 3):
+        arrived = spark.read.parquet(f"{folder}/all").filter(F.col("arrival") == arrival).drop("arrival")
         arrived.write.mode("append").parquet(f"{folder}/records")
         replayed_lake(spark, f"{folder}/records", f"{folder}/lake", f"{folder}/lake-checkpoint")
         start_mart_stream(
@@ -242,6 +330,14 @@ def json_stage_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return movies.stage_listing(fx.raw_listing(spark, sf_dir)).drop("raw_payload")
 
 
+@query
+def stage_load_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One load date of the raw documents."""
+    return movies.stage_listing(fx.raw_listing(spark, sf_dir), REPLACED_DATE).select(
+        "raw_id", *movies.MOVIE_KEY, "title", "popularity"
+    )
+
+
 @query
 def json_stage_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return movies.stage_details(fx.raw_parts(spark, sf_dir)).drop("raw_payload")
@@ -296,6 +392,27 @@ def enrich_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.enriched(listing, details, ["c_custkey"])
 
 
+@query
+def ingest_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels as fetched details, each twice, of which the second counts; only those of documents
+    that a page lists."""
+    documents = fx.documents(spark, sf_dir)
+    page = F.to_json(F.struct(F.array(F.struct(F.col("doc_id").alias("id"))).alias("results")))
+    listed = movies.listed_in_pages(
+        documents.filter(F.col("lang") != "en").select("load_date", F.lit(1).alias("page"), page.alias("body"))
+    )
+    found = documents.join(fx.table(spark, sf_dir, "labels"), "doc_id")
+
+    def fetched(hour: int, quality: Column) -> DataFrame:
+        body = json_text(F.col("doc_id").alias("id"), quality.alias("runtime"))
+        at = F.col("load_date").cast("timestamp") + F.make_dt_interval(hours=F.lit(hour))
+        return found.select("load_date", at.alias("fetched_at"), body.alias("body"))
+
+    details = fetched(9, F.col("quality") + 10).unionByName(fetched(8, F.lit(99)))
+    landed = movies.listed_details(details, listed)
+    return landed.select(*movies.MOVIE_KEY, F.get_json_object("payload", "$.runtime").cast("int").alias("runtime"))
+
+
 @query
 def land_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = fx.table(spark, sf_dir, "customer")
@@ -306,10 +423,12 @@ def land_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def flatten_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first two pages of every conversation."""
+    """All pages of every conversation, and whether the page is one of the first two."""
     found = fx.conversation_pages(spark, sf_dir)
-    items = pages.flatten_pages(found, "STRUCT<line_no: INT, line: STRING>", max_pages=2)
-    return items.select("listing", "page", "item.*")
+    kind = "STRUCT<line_no: INT, line: STRING>"
+    capped = pages.flatten_pages(found, kind, max_pages=2).select("listing", "page").distinct()
+    items = pages.flatten_pages(found, kind).join(capped.withColumn("in_cap", F.lit(True)), ["listing", "page"], "left")
+    return items.select("listing", "page", "item.*", F.coalesce("in_cap", F.lit(False)).alias("in_cap"))
 
 
 @query
@@ -322,7 +441,7 @@ def flatten_all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pages_to_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A conversation is a load date, a turn a page, a line a movie; the last line of a number wins."""
+    """A turn is a page, a line of a conversation a movie; the last line of a number wins."""
     listed = movies.listed_in_pages(fx.dated_conversation_pages(spark, sf_dir))
     raw = movies.as_raw(listed, F.col("load_date").cast("timestamp"))
     return raw.select("id", *movies.MOVIE_KEY, F.get_json_object("payload", "$.line").alias("line"))
@@ -347,7 +466,7 @@ def document_rows(spark: SparkSession, sf_dir: str, origin: str, factor: int = 1
 
 def labelled_table(spark: SparkSession, sf_dir: str) -> str:
     """A table that holds the labelled documents already."""
-    path = working_folder(spark, "documents")
+    path = scratch(spark, "documents")
     labelled = document_rows(spark, sf_dir, "old").join(fx.table(spark, sf_dir, "labels"), "doc_id", "left_semi")
     write_dataset(labelled, path, ["load_date"])
     return path
@@ -376,7 +495,7 @@ def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def replace_load_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table is also split by language, and the new batch lacks some of them."""
-    path = working_folder(spark, "documents")
+    path = scratch(spark, "documents")
     write_dataset(document_rows(spark, sf_dir, "old"), path, ["load_date", "lang"])
     batch = document_rows(spark, sf_dir, "new", 2).filter(F.col("lang") == "en")
     loads.replace_date(batch, path, REPLACED_DATE, partition_by=["lang"])
@@ -386,7 +505,7 @@ def replace_load_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def load_together(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = working_folder(spark, "together")
+    folder = scratch(spark, "together")
     listing = fx.raw_listing(spark, sf_dir).select("movie_id", "payload", "load_date")
     details = fx.raw_labels(spark, sf_dir).select("movie_id", "payload", "load_date")
     loads.load_together({f"{folder}/listing": listing, f"{folder}/details": details}, movies.MOVIE_KEY)
@@ -411,21 +530,22 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def load_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = document_rows(spark, sf_dir, "source")
-    path = working_folder(spark, "loaded")
-    write_dataset(source.filter(F.col("load_date") <= F.lit(LAST_LOADED)), path, ["load_date"])
-    target = read_dataset(spark, path, DOCUMENT_TABLE)
-    return audit.rows_to_load(source, target, FIRST_DATE)
+    """The date after three finished ones, of which the second had no rows."""
+    source = document_rows(spark, sf_dir, "source").filter(F.col("load_date") != F.lit(FIRST_DATE + dt.timedelta(days=1)))
+    path, state = scratch(spark, "loaded"), scratch(spark, "state")
+    for _ in range(3):
+        day = audit.next_load_date(spark, state, FIRST_DATE)
+        loads.replace_date(audit.rows_to_load(source, state, FIRST_DATE), path, day)
+        audit.finish_date(spark, state, day)
+    return audit.rows_to_load(source, state, FIRST_DATE)
 
 
 @query
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mart of inserts only, rebuilt from all sales."""
-    folder = working_folder(spark, "marts")
-    database = folder.rsplit("/", 1)[-1].replace("-", "_")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
+    database = scratch_database(spark, "marts")
     name = f"{database}.mart_sales_daily"
-    rows = fx.lake_rows(fx.sales(spark, sf_dir, quarterly=True))
+    rows = fx.lake_rows(fx.sales(spark, sf_dir))
     for kept in (rows.filter(F.col("cdc_op") == "c"), rows):
         mart = model.daily_mart(model.staged_sales(kept))
         tables.full_refresh(tables.commented(mart, {"event_date": "day of the sale"}), name)
@@ -452,7 +572,7 @@ def retention_weekends(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def retention_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows dropped from a table by date, in the middle of a day."""
-    path = working_folder(spark, "events")
+    path = scratch(spark, "events")
     events = fx.table(spark, sf_dir, "events").select(
         "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), F.to_date("ts").alias("event_date")
     )
@@ -465,12 +585,12 @@ def retention_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def computed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Economy parts bring their size, the others get the default."""
-    name = f"computed_{working_folder(spark, 'c')[-32:]}"
+    name = scratch_table(spark, "computed")
     tables.create_table(
         spark,
         name,
         "p_partkey BIGINT, col_default BIGINT DEFAULT 42 COMMENT 'size or default', col_stored BIGINT",
-        location=working_folder(spark, "computed"),
+        location=scratch(spark, "computed"),
     )
     parts = fx.table(spark, sf_dir, "part")
     economy = F.col("p_type") == "ECONOMY"
@@ -483,10 +603,38 @@ def computed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.with_computed(spark.table(name), derived={"col_alias": F.col("col_default") + 1})
 
 
+@query
+def literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of literal rows, one column by default, that orders look up."""
+    name = scratch_table(spark, "literal")
+    tables.create_table(
+        spark, name, "priority STRING, op STRING, weight INT DEFAULT 7", location=scratch(spark, "literal")
+    )
+    tables.insert_rows(spark, name, list(fx.OPERATIONS.items()), "priority STRING, op STRING")
+    orders = fx.table(spark, sf_dir, "orders")
+    return orders.join(spark.table(name), F.col("o_orderpriority") == F.col("priority"), "left").select(
+        "o_orderkey", "op", "weight"
+    )
+
+
+@query
+def column_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comments of a stored table's columns, and how many rows have a value there."""
+    name = scratch_table(spark, "commented")
+    customers = fx.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    comments = {"c_custkey": "number of the customer", "c_name": "as on the invoice"}
+    path = scratch(spark, "commented")
+    tables.commented(customers, comments).write.option("path", path).saveAsTable(name)
+    columns = [(c.name, c.description) for c in spark.catalog.listColumns(name)]
+    described = spark.createDataFrame(columns, "column_name STRING, remark STRING")
+    filled = spark.table(name).agg(*[F.count(c).alias(c) for c in customers.columns])
+    return described.join(filled.unpivot([], customers.columns, "column_name", "filled"), "column_name")
+
+
 @query
 def array_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrays written to a table, read back and taken apart."""
-    path = working_folder(spark, "arrays")
+    path = scratch(spark, "arrays")
     items = F.array(F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber").cast("bigint"))
     rows = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", items.alias("items"))
     write_dataset(rows, path, partition_by=())
@@ -496,15 +644,15 @@ def array_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sorted_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = working_folder(spark, "sorted")
+    path = scratch(spark, "sorted")
     orders = fx.table(spark, sf_dir, "orders")
-    tables.write_sorted(orders, path, ["o_custkey"], spread_by=["o_orderkey"])
+    tables.write_sorted(orders, path, ["o_custkey"])
     return read_dataset(spark, path, orders.schema)
 
 
 @query
 def compressed_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = working_folder(spark, "compressed")
+    path = scratch(spark, "compressed")
     orders = fx.table(spark, sf_dir, "orders")
     write_dataset(orders, path, partition_by=(), options=tables.compression("zstd", 10))
     return read_dataset(spark, path, orders.schema)

@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from salesmart.functions.documents import json_text, text_fields, typed, unwrapped
+from salesmart.functions.documents import json_text, text_fields, typed
 from salesmart.functions.times import (
     from_epoch_micros,
     from_epoch_millis,
@@ -23,11 +23,6 @@ def values(spark, kind, items, expression):
     return [r[1] for r in df.select("i", expression(F.col("v"))).orderBy("i").collect()]
 
 
-def test_unwrapped(spark):
-    docs = ['{"payload": {"a": 1}}', '{"a": 1}', '{"payload": null}', None]
-    assert values(spark, "STRING", docs, unwrapped) == ['{"a":1}', '{"a": 1}', '{"payload": null}', None]
-
-
 def test_text_fields_keep_json_text_of_any_value(spark):
     doc = '{"s": "x", "e": "", "n": 1.5, "b": true, "z": null, "o": {"k": [1, 2]}, "a": [{"id": 3}]}'
     keys = ["s", "e", "n", "b", "z", "o", "a", "missing"]

@@ -61,10 +61,14 @@ def test_from_pages_to_the_mart(spark, folder):
     def page(*items):
         return json.dumps({"results": [{"id": i, "title": t} for i, t in items]})
 
-    pages = [(day, 1, page((1, "a"), (2, "b"))), (day, 2, page((1, "again"))), (day, 3, page((9, "too far")))]
-    detail = [(day, json.dumps({"id": i, "runtime": 90 + i})) for i in (1, 1, 2)]
+    pages = [(day, 1, page((1, "a"), (2, "b"))), (day, 2, page((1, "again"))), (day, 3, page((9, "last page")))]
+    at = [dt.datetime(2026, 3, 15, hour) for hour in (9, 8, 9, 9)]
+    fetched = [(1, 91), (1, 999), (2, 92), (77, 5)]  # the second is older, the last is not listed
+    detail = [(day, when, json.dumps({"id": i, "runtime": n})) for when, (i, n) in zip(at, fetched, strict=True)]
     spark.createDataFrame(pages, "load_date DATE, page INT, body STRING").write.parquet(f"{folder}/pages")
-    spark.createDataFrame(detail, "load_date DATE, body STRING").write.parquet(f"{folder}/found")
+    spark.createDataFrame(detail, "load_date DATE, fetched_at TIMESTAMP, body STRING").write.parquet(
+        f"{folder}/found"
+    )
     place = ["--root", folder]
     taken = ["--pages", f"{folder}/pages", "--details", f"{folder}/found", "--date", "2026-03-15"]
     for _ in range(2):
@@ -73,14 +77,64 @@ def test_from_pages_to_the_mart(spark, folder):
     jobs.main(["check", *place], spark)
     jobs.main(["movies", *place, "--date", "2026-03-15", "--source", "listing"], spark)
     found = spark.read.parquet(f"{folder}/mart/listing")
-    assert rows(found.select("movie_id", "title", "runtime_minutes")) == [(1, "again", 91), (2, "b", 92)]
+    assert rows(found.select("movie_id", "title", "runtime_minutes")) == [
+        (1, "again", 91), (2, "b", 92), (9, "last page", None),
+    ]
+    assert spark.read.parquet(f"{folder}/raw/details").count() == 2
     replace_date(spark.read.parquet(f"{folder}/stage/listing").withColumn("raw_id", F.lit(1)), f"{folder}/bad", day)
     bad = spark.read.parquet(f"{folder}/bad")
     write_dataset(bad, f"{folder}/stage/listing", ["load_date"])
-    with pytest.raises(ValueError, match=r"unique\(raw_id\): [12]"):
+    with pytest.raises(ValueError, match=r"unique\(raw_id\): [123]"):
         jobs.main(["check", *place], spark)
 
 
+def test_pages_that_cannot_be_read(spark, folder):
+    day = dt.date(2026, 3, 15)
+    good = json.dumps({"results": [{"id": 1}]})
+    pages = [(day, 1, good), (day, 2, good[:-4]), (day, 3, "<html>busy</html>"), (day, 4, None)]
+    spark.createDataFrame(pages, "load_date DATE, page INT, body STRING").write.parquet(f"{folder}/pages")
+    spark.createDataFrame([], "load_date DATE, fetched_at TIMESTAMP, body STRING").write.parquet(f"{folder}/found")
+    job = ["ingest", "--root", folder, "--pages", f"{folder}/pages", "--details", f"{folder}/found", "--date", "2026-03-15"]
+    with pytest.raises(Exception, match="MALFORMED_RECORD|without a body"):
+        jobs.main(job, spark)
+    jobs.main([*job, "--lenient"], spark)
+    assert spark.read.parquet(f"{folder}/raw/listing").count() == 1
+    jobs.main([*job, "--lenient", "--max-pages", "1"], spark)
+
+
+def test_the_cursor_waits_for_both_tables_and_passes_empty_days(spark, root, monkeypatch):
+    """Raw rows lie on 15 and 16 March only."""
+    def day():
+        return jobs.next_load_date(spark, f"{root}/state/staged", dt.date(2026, 3, 15))
+
+    real = jobs.replace_date
+
+    def fails_on_details(rows, target, when):
+        if target.endswith("details"):
+            raise RuntimeError("lost")
+        return real(rows, target, when)
+
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+        patch.setattr(jobs, "replace_date", fails_on_details)
+        jobs.main(["stage", "--root", root], spark)
+    assert day() == dt.date(2026, 3, 15)
+    jobs.main(["stage", "--root", root, "--date", "2026-03-17"], spark)  # an empty day, ahead of its turn
+    for expected in (16, 18):
+        jobs.main(["stage", "--root", root], spark)
+        assert day() == dt.date(2026, 3, expected)
+    listing, details = jobs.movie_tables(spark, root, "stage")
+    assert (listing.count(), details.count()) == (6, 4)
+
+
+def test_lake_jobs(spark, folder):
+    arrive(spark, folder, events(0, 12) + events(12, 6, day=1) + events(20, 4, day=32))
+    to_lake(spark, folder)
+    jobs.main(["compact", "--lake", f"{folder}/lake", "--first", "2024-05-10", "--last", "2024-05-12"], spark)
+    assert lake(spark, folder).count() == 22
+    jobs.main(["expire", "--lake", f"{folder}/lake", "--as-of", "2024-06-12"], spark)
+    assert lake(spark, folder).count() == 4
+
+
 def test_database_job(spark, folder, monkeypatch):
     arrive(spark, folder, events(0, 3))
     to_lake(spark, folder)

@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from salesmart.operators import loads
-from salesmart.operators.audit import load_audit, next_load_date, rows_to_load
+from salesmart.operators.audit import finish_date, load_audit, next_load_date, rows_to_load
 from salesmart.operators.keys import absent_rows, enriched, inserted_if_absent, last_per_key, upserted
 from salesmart.operators.retention import keep_recent
 from salesmart.sources.lake import read_dataset, write_dataset
@@ -132,7 +132,7 @@ def test_frame_level_operators(spark):
     new = frame(spark, (2, "B", D[0]), (3, "C", D[0]), (None, "N", D[0]))
     assert rows(absent_rows(new, old, ["k"])) == [(3, "C", D[0]), (None, "N", D[0])]
     assert [r[1] for r in rows(inserted_if_absent(old, new, ["k"]))] == ["a", "b", "C", "N", "n"]
-    assert [r[1] for r in rows(upserted(old, new, ["k"]))] == ["a", "B", "C", "N", "n"]
+    assert [r[1] for r in rows(upserted(old, new, ["k"]))] == ["a", "B", "C", "N"]
     listed = spark.createDataFrame([(1,), (1,), (4,)], "k BIGINT")
     assert rows(enriched(listed, old, ["k"])) == [(1, "a", D[0])] * 2
 
@@ -157,12 +157,64 @@ def test_load_day(spark, folder):
     assert read(spark, target) == [(2, "b", D[1])] * 2
 
 
-def test_cursor(spark):
-    empty, loaded = frame(spark), frame(spark, (1, "a", D[0]), (2, "b", D[1]))
+def test_cursor(spark, folder):
     source = frame(spark, *[(i, "s", day) for i, day in enumerate(D)])
-    assert next_load_date(empty, D[0]) == D[0] and next_load_date(loaded, D[0]) == D[2]
-    assert rows(rows_to_load(source, loaded, D[0])) == [(2, "s", D[2])]
-    assert rows(rows_to_load(source, loaded, D[0], load_date=D[4])) == [(4, "s", D[4])]
+    state = f"{folder}/state"
+    assert next_load_date(spark, state, D[0]) == D[0]
+    for day in (D[0], D[2], D[0]):
+        finish_date(spark, state, day)
+    assert next_load_date(spark, state, D[0]) == D[1]  # a date finished ahead is no reason to skip one
+    assert rows(rows_to_load(source, state, D[0])) == [(1, "s", D[1])]
+    finish_date(spark, state, D[1])
+    assert rows(rows_to_load(source, state, D[0])) == [(3, "s", D[3])]
+    assert rows(rows_to_load(source, state, D[0], load_date=D[4])) == [(4, "s", D[4])]
+
+
+def test_upsert_with_null_dates_and_wrong_days(spark, folder):
+    path = table(spark, folder, (1, "a", D[0]), (2, "b", None), (3, "c", D[1]))
+    batch = frame(spark, (2, "new", None), (4, "more", D[0]))
+    for _ in range(2):
+        assert loads.upsert_by_key(batch, path, ["load_date", "k"]) == [D[0], None]
+        assert read(spark, path) == [(1, "a", D[0]), (2, "new", None), (3, "c", D[1]), (4, "more", D[0])]
+    with pytest.raises(ValueError, match="not among its days"):
+        loads.upsert_by_key(frame(spark, (3, "x", D[1])), path, ["load_date", "k"], days=[D[0]])
+    assert (3, "c", D[1]) in read(spark, path)
+
+
+def test_batches_are_computed_once(spark, folder):
+    counted = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            counted.add(len(batch))
+            yield batch
+
+    batch = frame(spark, (1, "a", D[0]), (2, "b", D[1])).mapInPandas(seen, SCHEMA)
+    loads.load_together({f"{folder}/one": batch, f"{folder}/two": batch}, ["load_date", "k"])
+    assert counted.value == 4
+    loads.upsert_by_key(batch, f"{folder}/one", ["load_date", "k"])
+    assert counted.value == 6
+
+
+def test_append_day(spark, folder):
+    rows_ = frame(spark, (1, "a", D[0]))
+    assert loads.append_day(rows_, f"{folder}/t", D[0], "load_date") == 1
+    with pytest.raises(ValueError, match="holds"):
+        loads.append_day(rows_, f"{folder}/t", D[0], "load_date")
+    assert loads.append_day(frame(spark, (2, "b", D[1])), f"{folder}/t", D[1], "load_date") == 1
+
+
+def test_a_sink_log_is_refused(spark, folder):
+    path = table(spark, folder, (1, "a", D[0]))
+    Path(f"{path}/_spark_metadata").mkdir()
+    for change in (
+        lambda: write_dataset(frame(spark, (2, "b", D[0])), path, ["load_date"]),
+        lambda: loads.replace_date(frame(spark), path, D[0]),
+        lambda: loads.clear_dates(spark, path, [D[0]]),
+        lambda: loads.rewrite_dates(frame(spark, (2, "b", D[0])), path, [D[0]]),
+    ):
+        with pytest.raises(ValueError, match="sink"):
+            change()
 
 
 def test_audit(spark):

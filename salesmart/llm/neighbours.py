@@ -18,14 +18,16 @@ class CurveSettings(NamedTuple):
     """curves: orderings, each over ``dims`` random projections on a grid of
     2**bits cells a side, shifted at random.
     windows: key ranges a curve is cut into; a query looks into its own and the
-    next one on either side. window_rows: rows of a window that one task compares;
+    next one on either side. least_rows: vectors a range holds at least, so that
+    there are fewer ranges of few vectors. window_rows: rows of a window that one task compares;
     larger windows are split into as many parts as it takes.
     sample: vectors from which the ranges are set, at most."""
 
     curves: int = 16
     dims: int = 12
     bits: int = 4
-    windows: int = 48
+    windows: int = 40
+    least_rows: int = 256
     window_rows: int = 1024
     sample: int = 20_000
     seed: int = 17
@@ -143,8 +145,10 @@ def nearest(
     sampled = np.stack([v for v in sample["vector"] if len(v) == width]).astype(np.float64)
     curves = Curves(width, settings)
     keys = np.sort(curves.keys(units_of(sampled)), axis=0)
-    cuts = keys[np.arange(1, settings.windows) * len(keys) // settings.windows]
-    parts = max(1, round(index.count() / settings.windows / settings.window_rows))
+    size = index.count()
+    windows = max(1, min(settings.windows, size // settings.least_rows))
+    cuts = keys[np.arange(1, windows) * len(keys) // windows]
+    parts = max(1, round(size / windows / settings.window_rows))
 
     def windows_of(vectors: np.ndarray) -> np.ndarray:
         found = curves.keys(units_of(vectors))
@@ -159,7 +163,7 @@ def nearest(
             for step in range(-reach, reach + 1):
                 for c in range(settings.curves):
                     at = own[:, c] + step
-                    inside = pa.array(np.flatnonzero((at >= 0) & (at < settings.windows)))
+                    inside = pa.array(np.flatnonzero((at >= 0) & (at < windows)))
                     some = pa.RecordBatch.from_arrays([x.take(inside) for x in batch.columns], batch.schema.names)
                     some = some.append_column("curve", pa.array(np.full(len(inside), c, np.int32)))
                     yield some.append_column("window", pa.array(at[inside.to_numpy()], pa.int32()))

@@ -29,7 +29,7 @@ from salesmart.functions.values import discounted_total, is_positive, row_key
 from salesmart.operators import audit, keys, loads, pages, quality, retention, tables
 from salesmart.plans import movies
 from salesmart.plans import sales as model
-from salesmart.session import remove_folder, use_utc, working_folder
+from salesmart.session import remove_folder, use_settings, working_folder
 from salesmart.sources.kafka import recorded_changes
 from salesmart.sources.lake import BATCH, read_dataset, read_day, write_batch, write_dataset
 from salesmart.streaming.lake import start_lake_stream
@@ -102,7 +102,7 @@ def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         drop_made(spark, build.__name__)
         _running.clear()
-        result = plain(build(use_utc(spark), sf_dir))
+        result = plain(build(use_settings(spark), sf_dir))
         _made[spark.sparkContext.applicationId, build.__name__] = list(_running)
         return result
 

@@ -18,6 +18,8 @@ SETTINGS = {
     # Split a hot key even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A small write of very many dates still takes all cores: it waits for files, not for rows.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
@@ -49,6 +51,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_settings(spark: SparkSession) -> SparkSession:
+    """Give a session that was built elsewhere the settings the jobs rely on."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def working_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
 

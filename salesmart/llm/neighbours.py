@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -100,6 +100,26 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def closest(near: np.ndarray, members: list[list[int]], query_id: int, k: int, score: Callable[[int], float]) -> list[tuple[float, int]]:
+    """``(-score, id)`` of the ``k`` best ids other than ``query_id``, each once with its best score.
+
+    ``near`` ranks the vectors, ``members`` are their ids. As many vectors are looked
+    at as it takes to name ``k`` ids: ids may hold several vectors, the query too.
+    """
+    enough = k + 1
+    while True:
+        enough = min(enough, len(near))
+        best: dict[int, float] = {}
+        for i in np.flatnonzero(near >= np.partition(near, -enough)[-enough]):
+            others = [other for other in members[i] if other != query_id]
+            value = score(i) if others else 0.0
+            for other in others:
+                best[other] = max(value, best.get(other, value))
+        if len(best) >= k or enough == len(near):
+            return sorted((-value, other) for other, value in best.items())[:k]
+        enough *= 2
+
+
 def nearest(
     embeddings: DataFrame,
     queries: Column,
@@ -110,12 +130,14 @@ def nearest(
 ) -> DataFrame:
     """The ``k`` nearest by cosine that the curves find for each row that ``queries`` marks.
 
-    Equal vectors are indexed once, with their ``k + 1`` smallest ids, which is all
-    that an answer can name of them; so crowds of copies take no room on the curves
-    and ties come out by id. Each curve is cut into key ranges of about equal size,
+    Equal vectors are indexed once, with their ``k + 1`` smallest distinct ids, which is
+    all that an answer can name of them; so crowds of copies and repeated rows take no
+    room on the curves and ties come out by id. Each curve is cut into key ranges of about equal size,
     set from a bounded sample; every vector lies in one window of every curve, and
     a query meets the windows around it, part by part. Scores are in double
     precision on the original vectors; the best of all windows and curves are kept.
+    A query that finds fewer than ``k`` there, as one id's vectors may fill its
+    windows, meets all windows of one curve.
 
     Vectors that are null, zero, or hold a null or non-finite component take no
     part, nor do rows without an id, nor vectors of another width than the first
@@ -129,14 +151,16 @@ def nearest(
     smallest = Window.partitionBy("vector").orderBy("vec_id")
     lists = (
         rows.select("vector", "vec_id")
+        .distinct()
         .withColumn("nth", F.row_number().over(smallest))
         .filter(F.col("nth") <= k + 1)
         .groupBy("vector")
         .agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     )
     index = work.stored(lists.withColumn("vec", F.monotonically_increasing_id()), "index")
-    asked = work.stored(rows.filter("is_query").select("vec_id", "vector"), "asked")
+    asked = work.stored(rows.filter("is_query").select("vec_id", "vector").distinct(), "asked")
     schema = "query_id long, rank int, vec_id long, score double"
+    answer = ["query_id", "rank", "vec_id", "score"]
     sample = index.orderBy(F.xxhash64(F.lit(settings.seed), F.element_at("ids", 1))).limit(settings.sample).select("vector").toPandas()
     if sample.empty:
         return embeddings.sparkSession.createDataFrame([], schema)
@@ -154,14 +178,14 @@ def nearest(
         found = curves.keys(units_of(vectors))
         return np.column_stack([np.searchsorted(cuts[:, c], found[:, c], side="right") for c in range(settings.curves)])
 
-    def placed(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordBatch]:
-        """Each vector once per curve and window within ``reach`` of its own."""
+    def placed(batches: Iterator[pa.RecordBatch], reach: int, over: int) -> Iterator[pa.RecordBatch]:
+        """Each vector once per window within ``reach`` of its own, on the first ``over`` curves."""
         for batch in batches:
             if not batch.num_rows:
                 continue
             own = windows_of(matrix(batch["vector"]))
             for step in range(-reach, reach + 1):
-                for c in range(settings.curves):
+                for c in range(over):
                     at = own[:, c] + step
                     inside = pa.array(np.flatnonzero((at >= 0) & (at < windows)))
                     some = pa.RecordBatch.from_arrays([x.take(inside) for x in batch.columns], batch.schema.names)
@@ -169,19 +193,21 @@ def nearest(
                     yield some.append_column("window", pa.array(at[inside.to_numpy()], pa.int32()))
 
     kind = index.schema["vector"].dataType.simpleString()
-    held = index.mapInArrow(lambda b: placed(b, 0), f"vector {kind}, ids array<long>, vec long, curve int, window int")
-    held = held.select(
-        "curve", "window", F.pmod(F.xxhash64("vec"), F.lit(parts)).cast("int").alias("part"), F.lit(None).cast("long").alias("query_id"), "ids", "vector"
-    )
-    sent = asked.mapInArrow(lambda b: placed(b, 1), f"vec_id long, vector {kind}, curve int, window int")
-    sent = sent.select(
-        "curve",
-        "window",
-        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
-        F.col("vec_id").alias("query_id"),
-        F.lit(None).cast("array<long>").alias("ids"),
-        "vector",
-    )
+    part = F.pmod(F.xxhash64("vec"), F.lit(parts)).cast("int").alias("part")
+    no_query, no_ids = F.lit(None).cast("long").alias("query_id"), F.lit(None).cast("array<long>").alias("ids")
+
+    def met(some: DataFrame, reach: int, over: int) -> DataFrame:
+        """``query_id, vec_id, score``: for ``some`` of those asked, the best of each window within reach."""
+        held = index.mapInArrow(lambda b: placed(b, 0, over), f"vector {kind}, ids array<long>, vec long, curve int, window int")
+        held = held.select("curve", "window", part, no_query, "ids", "vector")
+        sent = some.mapInArrow(lambda b: placed(b, reach, over), f"vec_id long, vector {kind}, curve int, window int")
+        each = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
+        sent = sent.select("curve", "window", each, F.col("vec_id").alias("query_id"), no_ids, "vector")
+        found = held.unionByName(sent).groupBy("curve", "window", "part").applyInArrow(compared, "query_id long, vec_id long, score double")
+        # The same pair comes from many windows with the same score but for the last digits.
+        pairs = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return pairs.withColumn("rank", F.row_number().over(order).cast("int")).filter(F.col("rank") <= k).select(*answer)
 
     def compared(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -191,24 +217,20 @@ def nearest(
             vectors = units_of(matrix(group["vector"].combine_chunks()))
             candidates = vectors[~is_query]
             members = group["ids"].filter(pa.array(~is_query)).to_pylist()
-            # One vector more than asked for: one may hold nothing but the query.
-            enough = min(k + 1, len(candidates))
             for query_id, query in zip(group["query_id"].to_numpy()[is_query].astype(np.int64), vectors[is_query], strict=True):
-                near = candidates @ query
-                best = np.flatnonzero(near >= np.partition(near, -enough)[-enough])
-                found = [(-float(candidates[i].dot(query)), other) for i in best for other in members[i] if other != query_id]
-                for score, other in sorted(found)[:k]:
+                for score, other in closest(candidates @ query, members, query_id, k, lambda i, q=query: float(candidates[i].dot(q))):
                     names.append(query_id)
                     ids.append(other)
                     scores.append(-score)
         return pa.table({"query_id": pa.array(names, pa.int64()), "vec_id": pa.array(ids, pa.int64()), "score": pa.array(scores, pa.float64())})
 
-    met = held.unionByName(sent).groupBy("curve", "window", "part").applyInArrow(compared, "query_id long, vec_id long, score double")
-    # The same pair comes from many windows with the same score but for the last digits.
-    pairs = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        pairs.withColumn("rank", F.row_number().over(order).cast("int"))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    answers = met(asked, 1, settings.curves)
+    if windows <= 2:
+        return answers
+    answers = work.stored(answers, "answers")
+    full = answers.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
+    short = work.stored(asked.join(full, "vec_id", "left_anti"), "short")
+    if short.isEmpty():
+        return answers
+    found = met(short, windows - 1, 1)
+    return answers.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").select(*answer).unionByName(found)

@@ -71,6 +71,38 @@ def test_vectors_that_take_no_part(spark):
     assert [(r["rank"], r["vec_id"]) for r in sorted(rows, key=lambda r: (r["query_id"], r["rank"]))][:3] == [(1, 8), (2, 6), (3, 7)]
 
 
+def test_a_doubled_table_gives_the_same_answers(spark):
+    """One window, so the answers are exact, however often rows repeat."""
+    chance = np.random.default_rng(3)
+    vectors = [(i, chance.normal(size=8)) for i in range(60)]
+    wanted = brute(vectors, lambda i: i % 10 == 0, 5)
+    rows = nearest(frame(spark, vectors * 2), F.col("vec_id") % 10 == 0, settings=CurveSettings(curves=2)).collect()
+    assert len(rows) == 5 * len(wanted)
+    for query, best in wanted.items():
+        mine = sorted((r["rank"], r["vec_id"], r["score"]) for r in rows if r["query_id"] == query)
+        assert [(j, pytest.approx(s, abs=1e-12)) for j, s in best] == [(j, s) for _, j, s in mine]
+
+
+def test_an_id_repeated_often_hides_no_other(spark):
+    vectors = [(1, [1.0, 2.0])] * 6 + [(i, [1.0, 2.0]) for i in range(2, 9)] + [(9, [2.0, 1.0])]
+    rows = nearest(frame(spark, vectors), F.col("vec_id").isin(1, 9), settings=CurveSettings(curves=2)).collect()
+    found = {q: [r["vec_id"] for r in sorted(rows, key=lambda r: r["rank"]) if r["query_id"] == q] for q in (1, 9)}
+    assert found == {1: [2, 3, 4, 5, 6], 9: [1, 2, 3, 4, 5]}
+
+
+def test_a_query_with_many_vectors_finds_others(spark):
+    """The vectors of id 0 fill the windows around it; the others lie elsewhere."""
+    chance = np.random.default_rng(4)
+    vectors = [(0, [1, 0, 0, 0] + 0.05 * chance.normal(size=4)) for _ in range(2000)]
+    vectors += [(i, [-1, 0, 0, 0] + 0.05 * chance.normal(size=4)) for i in range(1, 301)]
+    rows = nearest(frame(spark, vectors), F.col("vec_id") == 0, settings=CurveSettings(curves=2, windows=8)).collect()
+    matrix = np.float32([v for _, v in vectors]).astype(float)
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    best = (matrix[2000:] @ matrix[:2000].T).max(axis=1)
+    wanted = [int(i) + 1 for i in np.argsort(-best)[:5]]
+    assert [r["vec_id"] for r in sorted(rows, key=lambda r: r["rank"])] == wanted
+
+
 def test_no_rows_and_one_row(spark):
     assert nearest(frame(spark, []), F.lit(True)).count() == 0
     assert nearest(frame(spark, [(1, [1.0, 2.0])]), F.lit(True)).count() == 0

@@ -8,6 +8,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ class CurveSettings(NamedTuple):
     next one on either side. least_rows: vectors a range holds at least, so that
     there are fewer ranges of few vectors. window_rows: rows of a window that one task compares;
     larger windows are split into as many parts as it takes.
-    sample: vectors from which the ranges are set, at most."""
+    sample: vectors of a width from which its ranges are set, about, at most."""
 
     curves: int = 16
     dims: int = 12
@@ -82,6 +83,22 @@ class Curves:
         return np.column_stack([hilbert_keys(part, self.settings.bits) for part in parts])
 
 
+class Ranges(NamedTuple):
+    """How the vectors of one width are dealt: ``cuts`` between the windows of each
+    curve, and parts of a window. A single window needs no curve."""
+
+    windows: int
+    parts: int
+    curves: Curves | None = None
+    cuts: np.ndarray | None = None
+
+    def windows_of(self, vectors: np.ndarray) -> np.ndarray:
+        if self.curves is None:
+            return np.zeros((len(vectors), 1), np.int64)
+        found = self.curves.keys(units_of(vectors))
+        return np.column_stack([np.searchsorted(self.cuts[:, c], found[:, c], side="right") for c in range(found.shape[1])])
+
+
 def usable(vector: str | Column) -> Column:
     """Whether a vector takes part: no null, all components finite, not zero throughout."""
     v = F.col(vector) if isinstance(vector, str) else vector
@@ -100,6 +117,31 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def ranges(index: DataFrame, settings: CurveSettings) -> dict[int, Ranges]:
+    """For each width of the vectors in ``index``. The driver sees a row per width, and a
+    sample of the vectors of those widths that have enough for two windows."""
+    sizes = {r["width"]: r["n"] for r in index.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n")).collect()}
+    windows = {width: max(1, min(settings.windows, n // settings.least_rows)) for width, n in sizes.items()}
+    shares = [(width, min(1.0, settings.sample / n)) for width, n in sizes.items() if windows[width] > 1]
+    sampled: dict[int, list] = {}
+    if shares:
+        share = F.broadcast(index.sparkSession.createDataFrame(shares, "width int, share double"))
+        chance = F.pmod(F.xxhash64(F.lit(settings.seed), "vector"), F.lit(1 << 30)) / F.lit(1 << 30)
+        chosen = index.join(share, F.size("vector") == F.col("width")).filter(chance < F.col("share"))
+        for vector in chosen.select("vector").toPandas()["vector"]:
+            sampled.setdefault(len(vector), []).append(vector)
+    found = {}
+    for width, n in sizes.items():
+        count = min(windows[width], max(1, len(sampled.get(width, ()))))
+        parts = max(1, round(n / count / settings.window_rows))
+        found[width] = Ranges(count, parts)
+        if count > 1:
+            curves = Curves(width, settings)
+            keys = np.sort(curves.keys(units_of(np.stack(sampled[width]).astype(np.float64))), axis=0)
+            found[width] = Ranges(count, parts, curves, keys[np.arange(1, count) * len(keys) // count])
+    return found
+
+
 def closest(near: np.ndarray, members: list[list[int]], query_id: int, k: int, score: Callable[[int], float]) -> list[tuple[float, int]]:
     """``(-score, id)`` of the ``k`` best ids other than ``query_id``, each once with its best score.
 
@@ -132,16 +174,16 @@ def nearest(
 
     Equal vectors are indexed once, with their ``k + 1`` smallest distinct ids, which is
     all that an answer can name of them; so crowds of copies and repeated rows take no
-    room on the curves and ties come out by id. Each curve is cut into key ranges of about equal size,
-    set from a bounded sample; every vector lies in one window of every curve, and
-    a query meets the windows around it, part by part. Scores are in double
+    room on the curves and ties come out by id. Vectors are compared with those of the
+    same width, and each width has its own curves. Each curve is cut into key ranges of
+    about equal size, set from a bounded sample; every vector lies in one window of
+    every curve, and a query meets the windows around it, part by part. Scores are in double
     precision on the original vectors; the best of all windows and curves are kept.
     A query that finds fewer than ``k`` there, as one id's vectors may fill its
     windows, meets all windows of one curve.
 
     Vectors that are null, zero, or hold a null or non-finite component take no
-    part, nor do rows without an id, nor vectors of another width than the first
-    sampled. An id whose rows repeat is named once, with its best score. Returns
+    part, nor do rows without an id. An id whose rows repeat is named once, with its best score. Returns
     ``query_id, rank, vec_id, score``.
     """
     work = Workspace(embeddings.sparkSession, "neighbours")
@@ -161,49 +203,42 @@ def nearest(
     asked = work.stored(rows.filter("is_query").select("vec_id", "vector").distinct(), "asked")
     schema = "query_id long, rank int, vec_id long, score double"
     answer = ["query_id", "rank", "vec_id", "score"]
-    sample = index.orderBy(F.xxhash64(F.lit(settings.seed), F.element_at("ids", 1))).limit(settings.sample).select("vector").toPandas()
-    if sample.empty:
+    dealt = ranges(index, settings)
+    if not dealt:
         return embeddings.sparkSession.createDataFrame([], schema)
-    width = len(sample["vector"].iloc[0])
-    index, asked = (t.filter(F.size("vector") == width) for t in (index, asked))
-    sampled = np.stack([v for v in sample["vector"] if len(v) == width]).astype(np.float64)
-    curves = Curves(width, settings)
-    keys = np.sort(curves.keys(units_of(sampled)), axis=0)
-    size = index.count()
-    windows = max(1, min(settings.windows, size // settings.least_rows))
-    cuts = keys[np.arange(1, windows) * len(keys) // windows]
-    parts = max(1, round(size / windows / settings.window_rows))
-
-    def windows_of(vectors: np.ndarray) -> np.ndarray:
-        found = curves.keys(units_of(vectors))
-        return np.column_stack([np.searchsorted(cuts[:, c], found[:, c], side="right") for c in range(settings.curves)])
-
-    def placed(batches: Iterator[pa.RecordBatch], reach: int, over: int) -> Iterator[pa.RecordBatch]:
-        """Each vector once per window within ``reach`` of its own, on the first ``over`` curves."""
+
+    def placed(batches: Iterator[pa.RecordBatch], reach: int | None, over: int) -> Iterator[pa.RecordBatch]:
+        """Each vector once per window within ``reach`` of its own (of all, if None), on the first ``over`` curves."""
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            own = windows_of(matrix(batch["vector"]))
-            for step in range(-reach, reach + 1):
-                for c in range(over):
-                    at = own[:, c] + step
-                    inside = pa.array(np.flatnonzero((at >= 0) & (at < windows)))
-                    some = pa.RecordBatch.from_arrays([x.take(inside) for x in batch.columns], batch.schema.names)
-                    some = some.append_column("curve", pa.array(np.full(len(inside), c, np.int32)))
-                    yield some.append_column("window", pa.array(at[inside.to_numpy()], pa.int32()))
+            widths = pc.list_value_length(batch["vector"]).to_numpy(zero_copy_only=False)
+            for width in np.unique(widths).tolist():
+                windows, parts, *_ = its = dealt[width]
+                alike = batch.filter(pa.array(widths == width))
+                own = its.windows_of(matrix(alike["vector"]))
+                far = windows - 1 if reach is None else min(reach, windows - 1)
+                for step in range(-far, far + 1):
+                    for c in range(min(over, own.shape[1])):
+                        at = own[:, c] + step
+                        inside = pa.array(np.flatnonzero((at >= 0) & (at < windows)))
+                        some = pa.RecordBatch.from_arrays([x.take(inside) for x in alike.columns], alike.schema.names)
+                        for name, value in (("width", width), ("curve", c), ("parts", parts)):
+                            some = some.append_column(name, pa.array(np.full(len(inside), value, np.int32)))
+                        yield some.append_column("window", pa.array(at[inside.to_numpy()], pa.int32()))
 
     kind = index.schema["vector"].dataType.simpleString()
-    part = F.pmod(F.xxhash64("vec"), F.lit(parts)).cast("int").alias("part")
+    place = "width int, curve int, parts int, window int"
+    part = F.pmod(F.xxhash64("vec"), F.col("parts")).cast("int").alias("part")
     no_query, no_ids = F.lit(None).cast("long").alias("query_id"), F.lit(None).cast("array<long>").alias("ids")
 
-    def met(some: DataFrame, reach: int, over: int) -> DataFrame:
+    def met(some: DataFrame, reach: int | None, over: int) -> DataFrame:
         """``query_id, vec_id, score``: for ``some`` of those asked, the best of each window within reach."""
-        held = index.mapInArrow(lambda b: placed(b, 0, over), f"vector {kind}, ids array<long>, vec long, curve int, window int")
-        held = held.select("curve", "window", part, no_query, "ids", "vector")
-        sent = some.mapInArrow(lambda b: placed(b, reach, over), f"vec_id long, vector {kind}, curve int, window int")
-        each = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
-        sent = sent.select("curve", "window", each, F.col("vec_id").alias("query_id"), no_ids, "vector")
-        found = held.unionByName(sent).groupBy("curve", "window", "part").applyInArrow(compared, "query_id long, vec_id long, score double")
+        held = index.mapInArrow(lambda b: placed(b, 0, over), f"vector {kind}, ids array<long>, vec long, {place}")
+        held = held.select("width", "curve", "window", part, no_query, "ids", "vector")
+        sent = some.mapInArrow(lambda b: placed(b, reach, over), f"vec_id long, vector {kind}, {place}")
+        each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+        sent = sent.select("width", "curve", "window", each, F.col("vec_id").alias("query_id"), no_ids, "vector")
+        found = held.unionByName(sent).groupBy("width", "curve", "window", "part")
+        found = found.applyInArrow(compared, "query_id long, vec_id long, score double")
         # The same pair comes from many windows with the same score but for the last digits.
         pairs = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
         order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -225,12 +260,15 @@ def nearest(
         return pa.table({"query_id": pa.array(names, pa.int64()), "vec_id": pa.array(ids, pa.int64()), "score": pa.array(scores, pa.float64())})
 
     answers = met(asked, 1, settings.curves)
-    if windows <= 2:
+    # Up to two windows are all met.
+    several = [width for width, its in dealt.items() if its.windows > 2]
+    if not several:
         return answers
     answers = work.stored(answers, "answers")
     full = answers.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
-    short = work.stored(asked.join(full, "vec_id", "left_anti"), "short")
+    in_several = asked.filter(F.size("vector").isin(several)).select("vec_id").distinct()
+    short = work.stored(asked.join(full, "vec_id", "left_anti").join(in_several, "vec_id", "left_semi"), "short")
     if short.isEmpty():
         return answers
-    found = met(short, windows - 1, 1)
+    found = met(short, None, 1)
     return answers.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").select(*answer).unionByName(found)

@@ -103,6 +103,25 @@ def test_a_query_with_many_vectors_finds_others(spark):
     assert [r["vec_id"] for r in sorted(rows, key=lambda r: r["rank"])] == wanted
 
 
+def test_each_width_has_its_own_curves(spark):
+    """Widths of few vectors, whose answers are exact, beside one of many; and a lone one."""
+    chance = np.random.default_rng(5)
+    wide = [(i, chance.normal(size=6)) for i in range(1500)]
+    few = {width: [(i, chance.normal(size=width)) for i in range(start, start + 50)] for width, start in ((2, 2000), (9, 2050))}
+    vectors = wide + few[2] + few[9] + [(3000, chance.normal(size=4))]
+    settings = CurveSettings(curves=4, windows=5)
+    rows = nearest(frame(spark, vectors), F.col("vec_id") % 10 == 0, settings=settings).collect()
+    found = {q: [] for q in range(0, 3001, 10)}
+    for r in sorted(rows, key=lambda r: r["rank"]):
+        found[r["query_id"]].append(r["vec_id"])
+    for alike in few.values():
+        for query, best in brute(alike, lambda i: i % 10 == 0, 5).items():
+            assert found[query] == [j for j, _ in best]
+    hits = [len(set(found[query]) & {j for j, _ in best}) for query, best in brute(wide, lambda i: i % 10 == 0, 5).items()]
+    assert sum(hits) >= 0.9 * 5 * len(hits)
+    assert found[3000] == []
+
+
 def test_no_rows_and_one_row(spark):
     assert nearest(frame(spark, []), F.lit(True)).count() == 0
     assert nearest(frame(spark, [(1, [1.0, 2.0])]), F.lit(True)).count() == 0

@@ -20,18 +20,15 @@ class Rule(NamedTuple):
 class TemplateSettings(NamedTuple):
     """What the template tree goes by.
 
-    levels: path segments told apart; the rest of a path is one wildcard.
-    min_children, distinct_share: a node's children become a wildcard when it has
-        that many distinct ones and they are that share of its URLs.
+    min_children: a node's children become a wildcard when it has that many distinct
+        ones, however many URLs they have.
     deviations: branches within so many standard deviations of their parent's
         purity are merged into one.
     prior: labels' worth of the parent's purity that each branch starts with.
     block_at: smoothed share of blocked labels from which a template is rejected.
     """
 
-    levels: int = 3
     min_children: int = 20
-    distinct_share: float = 0.05
     deviations: float = 2.0
     prior: float = 5.0
     block_at: float = 0.5
@@ -68,41 +65,35 @@ def fitting_rule(rules: Sequence[Rule]) -> Column:
 
 def path_templates(work: Workspace, urls: DataFrame, settings: TemplateSettings) -> DataFrame:
     """``urls`` (``host``, ``segments``, ...) with ``template``, their segments with the
-    variable ones as ``*``, level by level down the tree of each host.
+    variable ones as ``*``, level by level down the tree of each host, to the last
+    segment of the longest path.
 
     The children of a node are counted after its own segments are generalised, so
     ``/en/1`` and ``/en/2`` meet in ``/en/*`` and go on as one branch.
     """
-    tree = urls.withColumn("template", F.array().cast("array<string>"))
-    for level in range(settings.levels):
+    tree = work.stored(urls.withColumn("template", F.array().cast("array<string>")), "level0")
+    schema = tree.schema
+    deepest = tree.agg(F.max(F.size("segments"))).first()[0] or 0
+    for level in range(deepest):
         segment = F.get("segments", F.lit(level))
-        tree = work.stored(tree, f"level{level}")
-        children = (
-            tree.filter(segment.isNotNull())
-            .groupBy("host", "template", segment.alias("segment"))
-            .agg(F.count("*").alias("n"))
-        )
+        further = tree.filter(F.size("segments") > level)
+        children = further.select("host", "template", segment.alias("segment")).distinct()
         variable = work.stored(
             children.groupBy("host", "template")
-            .agg(F.count("*").alias("distinct"), F.sum("n").alias("all"))
-            .filter(
-                (F.col("distinct") >= settings.min_children)
-                & (F.col("distinct") >= settings.distinct_share * F.col("all"))
-            )
+            .agg(F.count("*").alias("distinct"))
+            .filter(F.col("distinct") >= settings.min_children)
             .select("host", "template", F.lit(True).alias("variable")),
             f"variable{level}",
         )
-        tree = (
-            tree.join(variable, ["host", "template"], "left")
-            .withColumn(
-                "template",
-                F.when(segment.isNull(), F.col("template"))
-                .when(F.col("variable"), F.concat("template", F.array(F.lit("*"))))
-                .otherwise(F.concat("template", F.array(segment))),
-            )
-            .drop("variable")
+        tree = work.stored(
+            further.join(variable, ["host", "template"], "left")
+            .withColumn("template", F.concat("template", F.array(F.when(F.col("variable"), F.lit("*")).otherwise(segment))))
+            .drop("variable"),
+            f"level{level + 1}",
         )
-    return tree
+    # A row is whole in the table of its last segment.
+    levels = [f"{work.root}/level{level}" for level in range(deepest + 1)]
+    return work.spark.read.schema(schema).parquet(*levels).filter(F.size("template") == F.size("segments"))
 
 
 def template_verdicts(work: Workspace, tree: DataFrame, settings: TemplateSettings) -> DataFrame:
@@ -117,7 +108,10 @@ def template_verdicts(work: Workspace, tree: DataFrame, settings: TemplateSettin
         tree.groupBy("host", "template").agg(F.count("label").alias("labels"), F.coalesce(F.sum("label"), F.lit(0)).alias("blocked")),
         "leaves",
     )
-    total = leaves.agg(F.sum("labels").alias("labels"), F.sum("blocked").alias("blocked")).first()
+    total = leaves.agg(
+        F.sum("labels").alias("labels"), F.sum("blocked").alias("blocked"), F.max(F.size("template")).alias("deepest")
+    ).first()
+    deepest = total["deepest"] or 0
     # Nothing is rejected where nothing is labelled.
     overall = (total["blocked"] + 1) / (total["labels"] + 2) if total["labels"] else 0.0
 
@@ -131,8 +125,8 @@ def template_verdicts(work: Workspace, tree: DataFrame, settings: TemplateSettin
         smoothed(F.col("blocked"), F.col("labels"), F.lit(overall)).alias("purity"),
     )
     level = work.stored(level, "purity0")
-    done = level
-    for depth in range(1, settings.levels + 1):
+    schema = level.schema
+    for depth in range(1, deepest + 1):
         nodes = (
             leaves.filter(F.size("template") >= depth)
             .groupBy("host", F.slice("template", 1, depth).alias("node"))
@@ -161,8 +155,8 @@ def template_verdicts(work: Workspace, tree: DataFrame, settings: TemplateSettin
             ),
             f"purity{depth}",
         )
-        done = done.unionByName(level)
-    return done.withColumnRenamed("node", "template")
+    levels = [f"{work.root}/purity{depth}" for depth in range(deepest + 1)]
+    return work.spark.read.schema(schema).parquet(*levels).withColumnRenamed("node", "template")
 
 
 def url_verdicts(

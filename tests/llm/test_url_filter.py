@@ -1,7 +1,7 @@
 import pytest
 
 from salesmart.llm.queries import URL_RULES
-from salesmart.llm.url_filter import TemplateSettings, url_verdicts
+from salesmart.llm.url_filter import Rule, TemplateSettings, url_verdicts
 
 CASES = {
     "https://a.Example.ORG/es/1": ("a.example.org", "/es/1", "example.org/es/", "block"),
@@ -57,6 +57,20 @@ def test_variable_segments(spark, children):
     assert found == ({"/item/*/view", "/about"} if children == 5 else {"/about", *(f"/item/{i}/view" for i in range(50))})
 
 
+def test_deep_segments_are_judged_apart(spark):
+    rules = [Rule("h.net", "/a/b/c/good/1", "allow"), Rule("h.net", "/a/b/c/bad/1", "block")]
+    urls = [f"http://h.net/a/b/c/{kind}/{i}/x" for kind in ("good", "bad") for i in range(100, 260)] + ["http://h.net/a"]
+    rows = [r for r in url_verdicts(frame(spark, urls), rules).collect() if r["path"] != "/a"]
+    assert {(r["template"], r["verdict"]) for r in rows} == {("/a/b/c/good/*/x", "allow"), ("/a/b/c/bad/*/x", "block")}
+    assert sum(r["rule"] is None for r in rows) == 120
+
+
+@pytest.mark.parametrize("times", [1, 30])
+def test_repeated_rows_do_not_change_templates(spark, times):
+    urls = [f"http://h.net/item/{i}" for i in range(40)] * times
+    assert {r["template"] for r in url_verdicts(frame(spark, urls), []).collect()} == {"/item/*"}
+
+
 def test_no_rows_and_no_rules(spark):
     assert url_verdicts(frame(spark, []), URL_RULES).count() == 0
     assert {r["verdict"] for r in url_verdicts(frame(spark, ["http://a.net/b"]), []).collect()} == {"allow"}

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from salesmart.llm.tables import Workspace
+from salesmart.llm.tables import Workspace, ranked
 
 # Places in the seeded order, and how many bits of them one round settles.
 ORDER_BITS = 48
@@ -96,6 +96,7 @@ def routed(patterns: Sequence[tuple[frozenset, int]], quotas: Mapping, copies: i
 
 PATTERN = StructField("pattern", ArrayType(StringType()))
 CHOICE = StructType([PATTERN, StructField("base", LongType()), StructField("end", LongType())])
+PLAN = StructType([PATTERN, StructField("words", LongType()), StructField("taken", LongType())])
 OPEN = StructType([PATTERN, StructField("start", LongType()), StructField("want", LongType())])
 
 
@@ -107,7 +108,8 @@ def mixed(
     share: float = 1.5,
     copies: int = 2,
     seed: int = 17,
-    max_patterns: int = 100_000,
+    max_patterns: int | None = None,
+    driver_patterns: int = 100_000,
 ) -> DataFrame:
     """One row per row of ``documents`` with the words of it that a mix takes.
 
@@ -118,8 +120,10 @@ def mixed(
     first in a seeded order until the words asked for are reached as nearly as
     whole documents allow. No document is taken more than ``copies`` times.
 
-    The driver sees one row per pattern, and raises if a recipe has more than
-    ``max_patterns``. The end of the seeded order is found by summing ranges of
+    The driver sees one row per pattern. Of more than ``driver_patterns`` it sees only
+    those that share a source with a pattern of several, and raises if these alone are
+    more; the others need no flow, and all else is done in tables. More than
+    ``max_patterns`` of any kind, if given, raise. The end of the seeded order is found by summing ranges of
     it, so no task sorts a pattern. Reruns agree. Rows without words
     are taken ``base`` times, at 0 words. Rows that repeat a ``doc_id`` stand or
     fall together.
@@ -137,10 +141,27 @@ def mixed(
         ),
         "rows",
     )
-    by_pattern = rows.groupBy("pattern").agg(F.sum("size").alias("words"), F.count("*").alias("n"))
-    found = by_pattern.limit(max_patterns + 1).collect()
-    if len(found) > max_patterns:
+    by_pattern = work.stored(rows.groupBy("pattern").agg(F.sum("size").alias("words")), "patterns")
+    if max_patterns is not None and by_pattern.limit(max_patterns + 1).count() > max_patterns:
         raise ValueError(f"more than {max_patterns} membership patterns")
+    if by_pattern.limit(driver_patterns + 1).count() > driver_patterns:
+        chosen, described = _many(work, rows, by_pattern, weights, share, copies, driver_patterns)
+    else:
+        chosen, described = _few(work, rows, by_pattern, weights, share, copies)
+    return (
+        rows.join(chosen, "pattern")
+        .withColumn("source", F.element_at("pattern", 1))
+        .join(described, F.col("source").eqNullSafe(F.col("described")))
+        .withColumn("copies", F.col("base") + (F.col("seeded") <= F.col("end")).cast("long"))
+        .select("doc_id", "pattern", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    )
+
+
+def _few(
+    work: Workspace, rows: DataFrame, by_pattern: DataFrame, weights: Sequence[int], share: float, copies: int
+) -> tuple[DataFrame, DataFrame]:
+    """``pattern, base, end`` and ``described, source_size, target``, reckoned on the driver."""
+    found = by_pattern.collect()
     found.sort(key=lambda r: [(s is None, s or "") for s in r["pattern"]])
     patterns = [(frozenset(r["pattern"]), r["words"]) for r in found]
     sizes: dict = {}
@@ -155,22 +176,73 @@ def mixed(
         for r, t in zip(found, taken, strict=True)
     ]
     ends = _ends(work, rows, [(p, extra) for p, _, extra in plan if extra])
-    spark = documents.sparkSession
-    # One row per pattern: at most max_patterns.
+    # One row per pattern: at most driver_patterns.
     chosen = [(p, base, ends.get(tuple(p), -1)) for p, base, _ in plan]
     described = [(s, n, float(targets[s])) for s, n in sizes.items()]
     return (
-        rows.join(F.broadcast(spark.createDataFrame(chosen, CHOICE)), "pattern")
-        .withColumn("source", F.element_at("pattern", 1))
-        .join(
-            F.broadcast(spark.createDataFrame(described, "described string, source_size long, target double")),
-            F.col("source").eqNullSafe(F.col("described")),
-        )
-        .withColumn("copies", F.col("base") + (F.col("seeded") <= F.col("end")).cast("long"))
-        .select("doc_id", "pattern", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        F.broadcast(work.spark.createDataFrame(chosen, CHOICE)),
+        F.broadcast(work.spark.createDataFrame(described, "described string, source_size long, target double")),
     )
 
 
+def _many(
+    work: Workspace, rows: DataFrame, by_pattern: DataFrame, weights: Sequence[int], share: float, copies: int, most: int
+) -> tuple[DataFrame, DataFrame]:
+    """As ``_few``, in tables. A source that is in no pattern of several gives its quota;
+    the patterns of the others, ``most`` at most, are routed on the driver."""
+    each = by_pattern.select(F.explode("pattern").alias("described"), "words")
+    sizes = each.groupBy("described").agg(F.sum("words").alias("source_size"))
+    described = work.stored(_targets(work, sizes, weights, share, copies), "targets")
+    quotas = described.select("described", F.rint("target").cast("long").alias("quota"))
+    several = by_pattern.filter(F.size("pattern") != 1)
+    tied = work.stored(several.select(F.explode("pattern").alias("tied")).distinct(), "tied")
+    singles = by_pattern.filter(F.size("pattern") == 1).withColumn("described", F.element_at("pattern", 1))
+    of_tied = F.col("described").eqNullSafe(F.col("tied"))
+    entangled = several.unionByName(singles.join(tied, of_tied, "left_semi").drop("described"))
+    found = entangled.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} overlapping membership patterns")
+    found.sort(key=lambda r: [(s is None, s or "") for s in r["pattern"]])
+    of = {r["described"]: r["quota"] for r in quotas.join(tied, of_tied, "left_semi").collect()}
+    taken = routed([(frozenset(r["pattern"]), r["words"]) for r in found], of, copies)
+    plan = [(list(r["pattern"]), r["words"], t) for r, t in zip(found, taken, strict=True)]
+    alone = singles.join(tied, of_tied, "left_anti").withColumnRenamed("described", "source")
+    alone = alone.join(quotas, F.col("source").eqNullSafe(F.col("described"))).select(
+        "pattern", "words", F.least("quota", F.col("words") * copies).alias("taken")
+    )
+    plan = alone.unionByName(work.spark.createDataFrame(plan, PLAN))
+    words, taken = F.col("words"), F.col("taken")
+    plan = plan.select(
+        "pattern",
+        F.when(words > 0, F.least(F.lit(copies).cast("long"), F.floor(taken / words).cast("long"))).otherwise(1).alias("base"),
+        F.when(words > 0, taken % words).otherwise(0).alias("want"),
+    )
+    plan = work.stored(plan, "plan")
+    ends = _ends_in_tables(work, rows, plan.filter("want > 0").select("pattern", "want"))
+    return plan.join(ends, "pattern", "left").select("pattern", "base", F.coalesce("end", F.lit(-1)).alias("end")), described
+
+
+def _targets(work: Workspace, sizes: DataFrame, weights: Sequence[int], share: float, limit: int) -> DataFrame:
+    """``capped_targets`` of a table ``described, source_size``: the unit of a weight rises
+    until no more sources are above their limit. The driver sees sums, once a round."""
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("position") % len(weights) + 1).cast("int"))
+    placed = ranked(work, sizes, "sources", F.asc_nulls_last("described"))
+    placed = work.stored(placed.select("described", "source_size", weight.alias("weight")), "weights")
+    total = placed.agg(F.sum("source_size")).first()[0]
+    unit, capped = 0.0, -1
+    while True:
+        above = F.lit(unit) * F.col("weight") > F.col("source_size") * limit
+        row = placed.agg(
+            F.count_if(above).alias("n"),
+            F.coalesce(F.sum(F.when(above, F.col("source_size") * limit)), F.lit(0)).alias("given"),
+            F.sum(F.when(~above, F.col("weight"))).alias("free"),
+        ).first()
+        if row["n"] == capped or not row["free"]:
+            target = F.when(above, (F.col("source_size") * limit).cast("double")).otherwise(F.lit(unit) * F.col("weight"))
+            return placed.select("described", "source_size", target.alias("target"))
+        unit, capped = (share * total - row["given"]) / row["free"], row["n"]
+
+
 def _ends(work: Workspace, rows: DataFrame, wanted: list[tuple[list, int]]) -> dict[tuple, int]:
     """The place in the seeded order up to which each pattern's rows hold the words wanted.
 
@@ -185,24 +257,42 @@ def _ends(work: Workspace, rows: DataFrame, wanted: list[tuple[list, int]]) -> d
         if not open_at:
             break
         at = rows.sparkSession.createDataFrame([(list(p), *state) for p, state in open_at.items()], OPEN)
-        width = 1 << (shift + STEP_BITS)
-        sums = (
-            rows.join(F.broadcast(at), "pattern")
-            .filter((F.col("seeded") >= F.col("start")) & (F.col("seeded") < F.col("start") + F.lit(width)))
-            .groupBy("pattern", "want", F.shiftright(F.col("seeded"), shift).alias("range"))
-            .agg(F.sum("size").alias("words"), F.count("*").alias("n"))
-        )
-        # At most 4096 rows a pattern.
-        in_order = Window.partitionBy("pattern").orderBy("range")
-        crossed = (
-            sums.withColumn("upto", F.sum("words").over(in_order))
-            .filter((F.col("upto") >= F.col("want")) & (F.col("upto") - F.col("words") < F.col("want")))
-            .collect()
-        )
-        for row in crossed:
+        for row in _crossed(rows, F.broadcast(at), shift).collect():
             key, place, rest = tuple(row["pattern"]), row["range"], row["want"] - row["upto"] + row["words"]
             open_at[key] = (place << shift, rest)
             if row["n"] == 1 or shift == 0:
                 del open_at[key]
                 ends[key] = (place + (2 * rest >= row["words"]) << shift) - 1
     return ends
+
+
+def _crossed(rows: DataFrame, at: DataFrame, shift: int) -> DataFrame:
+    """For each open range in ``at`` the part of it in which the words wanted are reached."""
+    width = 1 << (shift + STEP_BITS)
+    sums = (
+        rows.join(at, "pattern")
+        .filter((F.col("seeded") >= F.col("start")) & (F.col("seeded") < F.col("start") + F.lit(width)))
+        .groupBy("pattern", "want", F.shiftright(F.col("seeded"), shift).alias("range"))
+        .agg(F.sum("size").alias("words"), F.count("*").alias("n"))
+    )
+    # At most 4096 rows a pattern.
+    in_order = Window.partitionBy("pattern").orderBy("range")
+    return sums.withColumn("upto", F.sum("words").over(in_order)).filter(
+        (F.col("upto") >= F.col("want")) & (F.col("upto") - F.col("words") < F.col("want"))
+    )
+
+
+def _ends_in_tables(work: Workspace, rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``_ends`` of a table ``pattern, want``, as ``pattern, end``."""
+    at, ends = wanted.withColumn("start", F.lit(0).cast("long")), []
+    for shift in range(ORDER_BITS - STEP_BITS, -1, -STEP_BITS):
+        crossed = _crossed(rows, at, shift).withColumn("rest", F.col("want") - F.col("upto") + F.col("words"))
+        crossed = work.stored(crossed, f"crossed{shift}")
+        done = (F.col("n") == 1) | F.lit(shift == 0)
+        side = (2 * F.col("rest") >= F.col("words")).cast("long")
+        ends.append(crossed.filter(done).select("pattern", (F.shiftleft(F.col("range") + side, shift) - 1).alias("end")))
+        at = crossed.filter(~done).select("pattern", F.col("rest").alias("want"), F.shiftleft("range", shift).alias("start"))
+    found = ends[0]
+    for more in ends[1:]:
+        found = found.unionByName(more)
+    return found

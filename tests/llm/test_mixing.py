@@ -57,3 +57,21 @@ def test_no_rows(nothing):
 def test_too_many_patterns(documents):
     with pytest.raises(ValueError, match="membership patterns"):
         mixed(documents, F.array("source"), word_count(), (1,), max_patterns=2)
+
+
+def test_many_single_sources_in_tables(documents, nothing):
+    few, many = (
+        mixed(documents, F.array("source"), word_count(), (3, 1, 2), driver_patterns=n).collect() for n in (100, 0)
+    )
+    assert len(few) == len(corpus()) and sorted(map(repr, few)) == sorted(map(repr, many))
+    assert mixed(nothing, F.array("source"), word_count(), (1,), driver_patterns=0).count() == 0
+
+
+def test_only_overlaps_go_to_the_driver(spark):
+    """Forty sources of their own beside three patterns that share two."""
+    rows = [(i, [f"s{i % 40}"], i % 9) for i in range(400)] + [(400 + i, [["x"], ["x", "y"], ["y"]][i % 3], 10) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id INT, s ARRAY<STRING>, n INT")
+    few, many = (mixed(df, "s", F.col("n"), (5, 1, 2), driver_patterns=n).collect() for n in (100, 3))
+    assert len(few) == len(rows) and sorted(map(repr, few)) == sorted(map(repr, many))
+    with pytest.raises(ValueError, match="overlapping membership patterns"):
+        mixed(df, "s", F.col("n"), (5, 1, 2), driver_patterns=2)

@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import rows
+from helpers import rows
 from test_streaming import arrive, events, lake, to_lake
 
 from pyspark.sql import functions as F

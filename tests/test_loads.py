@@ -2,7 +2,7 @@ import datetime as dt
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from salesmart.operators import loads

@@ -3,7 +3,7 @@ import json
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from salesmart.operators.pages import flatten_pages, union_pages

@@ -5,7 +5,7 @@ from pathlib import Path
 
 import pytest
 from compare import connect, difference
-from conftest import executed_plan
+from helpers import executed_plan
 
 import __spark_entry__ as entry
 from salesmart.oracles import ORACLES

@@ -5,7 +5,7 @@ from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal
 from fractions import Fraction
 
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 

@@ -4,7 +4,7 @@ from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
-from conftest import executed_plan, plan, rows
+from helpers import executed_plan, plan, rows
 from pyspark.sql import functions as F
 
 from salesmart.operators.keys import enriched, last_per_key, upserted

@@ -3,7 +3,7 @@ from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from salesmart.operators import tables

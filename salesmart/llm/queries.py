@@ -13,6 +13,7 @@ from salesmart.llm.mixing import mixed, word_count
 from salesmart.llm.near_dedup import NearSettings, near_duplicates
 from salesmart.llm.neighbours import nearest
 from salesmart.llm.packing import packed_sequences
+from salesmart.llm.periodic_runs import periodic_runs
 from salesmart.llm.sharding import interleaved_shards
 from salesmart.llm.substring_dedup import repeated_passages
 from salesmart.llm.token_count import token_counts
@@ -183,3 +184,83 @@ SELECT doc_id,
 FROM n
 WINDOW best AS (PARTITION BY body ORDER BY points DESC, doc_id)
 """
+
+
+def repeating(documents: DataFrame) -> DataFrame:
+    """The documents, of which about one in ten gets a periodic end: where the CRC-32 of
+    the id ends in the digit 0, words from a drawn one on repeat the first few of them."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, drawn = F.size("words"), F.floor(crc / 10)
+    start = F.pmod(drawn, n)
+    period = 1 + F.floor((n - F.col("start")) / (3 + F.pmod(drawn, F.lit(8))))
+    place = lambda i: F.when(i < F.col("start"), i).otherwise(F.col("start") + F.pmod(i - F.col("start"), F.col("period")))
+    repeated = F.transform(F.sequence(F.lit(0).cast("long"), (n - 1).cast("long")), lambda i: F.get("words", place(i).cast("int")))
+    changed = (crc % 10 == 0) & (n > 0)
+    return (
+        documents.select("doc_id", "text", F.when(crc % 10 == 0, words).otherwise(F.array().cast("array<string>")).alias("words"))
+        .withColumn("start", F.when(changed, start))
+        .withColumn("period", F.when(changed, period))
+        .select("doc_id", F.when(changed, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+    )
+
+
+@query
+def op11_periodic_runs(spark, folder):
+    found = periodic_runs(repeating(table(spark, folder, "documents")))
+    # The longest run; of several the first, and of these the one of the smallest period.
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"].cast("string"), F.lit("\n"))))
+    length, period = F.col("longest.length"), -F.col("longest.col3")
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.col2")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(length * 1000 / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+ORACLES["op11_periodic_runs"] = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+    xor(4294967295, list_reduce(
+      list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+        lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) AS h
+  FROM documents
+), planned AS (
+  SELECT doc_id, ws, len(ws) AS n, h, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM d
+), texts AS (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN ws ELSE list_transform(range(n),
+    lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END]) END AS ws
+  FROM planned
+), w AS MATERIALIZED (
+  SELECT doc_id, n, unnest(range(n)) AS i, unnest(ws) AS word FROM texts
+), same AS (
+  SELECT x.doc_id, y.i - x.i AS q, x.i
+  FROM w x JOIN w y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 2 * (y.i - x.i) <= x.n
+), stretches AS (
+  SELECT doc_id, q, min(i) AS s, max(i) + q + 1 AS e
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same)
+  GROUP BY doc_id, q, island
+  HAVING count(*) + q >= greatest(12, 2 * q)
+), runs AS (
+  SELECT doc_id, s, e - s AS length, min(q) AS period FROM stretches GROUP BY doc_id, s, e
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s + period, s + length)) AS i FROM runs
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS body FROM w ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+), summed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || length || ',' || period || chr(10), '' ORDER BY s, period) AS lines,
+    first({'start': s, 'length': length, 'period': period} ORDER BY length DESC, s, period) AS longest
+  FROM runs GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, longest.start::BIGINT AS start, longest.length::BIGINT AS length,
+  longest.period::BIGINT AS period, (1000 * longest.length // longest.period)::BIGINT AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+FROM texts LEFT JOIN summed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

@@ -18,7 +18,9 @@ from salesmart.llm.sharding import interleaved_shards
 from salesmart.llm.substring_dedup import repeated_passages
 from salesmart.llm.token_count import token_counts
 from salesmart.llm.toxicity import fold, toxicity_scores, train
+from salesmart.llm.tables import Workspace
 from salesmart.llm.url_filter import Rule, url_verdicts
+from salesmart.llm.warc import convert_arc, plain_uri, read_warc, spread_lookup, write_arc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -264,3 +266,76 @@ SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, longest.start::BIGINT AS s
   sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
 FROM texts LEFT JOIN summed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+
+PAGE_HEADER = "X-Page-Id"
+CRAWLED = "20010203040506"
+
+
+def page_captures(pages: DataFrame) -> DataFrame:
+    """Pages as HTTP responses that carry their number; a null page has no body."""
+    body = F.coalesce("html", F.lit("")).cast("binary")
+    number = F.concat(F.lit(f"{PAGE_HEADER}: "), F.col("page_id").cast("string"), F.lit("\r\n"))
+    head = F.concat(
+        F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"),
+        F.coalesce(number, F.lit("")),
+        F.lit("Content-Length: "),
+        F.octet_length(body).cast("string"),
+        F.lit("\r\n\r\n"),
+    )
+    return pages.select(
+        "page_id",
+        plain_uri(F.col("url")).alias("uri"),
+        F.lit("192.0.2.1").alias("ip"),
+        F.lit(CRAWLED).alias("moment"),
+        F.lit("text/html").alias("mime"),
+        F.concat(head.cast("binary"), body).alias("block"),
+    )
+
+
+@query
+def op12_warc(spark, folder):
+    """Pages as legacy archives, even numbers in version 1 and the others in version 2,
+    converted to WARC and read back."""
+    return archived_pages(table(spark, folder, "pages"))
+
+
+def archived_pages(pages: DataFrame) -> DataFrame:
+    spark = pages.sparkSession
+    work = Workspace(spark, "warc")
+    captures = page_captures(pages)
+    even = F.coalesce(F.col("page_id") % 2 == 0, F.lit(False))
+    arcs = [work.path("arc-1"), work.path("arc-2")]
+    write_arc(captures.filter(even), arcs[0], 1)
+    write_arc(captures.filter(~even), arcs[1], 2)
+    number = F.regexp_extract(F.col("head").cast("string"), rf"(?i)\n{PAGE_HEADER}: *(-?[0-9]+)\r", 1).try_cast("long")
+    convert_arc(spark, arcs, work.path("warc"), work, number)
+    page_id = F.col("http_headers")[PAGE_HEADER.lower()].cast("long")
+    records = work.stored(
+        read_warc(spark, work.path("warc"), bodies=False)
+        .filter("record_type <> 'warcinfo'")
+        .select(page_id.alias("page_id"), "payload_bytes", "payload_digest", "record_type", "record_id", "refers_to_id"),
+        "records",
+    )
+    work.drop("arc-1", "arc-2", "groups")
+    revisits = records.filter("record_type = 'revisit'").groupBy("refers_to_id").agg(F.count("*").alias("n"))
+    firsts = records.filter("record_type = 'response'").groupBy("record_id").agg(F.min("page_id").alias("refers_to"))
+    referred = work.stored(
+        revisits.join(firsts, revisits["refers_to_id"] == firsts["record_id"]).select("refers_to_id", "n", "refers_to"), "referred"
+    )
+    total = referred.agg(F.sum("n")).first()[0] or 0
+    found = spread_lookup(records, referred, "refers_to_id", "n", total, F.xxhash64("record_id"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op12_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""

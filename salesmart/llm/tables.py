@@ -56,6 +56,10 @@ class Workspace:
         df.write.option("compression", "zstd").parquet(f"{self.root}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
+    def path(self, name: str) -> str:
+        """Where a table or set of files of this run belongs."""
+        return f"{self.root}/{name}"
+
     def drop(self, *names: str) -> None:
         """Delete tables that nothing reads any more; without names, all."""
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.llm.divergence import source_divergence
 from salesmart.llm.exact_dedup import exact_duplicates
 from salesmart.llm.mixing import mixed, word_count
 from salesmart.llm.near_dedup import NearSettings, near_duplicates
@@ -339,3 +340,49 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
 FROM f
 """
+
+
+@query
+def op13_divergence(spark, folder):
+    return source_divergence(table(spark, folder, "documents"))
+
+
+ORACLES["op13_divergence"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), w AS MATERIALIZED (
+  SELECT doc_id, lang, source, unnest(terms) AS term FROM d
+), kept AS MATERIALIZED (
+  SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT doc_id) >= 3
+), v AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), groups AS (
+  SELECT DISTINCT lang, source FROM d
+), n AS MATERIALIZED (
+  SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term
+), slots AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(n, 0) + 1)) // (sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) + v) AS p
+  FROM groups JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN n USING (lang, source, term)
+), whole AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 1)) // (sum(sum(n)) OVER (PARTITION BY lang) + any_value(v)) AS q
+  FROM slots JOIN v USING (lang) GROUP BY lang, term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM slots a JOIN slots b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT
+  FROM slots JOIN whole USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, rank::INT AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts
+) WHERE part = 'pair' OR rank <= 200
+"""

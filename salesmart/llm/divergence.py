@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -9,6 +10,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -112,8 +114,6 @@ def hashed_shards(kept: DataFrame, sizes: DataFrame, settings: DivergenceSetting
 class Recount:
     """A worker's lookup of terms in the hashes of a round, and what it remembers of them."""
 
-    REMEMBERED = 400_000
-
     def __init__(self, rows: list[tuple]):
         self.shards: dict[str, tuple[int, dict[int, PerfectHash]]] = {}
         for lang, of_lang, shard, sizes, bits, text in rows:
@@ -125,7 +125,7 @@ class Recount:
         """The slot of each term, -1 for those this round does not count."""
         of_lang, hashes = self.shards[lang]
         known = self.known[lang]
-        fresh = list(set(terms) - known.keys())
+        fresh = list(set(terms).difference(known))
         if fresh:
             keys = key_hashes(fresh)
             shard = (keys[:, 0] % np.uint64(of_lang)).astype(np.int64)
@@ -143,17 +143,28 @@ class Recount:
         return slots
 
 
+_kept: dict[str, Recount] = {}
+
+
+def worker_recount(token: str, shards: Broadcast) -> Recount:
+    """The lookup of the round named by ``token``, which a worker keeps from task to task."""
+    if token not in _kept:
+        _kept.clear()
+        _kept[token] = Recount(shards.value)
+    return _kept[token]
+
+
 def recounted(documents: DataFrame, rows: list[tuple], settings: DivergenceSettings) -> DataFrame:
     """How often each group (``lang, source``) holds the terms of the given shards, by slot.
 
     A task keeps a dense array of counts for each group and shard and adds one for
     each occurrence; only what is not zero leaves it.
     """
-    shards = documents.sparkSession.sparkContext.broadcast(rows)
+    shards, token = documents.sparkSession.sparkContext.broadcast(rows), uuid.uuid4().hex
     dense = {(lang, shard): text.count(" ") + 1 for lang, _, shard, _, _, text in rows}
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        recount = Recount(shards.value)
+        recount = worker_recount(token, shards)
         counts: dict[tuple[str, str, int], np.ndarray] = {}
         waiting: dict[tuple[str, str], list[bytes]] = defaultdict(list)
         held = seen = total = 0

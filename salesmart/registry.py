@@ -32,8 +32,8 @@ from salesmart.plans import sales as model
 from salesmart.session import remove_folder, use_settings, working_folder
 from salesmart.sources.kafka import recorded_changes
 from salesmart.sources.lake import BATCH, read_dataset, read_day, write_batch, write_dataset
+from salesmart.streaming.deltas import read_delta_mart, start_delta_mart_stream
 from salesmart.streaming.lake import start_lake_stream
-from salesmart.streaming.mart import start_mart_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -316,10 +316,10 @@ def mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         arrived = spark.read.parquet(f"{folder}/all").filter(F.col("arrival") == arrival).drop("arrival")
         arrived.write.mode("append").parquet(f"{folder}/records")
         replayed_lake(spark, f"{folder}/records", f"{folder}/lake", f"{folder}/lake-checkpoint")
-        start_mart_stream(
+        start_delta_mart_stream(
             spark, f"{folder}/lake", f"{folder}/mart", f"{folder}/mart-checkpoint", every=None
         ).awaitTermination()
-    return spark.read.parquet(f"{folder}/mart")
+    return read_delta_mart(spark, f"{folder}/mart")
 
 
 # JSON documents -------------------------------------------------------------

@@ -58,16 +58,39 @@ def refuse_sink_log(spark: SparkSession, path: str) -> None:
 
 
 def write_batch(
-    df: DataFrame, path: str, batch: str, partition_by: Sequence[str] = LAKE_PARTITIONS, spread: bool = True
+    df: DataFrame,
+    path: str,
+    batch: str,
+    partition_by: Sequence[str] = LAKE_PARTITIONS,
+    spread: bool = True,
+    fresh: bool = False,
 ) -> None:
     """Add the rows to the lake as one batch; written again, it takes the place of its former self.
 
-    A repeated batch must have rows on the same dates, which holds for a
-    micro-batch that is run again and for a backfill of the same source.
+    A repeated batch must have rows on the same dates, which holds for a backfill of
+    the same source. With ``fresh`` the caller knows that nothing of the batch is
+    there, and the rows are appended, without the overwrite's moves in the driver.
     """
     rows = df.drop(BATCH).withColumn(BATCH, F.lit(batch))
     columns = [*partition_by, BATCH]
-    write_dataset(rows, path, columns, "overwrite", {"partitionOverwriteMode": "dynamic"}, spread)
+    if fresh:
+        write_dataset(rows, path, columns, "append", spread=spread)
+    else:
+        write_dataset(rows, path, columns, "overwrite", {"partitionOverwriteMode": "dynamic"}, spread)
+
+
+def clear_batch(spark: SparkSession, path: str, batch: str, levels: int = len(LAKE_PARTITIONS)) -> int:
+    """Remove all that is left of a batch, on whatever dates; returns the folders removed.
+
+    ``levels`` partitions lie above the batch. This lists the folders of the lake, so it
+    is for a batch that failed, not for every one.
+    """
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([path, *["*=*"] * levels, f"{BATCH}={batch}"]))
+    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in files.globStatus(pattern) or []]
+    for folder in found:
+        files.delete(folder, True)
+    return len(found)
 
 
 def read_dataset(

@@ -23,7 +23,7 @@ from salesmart.functions.times import moment_literal, months_later
 from salesmart.operators.keys import absent_rows, distinct_keys, same_key, upserted
 from salesmart.operators.retention import keep_recent
 from salesmart.session import remove_folder, working_folder
-from salesmart.sources.lake import BATCH, date_folder, read_day, read_dataset, refuse_sink_log, write_dataset
+from salesmart.sources.lake import BATCH, MERGED, date_folder, read_day, read_dataset, refuse_sink_log, write_dataset
 
 log = logging.getLogger(__name__)
 
@@ -276,7 +276,7 @@ def compact_days(
     writes any more; a batch that is repeated later would add its rows again.
     """
     for day in days:
-        rows = read_day(spark, path, day, schema, date_column).withColumn(BATCH, F.lit(f"compact-{day}"))
+        rows = read_day(spark, path, day, schema, date_column).withColumn(BATCH, F.lit(f"{MERGED}{day}"))
         rewrite_dates(rows, path, [day], date_column, [BATCH])
 
 
@@ -341,6 +341,8 @@ def expire_rows(
     partly = sorted(row[0] for row in days if not row["gone"])
     if partly:
         rows = on_dates(table, date_column, partly)
+        if BATCH in further:
+            rows = rows.withColumn(BATCH, F.concat(F.lit(MERGED), date_column))
         rewrite_dates(keep_recent(rows, moment, as_of, months), path, partly, date_column, further)
     clear_dates(spark, path, gone, date_column)
     return sorted([*gone, *partly])

@@ -162,6 +162,22 @@ ORACLES["mart_from_changes"] = DAILY_MART
 ORACLES["mart_incremental"] = DAILY_MART
 ORACLES["full_refresh"] = DAILY_MART
 
+ORACLES["offset_audit"] = f"""{SALES}, placed AS (
+    SELECT (id // 10) % 16 AS partition, row_number() OVER (PARTITION BY (id // 10) % 16 ORDER BY id) - 1 AS pos FROM sales
+), kept AS (
+    SELECT * FROM placed WHERE pos % 1000 NOT BETWEEN 200 AND 209
+), gaps AS (
+    SELECT partition, pos + 1 AS first, lead(pos) OVER (PARTITION BY partition ORDER BY pos) - 1 AS last FROM kept
+)
+SELECT 'sales' AS topic, CAST(partition AS INTEGER) AS partition, 'gap' AS kind, first, last, last - first + 1 AS n_offsets
+FROM gaps WHERE last >= first
+UNION ALL
+SELECT 'sales', CAST(partition AS INTEGER), 'overlap', min(pos), max(pos), count(*)
+FROM kept WHERE pos BETWEEN 100 AND 149 GROUP BY partition"""
+
+ORACLES["stream_once"] = f"{SALES} SELECT {LAKE} FROM sales WHERE {FIRST_IMAGES}"
+
+
 # JSON documents
 
 DOCUMENTS = """

@@ -32,8 +32,10 @@ from salesmart.plans import sales as model
 from salesmart.session import remove_folder, use_settings, working_folder
 from salesmart.sources.kafka import recorded_changes
 from salesmart.sources.lake import BATCH, read_dataset, read_day, write_batch, write_dataset
+from salesmart.streaming import offsets
 from salesmart.streaming.deltas import read_delta_mart, start_delta_mart_stream
 from salesmart.streaming.lake import start_lake_stream
+from salesmart.streaming.once import CHANGE_KEY, landed_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +44,9 @@ LAKE_DAY = dt.date(1998, 4, 1)
 LAKE_AS_OF = dt.datetime(1998, 6, 15, 12)
 COMPACTED_DAYS = [dt.date(1998, 6, 1), dt.date(1998, 6, 2)]
 ARRIVALS = (dt.datetime(1994, 1, 1), dt.datetime(1996, 1, 1))
+# Of each thousand offsets, those that are lost; and the offsets read before and after a restart.
+LOST_OFFSETS = (200, 209)
+READ_TWICE = (100, 149)
 REPLACED_DATE = dt.date(2026, 3, 20)
 FIRST_DATE = dt.date(2026, 3, 15)
 AS_OF = dt.datetime(2024, 2, 15)
@@ -322,6 +327,51 @@ def mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delta_mart(spark, f"{folder}/mart")
 
 
+@query
+def offset_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets that a topic lost, and those that were read again after a restart further back."""
+    folder = scratch(spark, "offsets")
+    key = F.col("id") - F.col("id") % 10
+    partition = (key / 10 % 16).cast("int")
+    offset = F.row_number().over(Window.partitionBy("partition").orderBy("id")) - 1
+    placed = fx.sales(spark, sf_dir).withColumn("partition", partition).withColumn("offset", offset.cast("long"))
+    records = fx.change_records(placed.withColumn("topic", F.lit("sales")), "topic", "partition", "offset")
+    kept = records.filter(~(F.col("offset") % 1000).between(*LOST_OFFSETS))
+    kept.write.parquet(f"{folder}/all")
+    low, high = READ_TWICE
+    for delivered in (F.col("offset") <= high, F.col("offset") >= low):
+        spark.read.parquet(f"{folder}/all").filter(delivered).write.mode("append").parquet(f"{folder}/records")
+        start_lake_stream(
+            recorded_changes(spark, f"{folder}/records", positions=True),
+            f"{folder}/lake",
+            f"{folder}/checkpoint",
+            ["region"],
+            every=None,
+            prepare=offsets.tracked(model.decode_changes, f"{folder}/ledger"),
+        ).awaitTermination()
+    return offsets.offset_report(spark, f"{folder}/ledger")
+
+
+@query
+def stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change records of which those of the first four lines of an order are delivered again.
+    Some lines share their number, so the product is part of the key."""
+    folder = scratch(spark, "once")
+    fx.change_records(fx.sales(spark, sf_dir), "rating").write.parquet(f"{folder}/all")
+    for delivered in (F.col("rating") <= 4, F.lit(True)):
+        again = spark.read.parquet(f"{folder}/all").filter(delivered).drop("rating")
+        again.write.mode("append").parquet(f"{folder}/records")
+        start_lake_stream(
+            recorded_changes(spark, f"{folder}/records"),
+            f"{folder}/lake",
+            f"{folder}/checkpoint",
+            ["region"],
+            every=None,
+            prepare=landed_once(f"{folder}/keys", [*CHANGE_KEY, "product_id"], decode=model.decode_changes),
+        ).awaitTermination()
+    return read_dataset(spark, f"{folder}/lake", model.LAKE_SCHEMA)
+
+
 # JSON documents -------------------------------------------------------------
 
 

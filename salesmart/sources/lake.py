@@ -22,6 +22,8 @@ from salesmart.session import folder_exists
 
 LAKE_PARTITIONS = ("event_date",)
 BATCH = "batch"
+# How batches of rows begin that were in the lake before, in others.
+MERGED = "compact-"
 # Where a stream's own file sink keeps the list of its files: readers see only those.
 SINK_LOG = "_spark_metadata"
 

@@ -15,51 +15,28 @@ its dates; nothing is rewritten. ``merge_period`` adds up the parts of a closed
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from salesmart.operators.key_index import LAYOUT, PERIOD, add_keys, layout_rows, month_of, seen_keys
+from salesmart.operators.keys import same_key
 from salesmart.operators.loads import rewrite_dates
 from salesmart.plans.sales import GROUP, LAKE_SCHEMA, PARTS_SCHEMA, added_parts, additive_parts, mart_of_parts, staged_sales
-from salesmart.session import folder_exists, remove_folder, working_folder
-from salesmart.sources.lake import BATCH, clear_batch, read_dataset, read_day, write_dataset
+from salesmart.session import remove_folder, working_folder
+from salesmart.sources.lake import BATCH, MERGED, clear_batch, read_dataset, read_day, write_dataset
 from salesmart.streaming.attempts import Attempt, Attempts
 
 EVERY = "1 hour"
-PERIOD = "period"
 ORDERS, PARTS, ATTEMPTS = "orders", "parts", "attempts"
 KEY = (*GROUP, "order_id")
 ORDERS_SCHEMA = "event_date DATE, region STRING, category STRING, order_id STRING"
-LAYOUT = f"{PERIOD} DATE, {BATCH} STRING"
-
-
-def month_of(day: Column) -> Column:
-    return F.trunc(day, "MM")
 
 
 def batch_label(number: int) -> str:
     return f"{number:012d}"
 
 
-def table_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A table of the mart's, with its layout; empty before its first batch."""
-    schema = f"{schema}, {LAYOUT}"
-    return read_dataset(spark, path, schema) if folder_exists(spark, path) else spark.createDataFrame([], schema)
-
-
-def known_orders(spark: SparkSession, path: str, orders: DataFrame) -> DataFrame:
-    """The stored order keys of the dates in ``orders``: of the months, only the files that can hold them."""
-    bounds = orders.groupBy(month_of(F.col("event_date")).alias(PERIOD)).agg(F.min("event_date"), F.max("event_date")).collect()
-    touched = [
-        (F.col(PERIOD) == F.lit(period)) & F.col("event_date").between(first, last) if period else F.col(PERIOD).isNull()
-        for period, first, last in bounds
-    ]
-    stored = table_rows(spark, path, ORDERS_SCHEMA)
-    return stored.filter(reduce(lambda a, b: a | b, touched, F.lit(False))).select(*KEY)
-
-
 def add_batch(sales: DataFrame, mart_path: str, label: str) -> None:
     """Add lake rows to the mart as the batch ``label``, of which nothing is stored yet."""
     spark = sales.sparkSession
@@ -69,18 +46,14 @@ def add_batch(sales: DataFrame, mart_path: str, label: str) -> None:
         orders = staged_sales(sales).groupBy(*KEY).agg(*additive_parts())
         orders.write.parquet(f"{beside}/orders")
         orders = read_dataset(spark, f"{beside}/orders", orders.schema)
-        known = known_orders(spark, f"{mart_path}/{ORDERS}", orders).withColumn("known", F.lit(True))
-        same = reduce(lambda a, b: a & b, [orders[c].eqNullSafe(known[c]) for c in KEY])
+        known = seen_keys(orders, f"{mart_path}/{ORDERS}", ORDERS_SCHEMA).withColumn("known", F.lit(True))
         fresh = orders["order_id"].isNotNull() & known["known"].isNull()
-        told = orders.join(known, same, "left").select(*[orders[c] for c in orders.columns], fresh.alias("fresh"))
-        told = told.withColumn(PERIOD, month_of(F.col("event_date"))).withColumn(BATCH, F.lit(label))
+        told = orders.join(known, same_key(orders, known, KEY), "left").select(*[orders[c] for c in orders.columns], fresh.alias("fresh"))
         told.write.parquet(f"{beside}/told")
         told = read_dataset(spark, f"{beside}/told", told.schema)
-        # Sorted by date, so that a later batch reads only the parts of a month it needs.
-        keys = told.filter("fresh").select(*KEY, PERIOD, BATCH).hint("rebalance", PERIOD).sortWithinPartitions(PERIOD, BATCH, "event_date")
-        write_dataset(keys, f"{mart_path}/{ORDERS}", [PERIOD, BATCH], spread=False)
+        add_keys(told.filter("fresh").select(*KEY), f"{mart_path}/{ORDERS}", label)
         parts = added_parts(told.withColumn("n_orders", F.col("fresh").cast("int")))
-        parts = parts.withColumn(PERIOD, month_of(F.col("event_date"))).withColumn(BATCH, F.lit(label))
+        parts = parts.withColumn(PERIOD, month_of("event_date")).withColumn(BATCH, F.lit(label))
         write_dataset(parts, f"{mart_path}/{PARTS}", [PERIOD, BATCH])
     finally:
         remove_folder(spark, beside)
@@ -98,9 +71,9 @@ def start_delta_mart_stream(
 
     Late rows and further rows of known orders are rows like any others. A batch that
     is run again after a failure first removes what the earlier attempt wrote; one that
-    was written whole is left as it is. The mart takes files, so it follows a lake whose
-    files only grow: run ``compact_days`` and ``expire_rows`` on dates that the mart
-    has passed with a mart stream of their own (``start_mart_stream``), which rebuilds dates.
+    was written whole is left as it is. Files of merged days hold rows that came before
+    and are left out. Days that expire stay in the mart. Files that vanish before
+    they were read, as when a day is merged too early, stop the stream.
     """
     reader = spark.readStream.schema(f"{LAKE_SCHEMA}, {BATCH} STRING")
     if max_files_per_trigger:
@@ -118,7 +91,8 @@ def start_delta_mart_stream(
         add_batch(batch, mart_path, label)
         attempts.finish(number)
 
-    writer = reader.parquet(lake_path).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    files = reader.parquet(lake_path).filter(~F.coalesce(F.col(BATCH).startswith(MERGED), F.lit(False)))
+    writer = files.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
     return writer.start()
 
@@ -126,7 +100,7 @@ def start_delta_mart_stream(
 def mart_parts(spark: SparkSession, mart_path: str) -> DataFrame:
     """The parts of all finished batches: a batch in the making, or one that failed, is not seen."""
     hidden = [batch_label(n) for n in Attempts(spark, f"{mart_path}/{ATTEMPTS}").unfinished()]
-    rows = table_rows(spark, f"{mart_path}/{PARTS}", PARTS_SCHEMA)
+    rows = layout_rows(spark, f"{mart_path}/{PARTS}", PARTS_SCHEMA)
     return rows.filter(~F.col(BATCH).isin(hidden)) if hidden else rows
 
 

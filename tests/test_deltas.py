@@ -9,6 +9,7 @@ from helpers import rows
 from test_sales import envelope
 from test_streaming import START, arrive, events, lake, to_lake
 
+from salesmart.operators.key_index import seen_keys
 from salesmart.plans import sales as model
 from salesmart.sources.kafka import recorded_changes
 from salesmart.sources.lake import clear_batch, read_dataset, write_batch
@@ -242,5 +243,21 @@ def test_only_the_files_of_touched_dates_are_read(spark, folder):
     to_lake(spark, folder)
     to_delta_mart(spark, folder)
     batch = spark.createDataFrame([(dt.date(2024, 5, 10), "EU", "c", "o")], deltas.ORDERS_SCHEMA)
-    plan = deltas.known_orders(spark, f"{folder}/mart/orders", batch)._jdf.queryExecution().executedPlan().toString()
+    plan = seen_keys(batch, f"{folder}/mart/orders", deltas.ORDERS_SCHEMA)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "2024-05-01" in plan and "GreaterThanOrEqual(event_date,2024-05-10)" in plan
+
+
+def test_merged_and_expired_days_of_the_lake_add_nothing(spark, folder):
+    from salesmart.operators import loads
+
+    arrive(spark, folder, events(0, 12))
+    to_lake(spark, folder)
+    to_delta_mart(spark, folder)
+    before = rows(deltas.read_delta_mart(spark, f"{folder}/mart"))
+    schema = lake(spark, folder).schema
+    loads.compact_days(spark, f"{folder}/lake", schema, [dt.date(2024, 5, 10)])
+    to_delta_mart(spark, folder)
+    with_batch = read_dataset(spark, f"{folder}/lake", f"{model.LAKE_SCHEMA}, batch STRING").schema
+    loads.expire_rows(spark, f"{folder}/lake", with_batch, "event_time", dt.datetime(2024, 6, 10), further=["batch"])
+    to_delta_mart(spark, folder)
+    assert rows(deltas.read_delta_mart(spark, f"{folder}/mart")) == before

@@ -1,0 +1,132 @@
+"""Offsets that were lost or read twice, and records that come twice."""
+
+import datetime as dt
+
+import pytest
+from helpers import rows
+from test_deltas import failing_once, forget_commit
+from test_sales import envelope, wrapped
+from test_streaming import START, arrive, events, lake
+
+from salesmart.plans import sales as model
+from salesmart.sources.kafka import recorded_changes
+from salesmart.streaming import lake as lake_stream
+from salesmart.streaming import offsets, once
+from salesmart.streaming.lake import start_lake_stream
+
+POSITIONS = "topic STRING, partition INT, offset BIGINT"
+
+
+def at(spark, *places):
+    return spark.createDataFrame([("t", p, o) for p, o in places], POSITIONS)
+
+
+def spans(spark, *found):
+    return spark.createDataFrame([("t", 0, a, b, b - a + 1) for a, b in found], offsets.INTERVALS_SCHEMA)
+
+
+def plain(df):
+    return sorted((r["first"], r["last"]) for r in df.collect())
+
+
+def test_intervals_of_records(spark, monkeypatch):
+    monkeypatch.setattr(offsets, "STRETCH", 4)  # intervals go on from stretch to stretch
+    found = offsets.read_intervals(at(spark, *[(0, o) for o in [*range(3, 14), 20, 21, 21]], (1, 0)))
+    assert rows(found.select("partition", "first", "last", "n_records")) == [(0, 20, 21, 3), (0, 3, 13, 11), (1, 0, 0, 1)]
+    assert offsets.read_intervals(at(spark)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "given, merged, missing, twice",
+    [
+        ([(0, 4), (5, 9)], [(0, 9)], [], []),
+        ([(2, 4), (7, 9)], [(2, 4), (7, 9)], [(0, 1), (5, 6)], []),
+        ([(0, 9), (2, 3), (5, 12)], [(0, 12)], [], [(2, 3), (5, 9)]),
+        ([(0, 9), (0, 9), (0, 9)], [(0, 9)], [], [(0, 9)]),
+        ([(0, 9), (2, 5), (3, 7)], [(0, 9)], [], [(2, 7)]),
+        ([(5, 5), (0, 20), (21, 21)], [(0, 21)], [], [(5, 5)]),
+    ],
+)
+def test_merged_gaps_and_overlaps(spark, given, merged, missing, twice):
+    intervals = spans(spark, *given)
+    assert plain(offsets.merged_intervals(intervals)) == merged
+    assert plain(offsets.gaps(intervals)) == missing
+    assert plain(offsets.gaps(intervals, from_start=False)) == [g for g in missing if g[0] > 0]
+    assert plain(offsets.overlaps(intervals)) == twice
+
+
+def deliver(spark, folder, places, first=0):
+    """One record for each offset."""
+    when = dt.datetime(2024, 5, 10, 15)
+    data = [
+        (bytearray(wrapped(envelope(id=first + i, created_at=START)).encode()), when, "t", 0, o) for i, o in enumerate(places)
+    ]
+    schema = f"value BINARY, timestamp TIMESTAMP, {POSITIONS}"
+    spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"{folder}/records")
+
+
+def run_tracked(spark, folder):
+    start_lake_stream(
+        recorded_changes(spark, f"{folder}/records", 1, positions=True), f"{folder}/lake", f"{folder}/c1", every=None,
+        prepare=offsets.tracked(model.decode_changes, f"{folder}/ledger"),
+    ).awaitTermination()
+
+
+def test_a_stream_notes_what_it_reads(spark, folder, monkeypatch):
+    assert offsets.offset_report(spark, f"{folder}/ledger").count() == 0
+    deliver(spark, folder, range(0, 10))
+    run_tracked(spark, folder)
+    deliver(spark, folder, range(12, 20), 50)
+    failing_once(monkeypatch, lake_stream, "write_batch", lambda *a: True)
+    with pytest.raises(Exception, match="lost"):
+        run_tracked(spark, folder)
+    run_tracked(spark, folder)  # a batch that is run again is noted once
+    deliver(spark, folder, range(18, 22), 90)
+    run_tracked(spark, folder)
+    report = offsets.offset_report(spark, f"{folder}/ledger").drop("topic", "partition")
+    assert rows(report) == [("gap", 10, 11, 2), ("overlap", 18, 19, 2)]
+    assert lake(spark, folder).count() == 22
+
+
+def run_once(spark, folder):
+    start_lake_stream(
+        recorded_changes(spark, f"{folder}/records", 1), f"{folder}/lake", f"{folder}/c1", every=None,
+        prepare=once.landed_once(f"{folder}/keys", decode=model.decode_changes),
+    ).awaitTermination()
+
+
+def ids(spark, folder):
+    return sorted(r["id"] for r in lake(spark, folder).select("id").collect())
+
+
+def test_records_that_come_again_land_once(spark, folder):
+    arrive(spark, folder, events(0, 6) + events(0, 6))
+    run_once(spark, folder)
+    arrive(spark, folder, events(3, 6) + events(40, 2, day=40) + [envelope(id=90, created_at=None)] * 2)
+    run_once(spark, folder)
+    # Much later than the others, and again.
+    arrive(spark, folder, events(0, 3) + events(60, 2, day=-400) + [envelope(id=90, created_at=None)])
+    run_once(spark, folder)
+    arrive(spark, folder, events(60, 2, day=-400))
+    run_once(spark, folder)
+    assert ids(spark, folder) == [*range(9), 40, 41, 60, 61, 90]
+
+
+@pytest.mark.parametrize("before", [True, False])
+def test_a_failed_batch_takes_its_keys_back(spark, folder, monkeypatch, before):
+    arrive(spark, folder, events(0, 4))
+    run_once(spark, folder)
+    arrive(spark, folder, events(2, 6))
+    failing_once(monkeypatch, lake_stream, "write_batch", lambda *a: True, before)
+    with pytest.raises(Exception, match="lost"):
+        run_once(spark, folder)
+    run_once(spark, folder)
+    forget_commit(f"{folder}/c1")
+    run_once(spark, folder)
+    assert ids(spark, folder) == list(range(8))
+
+
+def test_another_change_of_a_row_is_no_copy(spark, folder):
+    arrive(spark, folder, events(0, 2) + events(0, 2, op="r"))
+    run_once(spark, folder)
+    assert ids(spark, folder) == [0, 0, 1, 1]

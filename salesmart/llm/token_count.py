@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 
 from salesmart.llm.tables import ship_package
 
-# Distinct pre-tokens whose counts a worker remembers; beyond that it starts anew.
-REMEMBERED = 300_000
+# Distinct chunks whose counts a worker remembers, of at most so many characters;
+# beyond that number it starts anew.
+REMEMBERED, LONG = 300_000, 64
+# From here on the library knows unassigned characters as other kinds than ``regex`` does.
+RARE = "\U00030000"
 # Distinct pre-tokens merged at once.
 BATCH = 50_000
 NO_RANK = np.int32(2**31 - 1)
@@ -78,7 +81,8 @@ class WordTokenizer:
             described = json.load(file)
         model, vocabulary = described["model"], described["model"]["vocab"]
         # The library's own normalizer, so that letters and compositions are its.
-        self.normalizer = Tokenizer.from_file(path).normalizer
+        self.library = Tokenizer.from_file(path)
+        self.normalizer = self.library.normalizer
         split = described["pre_tokenizer"]["pretokenizers"][0]
         self.pieces = regex.compile(split["pattern"]["Regex"])
         special = [t["content"] for t in described["added_tokens"]]
@@ -129,14 +133,18 @@ class WordTokenizer:
             ids, word = ids[keep], word[keep]
         return lengths
 
-    def learn(self, chunks: Iterable[str]) -> None:
-        """Count the tokens of texts without white space and remember them."""
-        chunks = list(chunks)
+    def learnt(self, chunks: Iterable[str]) -> dict[str, int]:
+        """The tokens of texts without white space. Those with characters from ``RARE`` on,
+        next to none, are counted by the library."""
+        chunks, counts = list(chunks), {}
         for start in range(0, len(chunks), BATCH):
             some = chunks[start : start + BATCH]
             words, owner = [], []
             extra = np.zeros(len(some), np.int64)
             for i, chunk in enumerate(some):
+                if max(chunk) >= RARE:
+                    extra[i] = len(self.library.encode(chunk, add_special_tokens=False).ids)
+                    continue
                 parts = (chunk,)
                 if "<|" in chunk:
                     parts = self.special.split(chunk)
@@ -150,16 +158,22 @@ class WordTokenizer:
                 lengths = self.merged_lengths([w.encode() for w in distinct])
                 which = np.fromiter((distinct[w] for w in words), np.int64, len(words))
                 extra += np.bincount(owner, weights=lengths[which], minlength=len(some)).astype(np.int64)
-            self.counts.update(zip(some, extra.tolist(), strict=True))
+            counts.update(zip(some, extra.tolist(), strict=True))
+        return counts
 
     def count(self, texts: list[str]) -> list[int]:
         """Tokens of each text. No piece crosses white space, so texts are counted by
-        the chunks between it, each distinct one once."""
+        the chunks between it, each distinct one once. Long chunks are not remembered."""
         split = [chunks_of(t) for t in texts]
         if len(self.counts) > REMEMBERED:
             self.counts.clear()
-        self.learn(set().union(*split) - self.counts.keys() if split else ())
-        return [sum(map(self.counts.__getitem__, chunks)) for chunks in split]
+        fresh = self.learnt(set().union(*split).difference(self.counts))
+        self.counts.update(fresh)
+        totals = [sum(map(self.counts.__getitem__, chunks)) for chunks in split]
+        for chunk in fresh:
+            if len(chunk) > LONG:
+                del self.counts[chunk]
+        return totals
 
 
 WHITE = regex.compile(r"[\s--[\x1c-\x1f]]+", regex.V1)

@@ -38,5 +38,18 @@ def test_runs_of_one_pair_and_long_words():
     assert word_tokenizer(PATH).count(texts) == library(texts)
 
 
+def test_characters_that_the_library_knows_otherwise():
+    texts = ["\U00032808", "a\U00032808b \U0003134F", "x\U000E0001y", "\U0010FFFF<|endoftext|>\U00032808"]
+    texts += [chr(c) + "a" + chr(c) for c in range(0x30000, 0x110000, 997)]
+    assert word_tokenizer(PATH).count(texts) == library(texts)
+
+
+def test_long_chunks_are_not_remembered():
+    tokenizer = word_tokenizer(PATH)
+    long = "ab" * 5000
+    assert tokenizer.count([long, f"{long} {long} short"]) == library([long, f"{long} {long} short"])
+    assert long not in tokenizer.counts and "short" in tokenizer.counts
+
+
 def test_no_rows(nothing):
     assert token_counts(nothing, PATH).count() == 0

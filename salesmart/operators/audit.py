@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesmart.operators.keys import distinct_keys
-from salesmart.session import folder_exists
+from salesmart.session import remove_folder
 from salesmart.sources.lake import read_dataset
 
 
@@ -30,28 +30,64 @@ def load_audit(listing: DataFrame, details: DataFrame, keys: Sequence[str], date
     )
 
 
-FINISHED = "load_date DATE, finished_at TIMESTAMP"
+# Finished dates as intervals without gaps between the dates of one.
+FINISHED = "first DATE, last DATE"
+VERSION = "version"
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The complete versions of the cursor's table, newest first."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSION}=*/_SUCCESS")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.globStatus(folder) or []
+    return sorted((int(f.getPath().getParent().getName().split("=")[1]) for f in found), reverse=True)
+
+
+def finished_intervals(spark: SparkSession, path: str) -> DataFrame:
+    """The finished load dates: a row for each stretch of dates without a gap."""
+    newest = versions(spark, path)[:1]
+    if not newest:
+        return spark.createDataFrame([], FINISHED)
+    return read_dataset(spark, f"{path}/{VERSION}={newest[0]}", FINISHED)
+
+
+def merged_dates(intervals: DataFrame) -> DataFrame:
+    """Intervals of dates with those that touch or overlap made one."""
+    order = Window.orderBy("first", "last")
+    upto = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.coalesce(F.col("first") > F.date_add(upto, 1), F.lit(True)).cast("int")
+    island = F.sum("starts").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    marked = intervals.withColumn("starts", starts).withColumn("island", island)
+    return marked.groupBy("island").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("island")
 
 
 def finished_dates(spark: SparkSession, path: str) -> set[dt.date]:
-    """The load dates that were finished: one small row each."""
-    if not folder_exists(spark, path):
-        return set()
-    return {row[0] for row in read_dataset(spark, path, FINISHED).select("load_date").distinct().collect()}
+    """The load dates that were finished."""
+    days = F.explode(F.sequence("first", "last"))
+    return {row[0] for row in finished_intervals(spark, path).select(days).collect()}
 
 
 def finish_date(spark: SparkSession, path: str, day: dt.date) -> None:
-    """Note that everything of a load date is written, also when it had no rows."""
-    row = spark.range(1).select(F.lit(day).alias("load_date"), F.current_timestamp().alias("finished_at"))
-    row.coalesce(1).write.mode("append").parquet(path)
+    """Note that everything of a load date is written, also when it had no rows.
+
+    The table is written anew, one file of one row per stretch of dates, and read once
+    it is complete; the version before it stays for readers that are at it.
+    """
+    older = versions(spark, path)
+    added = spark.range(1).select(F.lit(day).alias("first"), F.lit(day).alias("last"))
+    merged = merged_dates(finished_intervals(spark, path).unionByName(added))
+    number = older[0] + 1 if older else 1
+    merged.coalesce(1).write.mode("overwrite").parquet(f"{path}/{VERSION}={number}")
+    for old in older[1:]:
+        remove_folder(spark, f"{path}/{VERSION}={old}")
 
 
 def next_load_date(spark: SparkSession, path: str, first: dt.date) -> dt.date:
-    """The earliest date from ``first`` on that is not finished; it never depends on rows."""
-    finished, day = finished_dates(spark, path), first
-    while day in finished:
-        day += dt.timedelta(days=1)
-    return day
+    """The earliest date from ``first`` on that is not finished: one row tells it, and it
+    never depends on the rows that were loaded."""
+    around = finished_intervals(spark, path).filter(F.lit(first).between(F.col("first"), F.col("last")))
+    row = around.select(F.date_add("last", 1)).first()
+    return row[0] if row else first
 
 
 def rows_to_load(

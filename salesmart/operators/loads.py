@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from salesmart.functions.times import moment_literal, months_later
+from salesmart.operators.key_dates import BUCKETS, build_key_dates, entries_of, is_complete, key_dates, note_keys
 from salesmart.operators.keys import absent_rows, distinct_keys, same_key, upserted
 from salesmart.operators.retention import keep_recent
 from salesmart.session import remove_folder, working_folder
@@ -158,13 +159,17 @@ def upsert_by_key(
     date_column: str = "load_date",
     key_implies_date: bool | None = None,
     days: Sequence[dt.date | None] | None = None,
+    index: str | None = None,
+    buckets: int = BUCKETS,
 ) -> list[dt.date | None]:
     """Replace the table rows that share a key with the batch, add the rest; returns the dates rewritten.
 
     ``days`` are the dates the batch may have, where the caller knows them; a batch
     with rows on other dates raises. Where the key holds or implies the date, only
     these dates are read. Otherwise the key columns of the table are searched for
-    other dates to rewrite.
+    other dates to rewrite, or with ``index`` the table's index in that folder
+    (``operators.key_dates``, in so many ``buckets``): only the buckets of the batch's
+    keys are read. An index that is not there yet, or was not built whole, is built.
 
     The batch is computed once: it and its distinct keys are written beside the
     table first. The joins then know their sizes, and as they join plain scans,
@@ -185,7 +190,13 @@ def upsert_by_key(
     days = list(present if days is None else days)
     if key_implies_date is None:
         key_implies_date = date_column in keys
-    if not key_implies_date:
+    if not key_implies_date and index is not None:
+        if not is_complete(spark, index):
+            build_key_dates(table, index, keys, date_column, buckets)
+        found = entries_of(key_dates(spark, index, batch, keys, date_column), new_keys, keys, buckets)
+        days += [day for day in dates_of(found, date_column) if day not in days]
+        note_keys(batch, index, keys, date_column, buckets)
+    elif not key_implies_date:
         moved = table.join(new_keys, same_key(table, new_keys, keys), "left_semi")
         days += [day for day in dates_of(moved, date_column) if day not in days]
     touched = on_dates(table, date_column, days)

@@ -333,6 +333,13 @@ SELECT doc_id, lang, n_chars * CASE WHEN lang = 'en' THEN 2 ELSE 1 END AS n_char
 FROM docs LEFT JOIN labels USING (doc_id)
 WHERE lang = 'en' OR quality IS NOT NULL"""
 
+ORACLES["upsert_moved"] = f"""{DOCUMENTS}
+SELECT doc_id, lang, n_chars * CASE WHEN lang = 'en' THEN 2 ELSE 1 END AS n_chars,
+    CASE WHEN lang = 'en' THEN 'new' ELSE 'old' END AS origin,
+    CAST(load_date + CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS VARCHAR) AS load_date
+FROM docs LEFT JOIN labels USING (doc_id)
+WHERE lang = 'en' OR quality IS NOT NULL"""
+
 ORACLES["replace_load_date"] = f"""{DOCUMENTS}
 SELECT doc_id, n_chars * CASE WHEN load_date = DATE '2026-03-20' THEN 2 ELSE 1 END AS n_chars,
     CASE WHEN load_date = DATE '2026-03-20' THEN 'new' ELSE 'old' END AS origin,
@@ -345,6 +352,13 @@ FROM docs
 UNION ALL
 SELECT 'details', CAST(load_date AS VARCHAR), doc_id, doc_id FROM docs JOIN labels USING (doc_id)"""
 
+ORACLES["load_published"] = f"""{DOCUMENTS}
+SELECT 'documents' AS kind, doc_id, lang, CAST(load_date AS VARCHAR) AS load_date, lang AS load
+FROM docs WHERE lang IN ('en', 'es')
+UNION ALL
+SELECT 'labels', doc_id, lang, CAST(load_date AS VARCHAR), lang
+FROM docs JOIN labels USING (doc_id) WHERE lang IN ('en', 'es')"""
+
 ORACLES["load_audit"] = f"""{DOCUMENTS}
 SELECT CAST(load_date AS VARCHAR) AS load_date, count(*) AS listed, count(quality) AS detailed,
     count(*) - count(quality) AS missing

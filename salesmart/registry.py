@@ -26,7 +26,7 @@ from salesmart.functions.times import (
     weekday_from_monday,
 )
 from salesmart.functions.values import discounted_total, is_positive, row_key
-from salesmart.operators import audit, keys, loads, pages, quality, retention, tables
+from salesmart.operators import audit, keys, loads, pages, published, quality, retention, tables
 from salesmart.plans import movies
 from salesmart.plans import sales as model
 from salesmart.session import remove_folder, use_settings, working_folder
@@ -542,6 +542,18 @@ def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dataset(spark, path, DOCUMENT_TABLE)
 
 
+@query
+def upsert_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English documents come a day later than the table has them; an index of the key tells
+    which dates to rewrite."""
+    path, index = labelled_table(spark, sf_dir), scratch(spark, "key-dates")
+    batch = document_rows(spark, sf_dir, "new", 2).filter(F.col("lang") == "en")
+    batch = batch.withColumn("load_date", F.date_add("load_date", 1))
+    for _ in range(2):  # the second run changes nothing
+        loads.upsert_by_key(batch, path, ["doc_id"], index=index, buckets=16)
+    return read_dataset(spark, path, DOCUMENT_TABLE)
+
+
 @query
 def replace_load_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table is also split by language, and the new batch lacks some of them."""
@@ -572,6 +584,28 @@ def load_together(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def load_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and labels loaded by language, of which the French load is withdrawn and the
+    German one wrote one table only."""
+    folder = scratch(spark, "published")
+    tables_of = {"documents": fx.documents(spark, sf_dir).select("doc_id", "lang", "load_date")}
+    tables_of["labels"] = tables_of["documents"].join(fx.table(spark, sf_dir, "labels").select("doc_id"), "doc_id")
+    register, schema = f"{folder}/register", "doc_id BIGINT, lang STRING, load_date DATE"
+    for lang in ("en", "es", "fr", "en"):  # the second load of a name changes nothing
+        batches = {f"{folder}/{name}": rows.filter(F.col("lang") == lang) for name, rows in tables_of.items()}
+        published.load_published(batches, register, lang)
+    published.withdraw(spark, register, "fr")
+    german = tables_of["documents"].filter(F.col("lang") == "de")
+    write_dataset(german, f"{folder}/documents/{published.LOAD}=de", ["load_date"])
+    return pages.union_pages(
+        *[
+            published.read_published(spark, f"{folder}/{name}", schema, register, with_load=True).withColumn("kind", F.lit(name))
+            for name in tables_of
+        ]
+    )
+
+
 @query
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     listing = fx.documents(spark, sf_dir)

@@ -1,0 +1,166 @@
+"""The key index of upserts, published loads and the load cursor."""
+
+import datetime as dt
+from pathlib import Path
+
+import pytest
+from helpers import plan, rows
+from test_loads import D, frame, read, table
+
+from salesmart.operators import audit, key_dates, loads, published
+from salesmart.sources.lake import read_dataset, write_dataset
+
+SCHEMA = "k BIGINT, v STRING, load_date DATE"
+
+
+def upsert(spark, path, folder, *data, buckets=8):
+    return loads.upsert_by_key(frame(spark, *data), path, ["k"], index=f"{folder}/index", buckets=buckets)
+
+
+def test_an_indexed_upsert_rewrites_the_dates_of_its_keys(spark, folder):
+    path = table(spark, folder, (1, "a", D[0]), (2, "b", D[1]), (2, "again", D[2]), (3, "c", D[3]), (None, "n", None))
+    assert upsert(spark, path, folder, (2, "B", D[0]), (None, "N", D[4])) == [D[0], D[4], D[1], D[2], None]
+    expected = [(1, "a", D[0]), (2, "B", D[0]), (3, "c", D[3]), (None, "N", D[4])]
+    assert read(spark, path) == sorted(expected, key=repr)
+    # Keys that moved are found where they are now, new ones too.
+    upsert(spark, path, folder, (4, "d", D[4]))
+    assert upsert(spark, path, folder, (2, "BB", D[3]), (4, "dd", D[3]))[:1] == [D[3]]
+    expected = [(1, "a", D[0]), (2, "BB", D[3]), (3, "c", D[3]), (4, "dd", D[3]), (None, "N", D[4])]
+    assert read(spark, path) == sorted(expected, key=repr)
+
+
+def test_indexed_and_searched_upserts_are_the_same(spark, folder):
+    data = [(i % 17, f"v{i}", D[i % 5]) for i in range(0, 60, 2)]
+    batches = [[(i, "x", D[i % 3]) for i in range(0, 20, 3)], [(i, "y", D[4]) for i in range(1, 30, 4)]]
+    results = []
+    for name, index in (("one", None), ("two", f"{folder}/index")):
+        path = f"{folder}/{name}"
+        write_dataset(frame(spark, *data), path, ["load_date"])
+        for batch in batches:
+            loads.upsert_by_key(frame(spark, *batch), path, ["k"], index=index, buckets=4)
+        results.append(read(spark, path))
+    assert results[0] == results[1]
+
+
+def test_a_failed_load_leaves_an_index_that_serves(spark, folder, monkeypatch):
+    path = table(spark, folder, (1, "a", D[0]), (2, "b", D[1]))
+    upsert(spark, path, folder, (1, "A", D[2]))
+    real = loads.rewrite_dates
+    monkeypatch.setattr(loads, "rewrite_dates", lambda *a, **o: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        upsert(spark, path, folder, (2, "B", D[4]))
+    assert read(spark, path) == [(1, "A", D[2]), (2, "b", D[1])]
+    monkeypatch.setattr(loads, "rewrite_dates", real)
+    assert upsert(spark, path, folder, (2, "B", D[3])) == [D[3], D[1], D[4]]  # one date too many, none too few
+    assert read(spark, path) == [(1, "A", D[2]), (2, "B", D[3])]
+
+
+def test_an_index_that_was_not_built_whole_is_built_again(spark, folder):
+    path = table(spark, folder, (1, "a", D[0]), (2, "b", D[1]))
+    upsert(spark, path, folder, (1, "A", D[2]))
+    Path(f"{folder}/index/_SUCCESS").unlink()
+    for part in Path(f"{folder}/index").glob("bucket=*/*.parquet"):
+        part.unlink()
+    upsert(spark, path, folder, (2, "B", D[2]))
+    assert read(spark, path) == [(1, "A", D[2]), (2, "B", D[2])]
+
+
+def test_only_the_buckets_of_the_batch_are_read(spark, folder):
+    path, index = table(spark, folder, *[(i, "a", D[i % 5]) for i in range(50)]), f"{folder}/index"
+    key_dates.build_key_dates(read_dataset(spark, path, SCHEMA), index, ["k"], buckets=8)
+    assert len(list(Path(index).glob("bucket=*"))) == 8
+    batch = frame(spark, (7, "x", D[0]))
+    some = key_dates.in_buckets(key_dates.key_dates(spark, index, batch, ["k"], "load_date"), batch, ["k"], 8)
+    bucket = batch.select(key_dates.bucket_of(["k"], 8)).first()[0]
+    assert f"PartitionFilters: [isnotnull(bucket#" in plan(some) and f"= {bucket})]" in plan(some)
+    assert 0 < some.count() < 50
+
+
+def test_keys_are_noted_once(spark, folder):
+    index, data = f"{folder}/index", frame(spark, (1, "a", D[0]), (1, "b", D[0]), (1, "c", None), (None, "d", D[1]))
+    key_dates.build_key_dates(data.limit(0), index, ["k"], buckets=2)
+    for _ in range(2):
+        key_dates.note_keys(data, index, ["k"], buckets=2)
+    found = key_dates.key_dates(spark, index, data, ["k"], "load_date")
+    assert rows(found.select("k", "load_date")) == sorted([(1, D[0]), (1, None), (None, D[1])], key=repr)
+
+
+# Published loads
+
+
+def load(spark, folder, name, one, two):
+    batches = {f"{folder}/one": frame(spark, *one), f"{folder}/two": frame(spark, *two)}
+    return published.load_published(batches, f"{folder}/register", name)
+
+
+def seen(spark, folder, table):
+    return rows(published.read_published(spark, f"{folder}/{table}", SCHEMA, f"{folder}/register"))
+
+
+def test_a_load_that_fails_between_two_tables_shows_neither(spark, folder, monkeypatch):
+    assert seen(spark, folder, "one") == []
+    assert load(spark, folder, "a", [(1, "a", D[0])], [(2, "b", D[0])])
+    real, left = published.write_dataset, [1]
+
+    def failing(batch, path, *args):
+        if "/two/" in path and left.pop() if left else False:
+            raise RuntimeError("lost")
+        real(batch, path, *args)
+
+    monkeypatch.setattr(published, "write_dataset", failing)
+    with pytest.raises(RuntimeError):
+        load(spark, folder, "b", [(3, "c", D[1]), (4, "d", D[2])], [(5, "e", D[1])])
+    assert Path(f"{folder}/one/load=b").exists()
+    assert seen(spark, folder, "one") == [(1, "a", D[0])] and seen(spark, folder, "two") == [(2, "b", D[0])]
+    # Run again with other rows, it leaves nothing of the first attempt.
+    assert load(spark, folder, "b", [(3, "c", D[1])], [(5, "e", D[1])])
+    assert seen(spark, folder, "one") == [(1, "a", D[0]), (3, "c", D[1])]
+    assert seen(spark, folder, "two") == [(2, "b", D[0]), (5, "e", D[1])]
+
+
+def test_a_published_load_is_not_written_again_and_can_be_withdrawn(spark, folder):
+    load(spark, folder, "a", [(1, "a", D[0])], [])
+    assert not load(spark, folder, "a", [(9, "z", D[0])], [(9, "z", D[0])])
+    assert seen(spark, folder, "one") == [(1, "a", D[0])] and seen(spark, folder, "two") == []
+    published.withdraw(spark, f"{folder}/register", "a")
+    assert seen(spark, folder, "one") == []
+    with pytest.raises(ValueError):
+        load(spark, folder, "x/y", [], [])
+
+
+# The cursor
+
+
+def day(n):
+    return dt.date(2020, 1, 1) + dt.timedelta(days=n)
+
+
+def test_finished_dates_are_merged_into_intervals(spark, folder):
+    path = f"{folder}/cursor"
+    assert audit.next_load_date(spark, path, day(0)) == day(0)
+    for n in (0, 1, 5, 3, 2, 2, 9):
+        audit.finish_date(spark, path, day(n))
+    found = sorted(map(tuple, audit.finished_intervals(spark, path).collect()))
+    assert found == [(day(0), day(3)), (day(5), day(5)), (day(9), day(9))]
+    assert audit.finished_dates(spark, path) == {day(n) for n in (0, 1, 2, 3, 5, 9)}
+    assert [audit.next_load_date(spark, path, day(n)) for n in (0, 3, 4, 5, 8)] == [day(4), day(4), day(4), day(6), day(8)]
+    assert len(audit.versions(spark, path)) == 2
+
+
+def test_ten_thousand_finished_dates_are_one_row(spark, folder):
+    path = f"{folder}/cursor"
+    spark.createDataFrame([(day(0), day(9_999))], audit.FINISHED).write.parquet(f"{path}/version=1")
+    assert audit.next_load_date(spark, path, day(0)) == day(10_000)
+    audit.finish_date(spark, path, day(10_000))
+    assert audit.finished_intervals(spark, path).count() == 1
+    assert audit.next_load_date(spark, path, day(17)) == day(10_001)
+
+
+def test_a_version_that_was_not_written_whole_is_not_read(spark, folder):
+    path = f"{folder}/cursor"
+    audit.finish_date(spark, path, day(0))
+    audit.finish_date(spark, path, day(1))
+    Path(f"{path}/version=2/_SUCCESS").unlink()
+    assert audit.next_load_date(spark, path, day(0)) == day(1)
+    audit.finish_date(spark, path, day(1))
+    assert audit.next_load_date(spark, path, day(0)) == day(2)

@@ -46,18 +46,57 @@ def routed(patterns: Sequence[tuple[frozenset, int]], quotas: Mapping, copies: i
     """Words each membership pattern gives at the least total cost.
 
     A flow from the patterns' capacity to the sources' quotas. The k-th copy of a
-    pattern costs k a word, so repeats come last and are spread (convex costs).
-    Successive shortest paths: cheapest augmenting path first, over a graph of
-    patterns and sources only.
+    pattern costs k a word, so repeats come last and are spread (convex costs). The
+    graph of patterns and sources falls into parts that share no source. A part of one
+    pattern and one source gives what both allow; the others are flows of their own.
+    """
+    part: dict = {s: s for s in quotas}
+
+    def head(s):
+        while part[s] != s:
+            part[s] = part[part[s]]
+            s = part[s]
+        return s
+
+    for members, _ in patterns:
+        first = None
+        for n, s in enumerate(members):
+            if n:
+                part[head(s)] = head(first)
+            else:
+                first = s
+    together: dict = {}
+    for i, (members, _) in enumerate(patterns):
+        if members:
+            together.setdefault(head(next(iter(members))), []).append(i)
+    given = [0] * len(patterns)
+    for group in together.values():
+        members, words = patterns[group[0]]
+        if len(group) == 1 and len(members) == 1:
+            given[group[0]] = min(quotas[next(iter(members))], words * copies)
+            continue
+        some = [patterns[i] for i in group]
+        own = sorted(set().union(*(m for m, _ in some)), key=lambda s: (s is None, s or ""))
+        for i, words in zip(group, cheapest_flow(some, {s: quotas[s] for s in own}, copies), strict=True):
+            given[i] = words
+    return given
+
+
+def cheapest_flow(patterns: Sequence[tuple[frozenset, int]], quotas: Mapping, copies: int) -> list[int]:
+    """``routed`` for one part of the graph.
+
+    Distances from the start are found once for each length of the shortest path, of
+    which there are few; then the words of all shortest paths flow at once, level by
+    level (blocking flows), before the distances are looked at again.
     """
     start, end = 0, 1
     source_node = {s: 2 + i for i, s in enumerate(quotas)}
     edges: list[list[int]] = []  # to, capacity, cost; the reverse edge is at index ^ 1
-    out: dict[int, list[int]] = {}
+    out: list[list[int]] = [[] for _ in range(2 + len(quotas) + len(patterns))]
 
     def connect(a: int, b: int, capacity: int, cost: int) -> int:
         for x, y, c, k in ((a, b, capacity, cost), (b, a, 0, -cost)):
-            out.setdefault(x, []).append(len(edges))
+            out[x].append(len(edges))
             edges.append([y, c, k])
         return len(edges) - 2
 
@@ -69,29 +108,66 @@ def routed(patterns: Sequence[tuple[frozenset, int]], quotas: Mapping, copies: i
             connect(node, source_node[s], words * copies, 0)
     for s, quota in quotas.items():
         connect(source_node[s], end, quota, 0)
-    while True:
-        cost, came, queue = {start: 0}, {}, deque([start])
-        waiting = {start}
+
+    def distances() -> dict[int, int]:
+        cost, queue, waiting = {start: 0}, deque([start]), {start}
         while queue:
             a = queue.popleft()
             waiting.discard(a)
-            for e in out.get(a, ()):
+            for e in out[a]:
                 b, capacity, price = edges[e]
                 if capacity and cost[a] + price < cost.get(b, 1 << 60):
-                    cost[b], came[b] = cost[a] + price, e
+                    cost[b] = cost[a] + price
                     if b not in waiting:
                         waiting.add(b)
                         queue.append(b)
-        if end not in came:
-            return [sum(edges[e ^ 1][1] for e in es) for es in given]
-        path, node = [], end
-        while node != start:
-            path.append(came[node])
-            node = edges[came[node] ^ 1][0]
-        amount = min(edges[e][1] for e in path)
-        for e in path:
-            edges[e][1] -= amount
-            edges[e ^ 1][1] += amount
+        return cost
+
+    def levels(cost: dict[int, int]) -> dict[int, int]:
+        """Steps from the start along edges of shortest paths."""
+        level, queue = {start: 0}, deque([start])
+        while queue:
+            a = queue.popleft()
+            for e in out[a]:
+                b, capacity, price = edges[e]
+                if capacity and b not in level and cost.get(b) == cost[a] + price:
+                    level[b] = level[a] + 1
+                    queue.append(b)
+        return level
+
+    def push(cost: dict[int, int], level: dict[int, int]) -> None:
+        """A blocking flow: paths that go one level up a step, until none is left."""
+        turn, path, node = {a: 0 for a in level}, [], start
+        while True:
+            if node == end:
+                amount = min(edges[e][1] for e in path)
+                for e in path:
+                    edges[e][1] -= amount
+                    edges[e ^ 1][1] += amount
+                full = next(n for n, e in enumerate(path) if not edges[e][1])
+                node = edges[path[full] ^ 1][0]
+                del path[full:]
+            for e in out[node][turn[node] :]:
+                b, capacity, price = edges[e]
+                if capacity and level.get(b) == level[node] + 1 and cost[b] == cost[node] + price:
+                    path.append(e)
+                    node = b
+                    break
+                turn[node] += 1
+            else:
+                if node == start:
+                    return
+                node = edges[path.pop() ^ 1][0]
+                turn[node] += 1
+
+    cost = distances()
+    while end in cost:
+        level = levels(cost)
+        while end in level:
+            push(cost, level)
+            level = levels(cost)
+        cost = distances()
+    return [sum(edges[e ^ 1][1] for e in es) for es in given]
 
 
 PATTERN = StructField("pattern", ArrayType(StringType()))

@@ -1,3 +1,6 @@
+import itertools
+import random
+import time
 from collections import defaultdict
 
 import pytest
@@ -25,6 +28,42 @@ def test_flow_serves_overlapping_sources_with_few_repeats():
     assert all(g >= w for g, (_, w) in zip(given, patterns, strict=True))
 
 
+def test_flow_is_the_cheapest_of_the_largest():
+    """On small random graphs, against all choices of words that the quotas can take."""
+    chance = random.Random(2)
+    for _ in range(150):
+        quotas = {s: chance.randint(0, 5) for s in "abc"[: chance.randint(1, 3)]}
+        subsets = [frozenset(c) for n in range(1, len(quotas) + 1) for c in itertools.combinations(quotas, n)]
+        patterns = [(m, chance.randint(0, 3)) for m in chance.sample(subsets, min(len(subsets), chance.randint(1, 4)))]
+        copies = chance.randint(1, 3)
+
+        def fits(taken, patterns=patterns, quotas=quotas):
+            """Hall: the words of any patterns are no more than the quotas of their sources."""
+            picks = itertools.chain.from_iterable(itertools.combinations(range(len(taken)), n) for n in range(1, len(taken) + 1))
+            return all(sum(taken[i] for i in p) <= sum(quotas[s] for s in set().union(*(patterns[i][0] for i in p))) for p in picks)
+
+        def rating(taken, patterns=patterns):
+            # The k-th copy of a pattern costs k a word.
+            cost = sum(sum(j // w for j in range(t)) for t, (_, w) in zip(taken, patterns, strict=True) if w)
+            return -sum(taken), cost
+
+        choices = itertools.product(*(range(copies * w + 1) for _, w in patterns))
+        best = min(rating(t) for t in choices if fits(t))
+        given = routed(patterns, quotas, copies)
+        assert fits(given) and rating(given) == best
+
+
+def test_many_sources_and_overlaps_take_seconds():
+    began = time.perf_counter()
+    assert routed([(frozenset({i}), 10) for i in range(100_000)], {i: 15 for i in range(100_000)}, 2) == [15] * 100_000
+    chance = random.Random(3)
+    overlapping = [(frozenset(f"s{n}" for n in chance.sample(range(300), 2)), chance.randint(1, 50)) for _ in range(2000)]
+    quotas = {f"s{n}": 150 for n in range(300)}
+    given = routed(overlapping, quotas, 2)
+    assert all(0 <= g <= 2 * w for g, (_, w) in zip(given, overlapping, strict=True)) and sum(given) > 40_000
+    assert time.perf_counter() - began < 30
+
+
 def test_each_source_comes_near_its_target(documents):
     rows = mixed(documents, F.array("source"), word_count(), (3, 1, 2)).collect()
     again = mixed(documents, F.array("source"), word_count(), (3, 1, 2)).collect()

@@ -5,6 +5,7 @@
     jobs.py expire       old rows dropped from the lake
     jobs.py load-day     one day of the lake to a database, or to a Parquet table
     jobs.py mart         the daily mart, kept up to date with the lake
+    jobs.py merge-month  the parts of a month of a mart that adds up deltas
     jobs.py full-mart    the daily mart rebuilt from the whole lake, as a catalog table
     jobs.py ingest       result pages and details of one load date to the raw tables
     jobs.py stage        one load date of raw movie documents to the staging tables
@@ -47,6 +48,7 @@ from salesmart.session import WIDE, build_session
 from salesmart.sources.kafka import kafka_changes
 from salesmart.sources.lake import BATCH, read_dataset
 from salesmart.sources.relational import append_jdbc
+from salesmart.streaming.deltas import merge_period, start_delta_mart_stream
 from salesmart.streaming.lake import start_lake_stream
 from salesmart.streaming.mart import sales_mart, start_mart_stream
 
@@ -96,9 +98,16 @@ def load_one_day(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def follow_mart(spark: SparkSession, args: argparse.Namespace) -> None:
     every = None if args.once else args.every
+    if args.deltas:
+        start_delta_mart_stream(spark, args.lake, args.mart, args.checkpoint, every=every).awaitTermination()
+        return
     start_mart_stream(spark, args.lake, args.mart, args.checkpoint, every=every).awaitTermination()
 
 
+def merge_month(spark: SparkSession, args: argparse.Namespace) -> None:
+    merge_period(spark, args.mart, args.month.replace(day=1))
+
+
 def rebuild_mart(spark: SparkSession, args: argparse.Namespace) -> None:
     full_refresh(sales_mart(read_dataset(spark, args.lake, model.LAKE_SCHEMA)), args.name)
 
@@ -199,6 +208,10 @@ def parser() -> argparse.ArgumentParser:
     sub = job("mart", follow_mart, "lake", "mart", "checkpoint")
     sub.add_argument("--every", default="1 hour")
     sub.add_argument("--once", action="store_true", help="take what is there and stop")
+    sub.add_argument("--deltas", action="store_true", help="add up what each batch adds, instead of rebuilding dates")
+
+    sub = job("merge-month", merge_month, "mart")
+    sub.add_argument("--month", type=dt.date.fromisoformat, required=True, help="any day of it")
 
     job("full-mart", rebuild_mart, "lake", "name")
 

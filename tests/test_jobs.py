@@ -11,6 +11,7 @@ from salesmart import jobs
 from salesmart.operators.loads import replace_date
 from salesmart.plans import sales as model
 from salesmart.sources.lake import read_dataset, write_dataset
+from salesmart.streaming.deltas import read_delta_mart
 
 
 def test_sales_jobs(spark, folder):
@@ -27,6 +28,11 @@ def test_sales_jobs(spark, folder):
     jobs.main(["full-mart", *place, "--name", "rebuilt_mart"], spark)
     assert rows(spark.table("rebuilt_mart").select(followed.columns)) == rows(followed)
 
+    deltas = ["--mart", f"{folder}/deltas", "--checkpoint", f"{folder}/c8"]
+    jobs.main(["mart", *place, *deltas, "--once", "--deltas"], spark)
+    jobs.main(["merge-month", *deltas[:2], "--month", "2024-05-11"], spark)
+    assert rows(read_delta_mart(spark, f"{folder}/deltas").select(followed.columns)) == rows(followed)
+
 
 @pytest.fixture
 def root(spark, folder):

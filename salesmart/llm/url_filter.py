@@ -21,7 +21,8 @@ class TemplateSettings(NamedTuple):
     """What the template tree goes by.
 
     min_children: a node's children become a wildcard when it has that many distinct
-        ones, however many URLs they have.
+        ones, however many URLs they have, but for those whose labels tell them apart.
+    evidence: distinct labelled paths below a child without which it is like the others.
     deviations: branches within so many standard deviations of their parent's
         purity are merged into one.
     prior: labels' worth of the parent's purity that each branch starts with.
@@ -29,6 +30,7 @@ class TemplateSettings(NamedTuple):
     """
 
     min_children: int = 20
+    evidence: int = 3
     deviations: float = 2.0
     prior: float = 5.0
     block_at: float = 0.5
@@ -69,7 +71,9 @@ def path_templates(work: Workspace, urls: DataFrame, settings: TemplateSettings)
     segment of the longest path.
 
     The children of a node are counted after its own segments are generalised, so
-    ``/en/1`` and ``/en/2`` meet in ``/en/*`` and go on as one branch.
+    ``/en/1`` and ``/en/2`` meet in ``/en/*`` and go on as one branch. A child with
+    ``evidence`` whose share of blocked paths differs from that of its siblings, by a
+    test of two proportions, keeps its name (``told_apart``).
     """
     tree = work.stored(urls.withColumn("template", F.array().cast("array<string>")), "level0")
     schema = tree.schema
@@ -85,10 +89,14 @@ def path_templates(work: Workspace, urls: DataFrame, settings: TemplateSettings)
             .select("host", "template", F.lit(True).alias("variable")),
             f"variable{level}",
         )
+        own = work.stored(told_apart(further.withColumn("segment", segment), variable, settings), f"own{level}")
+        general = F.col("variable") & F.col("named").isNull()
         tree = work.stored(
-            further.join(variable, ["host", "template"], "left")
-            .withColumn("template", F.concat("template", F.array(F.when(F.col("variable"), F.lit("*")).otherwise(segment))))
-            .drop("variable"),
+            further.withColumn("segment", segment)
+            .join(variable, ["host", "template"], "left")
+            .join(own, ["host", "template", "segment"], "left")
+            .withColumn("template", F.concat("template", F.array(F.when(general, F.lit("*")).otherwise(F.col("segment")))))
+            .select(*schema.names),
             f"level{level + 1}",
         )
     # A row is whole in the table of its last segment.
@@ -96,6 +104,26 @@ def path_templates(work: Workspace, urls: DataFrame, settings: TemplateSettings)
     return work.spark.read.schema(schema).parquet(*levels).filter(F.size("template") == F.size("segments"))
 
 
+def told_apart(urls: DataFrame, variable: DataFrame, settings: TemplateSettings) -> DataFrame:
+    """``host, template, segment, named``: the children of variable nodes that are not like the others.
+
+    Of a child and of its siblings the shares of blocked ones among the distinct
+    labelled paths are compared: they differ when they are more than ``deviations``
+    standard errors of the pooled share apart.
+    """
+    node = ["host", "template"]
+    paths = urls.filter("label is not null").join(variable, node, "left_semi")
+    children = paths.select(*node, "segment", "path", "label").distinct().groupBy(*node, "segment")
+    children = children.agg(F.count("*").alias("n"), F.sum("label").alias("x"))
+    whole = children.groupBy(*node).agg(F.sum("n").alias("all_n"), F.sum("x").alias("all_x"))
+    others_n, others_x = F.col("all_n") - F.col("n"), F.col("all_x") - F.col("x")
+    pooled = F.col("all_x") / F.col("all_n")
+    error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("n") + 1 / F.nullif(others_n, F.lit(0))))
+    apart = F.abs(F.col("x") / F.col("n") - others_x / F.nullif(others_n, F.lit(0))) > settings.deviations * error
+    found = children.join(whole, node).filter((F.col("n") >= settings.evidence) & (others_n > 0) & apart)
+    return found.select(*node, "segment", F.lit(True).alias("named"))
+
+
 def template_verdicts(work: Workspace, tree: DataFrame, settings: TemplateSettings) -> DataFrame:
     """``host, template, purity`` for every template, from the labels of its URLs.
 

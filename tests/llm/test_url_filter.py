@@ -65,10 +65,30 @@ def test_deep_segments_are_judged_apart(spark):
     assert sum(r["rule"] is None for r in rows) == 120
 
 
+@pytest.mark.parametrize("sections", [19, 25, 60])
+def test_sections_that_labels_tell_apart_keep_their_names(spark, sections):
+    """Every other section is blocked; the pages without a label go with their section."""
+    rules = [Rule("h.net", f"/s{i:02}/k", "block" if i % 2 else "allow") for i in range(sections)]
+    urls = [f"http://h.net/s{i:02}/{kind}{n}" for i in range(sections) for kind, most in (("k", 8), ("p", 4)) for n in range(most)]
+    rows = url_verdicts(frame(spark, urls), rules).collect()
+    found = {(r["path"][2:4], r["verdict"]) for r in rows if r["rule"] is None}
+    assert found == {(f"{i:02}", "block" if i % 2 else "allow") for i in range(sections)}
+
+
+def test_one_section_of_many_is_told_apart(spark):
+    """Forty allowed sections become one template, the blocked one beside them does not."""
+    rules = [Rule("h.net", "/bad/k", "block")] + [Rule("h.net", f"/n{i}/k", "allow") for i in range(40)]
+    urls = [f"http://h.net/{s}/{kind}{n}" for s in ["bad", *(f"n{i}" for i in range(40))] for kind in "kp" for n in range(6)]
+    rows = [r for r in url_verdicts(frame(spark, urls), rules).collect() if r["rule"] is None]
+    assert {(r["template"].split("/")[1], r["verdict"]) for r in rows} == {("bad", "block"), ("*", "allow")}
+
+
 @pytest.mark.parametrize("times", [1, 30])
 def test_repeated_rows_do_not_change_templates(spark, times):
     urls = [f"http://h.net/item/{i}" for i in range(40)] * times
     assert {r["template"] for r in url_verdicts(frame(spark, urls), []).collect()} == {"/item/*"}
+    rules = [Rule("h.net", f"/item/{i}", "block" if i == 30 else "allow") for i in range(20, 40)]
+    assert {r["template"] for r in url_verdicts(frame(spark, urls), rules).collect()} == {"/item/*"}
 
 
 def test_no_rows_and_no_rules(spark):

@@ -15,7 +15,7 @@ import logging
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -23,7 +23,8 @@ from salesmart.functions.times import moment_literal, months_later
 from salesmart.operators.key_dates import BUCKETS, build_key_dates, entries_of, is_complete, key_dates, note_keys
 from salesmart.operators.keys import absent_rows, distinct_keys, same_key, upserted
 from salesmart.operators.retention import keep_recent
-from salesmart.session import remove_folder, working_folder
+from salesmart.operators.swaps import finish_swaps, plain_path, remove_folders, swap_files
+from salesmart.session import folder_exists, remove_folder, working_folder
 from salesmart.sources.lake import BATCH, MERGED, date_folder, read_day, read_dataset, refuse_sink_log, write_dataset
 
 log = logging.getLogger(__name__)
@@ -274,6 +275,17 @@ def load_together(
             remove_folder(spark, folder)
 
 
+def days_present(
+    spark: SparkSession, path: str, days: Iterable[dt.date | None], schema: StructType, date_column: str
+) -> DataFrame:
+    """Several days of the dataset, whose first partition is the date: only their folders are listed."""
+    folders = [date_folder(path, date_column, day) for day in days]
+    folders = [folder for folder in folders if folder_exists(spark, folder)]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
 def compact_days(
     spark: SparkSession,
     path: str,
@@ -283,12 +295,21 @@ def compact_days(
 ) -> None:
     """Merge the batches of closed days of the lake, so that each has a few large files.
 
-    Only these days' folders are listed and read. Meant for days that no stream
-    writes any more; a batch that is repeated later would add its rows again.
+    Only these days' folders are listed, and one job reads and writes them all; what
+    it read is then swapped for what it wrote, so rows that land meanwhile stay. Meant
+    for days that no stream writes any more; a batch that is repeated later would add
+    its rows again.
     """
-    for day in days:
-        rows = read_day(spark, path, day, schema, date_column).withColumn(BATCH, F.lit(f"{MERGED}{day}"))
-        rewrite_dates(rows, path, [day], date_column, [BATCH])
+    finish_swaps(spark, path)
+    rows = days_present(spark, path, days, schema, date_column)
+    old = [plain_path(spark, file) for file in rows.inputFiles()]
+    if old:
+        swap_files(rows.select(*schema.names).withColumn(BATCH, merged_batch(date_column)), path, old, [date_column, BATCH])
+
+
+def merged_batch(date_column: str) -> Column:
+    """The batch of rows that were in the lake before, on their date."""
+    return F.concat(F.lit(MERGED), F.coalesce(F.col(date_column).cast("string"), F.lit("None")))
 
 
 def append_day(rows: DataFrame, path: str, day: dt.date, date_column: str = "event_date") -> int:
@@ -334,9 +355,12 @@ def expire_rows(
     ``further`` are the table's partitions below the date, as in the lake; ``schema``
     holds them too.
 
-    A date is left alone, emptied or rewritten, by its first and last moment; only
-    dates in which the limit falls are rewritten. Returns the dates changed.
+    Dates are left alone or emptied by their first and last moment. In the few dates in
+    which the limit falls, one pass over ``moment`` tells which files hold expired rows,
+    and which others too: the first go, and only files with both are read whole and
+    rewritten, all in one job. Other files keep their names. Returns the dates changed.
     """
+    finish_swaps(spark, path)
     table = read_dataset(spark, path, schema)
     limit = moment_literal(as_of)
     first = F.col(date_column).cast("timestamp")
@@ -350,10 +374,26 @@ def expire_rows(
     )
     gone = sorted(row[0] for row in days if row["gone"])
     partly = sorted(row[0] for row in days if not row["gone"])
-    if partly:
-        rows = on_dates(table, date_column, partly)
+    old = F.coalesce(months_later(F.col(moment), months) <= limit, F.lit(False))
+    files = (
+        days_present(spark, path, partly, schema, date_column)
+        .select(date_column, old.alias("old"), F.col("_metadata.file_path").alias("file"))
+        .groupBy(date_column, "file")
+        .agg(F.bool_or("old").alias("some"), F.bool_and("old").alias("all"))
+        .filter("some")
+        .collect()
+        if partly
+        else []
+    )
+    mixed = [plain_path(spark, row["file"]) for row in files if not row["all"]]
+    if files:
+        rows = spark.createDataFrame([], schema)
+        if mixed:
+            rows = spark.read.schema(schema).option("basePath", path).parquet(*mixed)
+            rows = keep_recent(rows, moment, as_of, months)
         if BATCH in further:
-            rows = rows.withColumn(BATCH, F.concat(F.lit(MERGED), date_column))
-        rewrite_dates(keep_recent(rows, moment, as_of, months), path, partly, date_column, further)
-    clear_dates(spark, path, gone, date_column)
-    return sorted([*gone, *partly])
+            rows = rows.withColumn(BATCH, merged_batch(date_column))
+        swap_files(rows, path, [plain_path(spark, row["file"]) for row in files], [date_column, *further])
+    refuse_sink_log(spark, path)
+    remove_folders(spark, [date_folder(path, date_column, day) for day in gone])
+    return sorted({*gone, *(row[0] for row in files)})

@@ -11,19 +11,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.tables import ship_package
+from salesmart.llm.tables import Workspace, ship_package
 
 
 class ToxicitySettings(NamedTuple):
     """ngram: characters (UTF-8 bytes) of a feature; bits: 2**bits features.
     most_labels: the labelled rows the classifier is fitted on, at most, chosen by a
-    seeded hash of the id. shard_labels: of those fitted in one task, about; the
-    tasks' weights are averaged. steps, rate, decay: of the fit."""
+    seeded hash of the id. shard_labels, shard_features: of those fitted in one task,
+    and their features, about; the tasks' weights are averaged. steps, rate, decay: of the fit."""
 
     ngram: int = 5
     bits: int = 18
     most_labels: int = 12_000
     shard_labels: int = 2_000
+    shard_features: int = 16_000_000
     steps: int = 60
     rate: float = 0.3
     decay: float = 1e-4
@@ -88,12 +89,13 @@ def train(documents: DataFrame, labels: DataFrame, settings: ToxicitySettings =
     """A model of ``labels`` (``doc_id``, ``toxic`` 0 or 1) on ``documents`` (``doc_id``, ``text``).
 
     Labels without an id or a value count for nothing; an id with several has their
-    maximum. At most ``most_labels`` of them are used. Their documents meet the
-    workers in groups of bounded size: first each counts its n-grams by label, which
-    gives the ratios, then each fits weights, which are averaged. The driver gets
-    the chosen labels and three arrays of 2**bits numbers a group.
+    maximum. At most ``most_labels`` of them are used. Their documents are written
+    aside, in one pass over all, and meet the workers in groups that are bounded by
+    documents and by features: first each counts its n-grams by label, which gives
+    the ratios, then each fits weights, which are averaged. The driver gets the chosen
+    labels and three arrays of 2**bits numbers a group.
     """
-    ship_package(documents.sparkSession)
+    work = Workspace(documents.sparkSession, "toxicity")
     size = 1 << settings.bits
     chosen = (
         labels.filter("doc_id is not null and toxic is not null")
@@ -103,15 +105,16 @@ def train(documents: DataFrame, labels: DataFrame, settings: ToxicitySettings =
         .limit(settings.most_labels)
         .toPandas()
     )
-    shards = max(1, -(-len(chosen) // settings.shard_labels))
+    rows = len(chosen)
     chosen = documents.sparkSession.createDataFrame(chosen, labels.select("doc_id", "toxic").schema)
     # Bounded by most_labels.
-    sample = (
-        documents.select("doc_id", "text")
-        .join(F.broadcast(chosen), "doc_id")
-        .withColumn("shard", F.pmod(F.xxhash64(F.lit(settings.seed + 1), "doc_id"), F.lit(shards)))
-        .select("shard", "toxic", "text")
-    )
+    texts = work.stored(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "sample")
+    # A text has at most as many distinct features as bytes, and as there are features.
+    most = F.least(F.coalesce(F.octet_length("text"), F.lit(0)) + 2, F.lit(size)).cast("long")
+    total = texts.agg(F.sum(most)).first()[0] or 0
+    shards = max(1, -(-rows // settings.shard_labels), -(-total // settings.shard_features))
+    shard = F.pmod(F.xxhash64(F.lit(settings.seed + 1), "doc_id"), F.lit(shards))
+    sample = texts.select(shard.alias("shard"), "toxic", "text")
 
     def counted(group: pd.DataFrame) -> pd.DataFrame:
         counts = np.zeros((2, size), np.int32)
@@ -122,7 +125,7 @@ def train(documents: DataFrame, labels: DataFrame, settings: ToxicitySettings =
         return pd.DataFrame({"clean": [counts[0].tobytes()], "toxic": [counts[1].tobytes()], "n": [rows.tolist()]})
 
     totals, rows = np.zeros((2, size)), np.zeros(2)
-    for part in sample.groupBy("shard").applyInPandas(counted, "clean binary, toxic binary, n array<long>").toLocalIterator():
+    for part in sample.groupBy("shard").applyInPandas(counted, "clean binary, toxic binary, n array<long>").collect():
         totals += [np.frombuffer(part["clean"], np.int32), np.frombuffer(part["toxic"], np.int32)]
         rows += part["n"]
     clean, toxic = np.log((totals + 1) / (rows + 2)[:, None])
@@ -134,9 +137,10 @@ def train(documents: DataFrame, labels: DataFrame, settings: ToxicitySettings =
         return pd.DataFrame({"weights": [weights.astype(np.float32).tobytes()], "bias": [bias]})
 
     weights, bias, parts = np.zeros(size), 0.0, 0
-    for part in sample.groupBy("shard").applyInPandas(fitted, "weights binary, bias double").toLocalIterator():
+    for part in sample.groupBy("shard").applyInPandas(fitted, "weights binary, bias double").collect():
         weights += np.frombuffer(part["weights"], np.float32)
         bias, parts = bias + part["bias"], parts + 1
+    work.drop()
     return ToxicityModel(ratios, weights / max(parts, 1), bias / max(parts, 1) if parts else -np.inf)
 
 

@@ -1,4 +1,4 @@
-"""JSON text to columns and back."""
+"""JSON, as text or as VARIANT, to columns and back."""
 
 from __future__ import annotations
 
@@ -27,11 +27,28 @@ def text_fields(document: Column, keys: list[str], lenient: bool = False) -> Col
     return F.from_json(document, schema, {"mode": "PERMISSIVE" if lenient else "FAILFAST"})
 
 
+def variant_text(document: Column, key: str) -> Column:
+    """The text of a top-level key of a VARIANT, as ``text_fields`` gives it for JSON text.
+
+    Numbers come without zeros at their end, and the keys of objects in order of their
+    names: a VARIANT does not keep how they were written. NULL for a ``null``, for a
+    missing key and for a document that is no object.
+    """
+    quote = '"' if "'" in key else "'"
+    return F.try_variant_get(document, f"$[{quote}{key}{quote}]", "string")
+
+
+def variant_fields(document: Column, keys: list[str]) -> dict[str, Column]:
+    """The text of each top-level key. Nothing is parsed, and a scan brings only those that are used."""
+    return {key: variant_text(document, key) for key in keys}
+
+
 def typed(text: Column, data_type: str, lenient: bool = False) -> Column:
     """Text to ``data_type`` with the empty text as NULL; ``lenient`` turns bad text into NULL."""
     if data_type == "string":
         return text
-    present = F.nullif(text, F.lit(""))
+    # Not ``nullif``, which would bring the whole document along with a field of a VARIANT.
+    present = F.when(text != "", text)
     if data_type == "boolean":
         word = F.lower(F.trim(present))
         present = (
@@ -43,7 +60,7 @@ def typed(text: Column, data_type: str, lenient: bool = False) -> Column:
 
 
 def typed_columns(
-    parsed: Column, columns: Mapping[str, tuple[str, str]], lenient: bool = False
+    parsed: Column | Mapping[str, Column], columns: Mapping[str, tuple[str, str]], lenient: bool = False
 ) -> list[Column]:
-    """``{name: (key, type)}`` over a struct of ``text_fields`` as named, typed columns."""
+    """``{name: (key, type)}`` over a struct of ``text_fields`` or ``variant_fields`` as named, typed columns."""
     return [typed(parsed[key], kind, lenient).alias(name) for name, (key, kind) in columns.items()]

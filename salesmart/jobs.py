@@ -53,6 +53,7 @@ from salesmart.streaming.lake import start_lake_stream
 from salesmart.streaming.mart import sales_mart, start_mart_stream
 
 RAW_MOVIES = "id BIGINT, movie_id BIGINT, payload STRING, ingested_at TIMESTAMP, load_date DATE"
+RAW_VARIANTS = "id BIGINT, movie_id BIGINT, document VARIANT, unparsed STRING, ingested_at TIMESTAMP, load_date DATE"
 
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -116,9 +117,11 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     """Pages (``load_date, page, body``) and details (``load_date, fetched_at, body``) come as Parquet."""
     pages = read_dataset(spark, args.pages, "load_date DATE, page INT, body STRING")
     counted = Observation("pages")
-    found = movies.listed_in_pages(movies.on_date(pages, args.date), args.max_pages, args.lenient, counted)
+    found = movies.listed_in_pages(movies.on_date(pages, args.date), args.max_pages, args.lenient, counted, args.variant)
     details = read_dataset(spark, args.details, "load_date DATE, fetched_at TIMESTAMP, body STRING")
     once = movies.listed_details(movies.on_date(details, args.date), found)
+    if args.variant:
+        once = movies.parsed_once(once, args.lenient)
     now = F.current_timestamp()
     loaded = load_together(
         {
@@ -135,9 +138,9 @@ def check(spark: SparkSession, args: argparse.Namespace) -> None:
         require(movies.on_date(table, args.date), movies.STAGE_NOT_NULL, movies.STAGE_UNIQUE)
 
 
-def movie_tables(spark: SparkSession, root: str, layer: str) -> tuple[DataFrame, DataFrame]:
+def movie_tables(spark: SparkSession, root: str, layer: str, raw: str = RAW_MOVIES) -> tuple[DataFrame, DataFrame]:
     """The listing and the details of a layer, empty where nothing was loaded yet."""
-    listing = details = spark.createDataFrame([], RAW_MOVIES)
+    listing = details = spark.createDataFrame([], raw)
     if layer == "stage":
         listing, details = movies.stage_listing(listing), movies.stage_details(details)
     return tuple(
@@ -147,7 +150,7 @@ def movie_tables(spark: SparkSession, root: str, layer: str) -> tuple[DataFrame,
 
 
 def stage(spark: SparkSession, args: argparse.Namespace) -> None:
-    listing, details = movie_tables(spark, args.root, "raw")
+    listing, details = movie_tables(spark, args.root, "raw", RAW_VARIANTS if args.variant else RAW_MOVIES)
     state = f"{args.root}/state/staged"
     day = args.date or next_load_date(spark, state, args.first)
     staged = {
@@ -219,6 +222,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--date", type=dt.date.fromisoformat, required=True)
     sub.add_argument("--max-pages", type=int, help="pages beyond it are left out")
     sub.add_argument("--lenient", action="store_true", help="pages that cannot be read are skipped and counted")
+    sub.add_argument("--variant", action="store_true", help="documents are parsed once, as they land")
 
     sub = job("check", check, "root")
     sub.add_argument("--date", type=dt.date.fromisoformat, help="else all dates")
@@ -228,6 +232,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--first", type=dt.date.fromisoformat, default=dt.date(2026, 3, 15))
     sub.add_argument("--mode", choices=("replace", "upsert"), default="replace")
     sub.add_argument("--lenient", action="store_true", help="text that does not fit its type becomes NULL")
+    sub.add_argument("--variant", action="store_true", help="the raw tables were ingested so")
 
     sub = job("movies", movie_mart, "root")
     sub.add_argument("--date", type=dt.date.fromisoformat, required=True)

@@ -243,6 +243,9 @@ SELECT {ROW_KEY.format("p_partkey")} AS stage_row_key,
     '{{"name":"' || p_name || '"}}' AS spoken_languages_json
 FROM parts"""
 
+ORACLES["variant_stage_discover"] = ORACLES["json_stage_discover"]
+ORACLES["variant_stage_details"] = ORACLES["json_stage_details"]
+
 ORACLES["nullif_cast"] = """
 SELECT o_orderkey,
     CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day,
@@ -306,6 +309,7 @@ SELECT date_diff('day', DATE '1970-01-01', load_date) * 1099511627776 + movie_id
     CAST(load_date AS VARCHAR) AS load_date, movie_id, line
 FROM (SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY page DESC) AS place FROM items)
 WHERE place = 1"""
+ORACLES["variant_pages_to_raw"] = ORACLES["pages_to_raw"]
 
 # Load modes
 

@@ -1,6 +1,8 @@
 """Movies: raw JSON documents to typed staging rows and marts.
 
-Raw tables have the columns ``id, load_date, movie_id, payload, ingested_at``.
+Raw tables have the columns ``id, load_date, movie_id, payload, ingested_at``, or, where
+documents are parsed once and for all as they land, ``document`` (VARIANT) and
+``unparsed`` (text that is no JSON) in place of ``payload``.
 """
 
 from __future__ import annotations
@@ -11,13 +13,15 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from salesmart.functions.documents import json_text, text_fields, typed_columns
+from salesmart.functions.documents import json_text, text_fields, typed_columns, variant_fields, variant_text
 from salesmart.functions.values import dated_id, row_key
 from salesmart.operators.keys import enriched, last_per_key
 from salesmart.operators.pages import flatten_pages
 
 NUMBER = "decimal(20,6)"
 MOVIE_KEY = ("load_date", "movie_id")
+# What stands for ``payload`` where it is parsed as it lands.
+DOCUMENT = ("document", "unparsed")
 
 # The checks both staging tables must pass.
 STAGE_NOT_NULL = ("raw_id", "movie_id", "load_date")
@@ -100,12 +104,21 @@ def listed_in_pages(
     max_pages: int | None = None,
     lenient: bool = False,
     observe: Observation | str | None = None,
+    as_variant: bool = False,
 ) -> DataFrame:
     """The movies on result pages (``load_date, page, body``) as ``load_date, movie_id, payload`` rows.
 
+    With ``as_variant`` the parse of a page gives its items as VARIANT, in ``document``
+    in place of ``payload``, and nothing is parsed after it.
+
     A movie that a load date lists more than once is kept as it came last. Pages
     that cannot be read raise, or are counted by ``observe`` when ``lenient``.
     """
+    if as_variant:
+        items = flatten_pages(pages, "VARIANT", max_pages, lenient=lenient, observe=observe)
+        number = variant_text(F.col("item"), "id").cast("bigint")
+        keyed = items.withColumns({"movie_id": number, "document": F.col("item"), "unparsed": F.lit(None).cast("string")})
+        return last_per_key(keyed, MOVIE_KEY, ["page", "position"]).select(*MOVIE_KEY, *DOCUMENT)
     items = flatten_pages(pages, "STRING", max_pages, lenient=lenient, observe=observe)
     keyed = items.withColumns({"movie_id": F.get_json_object("item", "$.id").cast("bigint"), "payload": F.col("item")})
     return last_per_key(keyed, MOVIE_KEY, ["page", "position"]).select(*MOVIE_KEY, "payload")
@@ -123,12 +136,26 @@ def listed_details(details: DataFrame, listed: DataFrame) -> DataFrame:
     return enriched(listed.select(*MOVIE_KEY), last, MOVIE_KEY)
 
 
+def parsed_once(raw: DataFrame, lenient: bool = False) -> DataFrame:
+    """Rows with ``payload`` as rows with ``document``, a VARIANT, and ``unparsed``.
+
+    Text that is no JSON, or names a key twice, raises; when ``lenient`` it is kept in
+    ``unparsed``, and staging gives NULL for its columns.
+    """
+    text = F.col("payload")
+    document = F.try_parse_json(text) if lenient else F.parse_json(text)
+    others = [c for c in raw.columns if c not in ("payload", *MOVIE_KEY[:1])]
+    return raw.select(
+        *others, document.alias("document"), F.when(document.isNull(), text).alias("unparsed"), *MOVIE_KEY[:1]
+    )
+
+
 def as_raw(landed: DataFrame, ingested_at: Column) -> DataFrame:
     """Landed rows with the columns of the raw table; the id is the same on every run."""
     return landed.select(
         dated_id(F.col("load_date"), F.col("movie_id")).alias("id"),
         "movie_id",
-        "payload",
+        *(DOCUMENT if "document" in landed.columns else ["payload"]),
         ingested_at.alias("ingested_at"),
         "load_date",
     )
@@ -141,19 +168,23 @@ def stage_documents(
     lenient: bool = False,
     with_row_key: bool = True,
 ) -> DataFrame:
-    """Raw documents as typed columns; every payload is parsed once.
+    """Raw documents as typed columns; every payload is parsed once, a VARIANT not at all.
 
     Text that does not fit its type raises, or becomes NULL when ``lenient``.
     """
     keys = [key for key, _ in columns.values()]
-    parsed = on_date(raw, load_date).withColumn("_fields", text_fields(F.col("payload"), keys, lenient))
+    parsed, payload, fields = on_date(raw, load_date), F.col("payload"), F.col("_fields")
+    if "document" in raw.columns:
+        fields, payload = variant_fields(F.col("document"), keys), F.coalesce("unparsed", F.to_json("document"))
+    else:
+        parsed = parsed.withColumn("_fields", text_fields(payload, keys, lenient))
     return parsed.select(
         *([row_key(*MOVIE_KEY).alias("stage_row_key")] if with_row_key else []),
         F.col("id").alias("raw_id"),
         *MOVIE_KEY,
         "ingested_at",
-        *typed_columns(F.col("_fields"), columns, lenient),
-        F.col("payload").alias("raw_payload"),
+        *typed_columns(fields, columns, lenient),
+        payload.alias("raw_payload"),
     )
 
 

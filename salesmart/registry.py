@@ -16,7 +16,7 @@ from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampT
 
 from salesmart import fixtures as fx
 from salesmart.functions.binary import decode_decimal, encode_decimal
-from salesmart.functions.documents import json_text, text_fields, typed
+from salesmart.functions.documents import json_text, text_fields, typed, variant_text
 from salesmart.functions.times import (
     from_epoch_micros,
     from_epoch_millis,
@@ -393,6 +393,31 @@ def json_stage_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return movies.stage_details(fx.raw_parts(spark, sf_dir)).drop("raw_payload")
 
 
+def landed_variants(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """Raw documents that were parsed as they landed, by load date."""
+    parsed, path = movies.parsed_once(raw), scratch(spark, "variants")
+    write_dataset(parsed, path, ["load_date"])
+    return read_dataset(spark, path, loads.table_schema(parsed, ["load_date"]))
+
+
+@query
+def variant_stage_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return movies.stage_listing(landed_variants(spark, fx.raw_listing(spark, sf_dir))).drop("raw_payload")
+
+
+@query
+def variant_stage_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return movies.stage_details(landed_variants(spark, fx.raw_parts(spark, sf_dir))).drop("raw_payload")
+
+
+@query
+def variant_pages_to_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows of ``pages_to_raw``, with the items of a page as VARIANT."""
+    listed = movies.listed_in_pages(fx.dated_conversation_pages(spark, sf_dir), as_variant=True)
+    raw = movies.as_raw(listed, F.col("load_date").cast("timestamp"))
+    return raw.select("id", *movies.MOVIE_KEY, variant_text(F.col("document"), "line").alias("line"))
+
+
 @query
 def nullif_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     def unless(condition, value):

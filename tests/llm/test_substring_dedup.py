@@ -4,7 +4,17 @@ import numpy as np
 import pytest
 from llm_corpus import corpus, words
 
-from salesmart.llm.substring_dedup import PassageSettings, anchors, repeated_passages
+from salesmart.llm import substring_dedup
+from salesmart.llm.substring_dedup import (
+    HELD_CELLS,
+    TABLE_CELLS,
+    PassageSettings,
+    anchors,
+    bits_for,
+    expected_anchors,
+    repeated_passages,
+    sketch_cells,
+)
 from salesmart.llm.words import rolling, sliding_min, word_hashes
 
 
@@ -30,10 +40,16 @@ def expected(rows, size):
 
 @pytest.mark.parametrize(
     "settings",
-    [PassageSettings(row_bits=20), PassageSettings(window=20, anchor=7, row_bits=20), PassageSettings(window=10, anchor=9, row_bits=4, id_bits=8)],
+    [
+        PassageSettings(),
+        PassageSettings(window=20, anchor=7),
+        PassageSettings(window=10, anchor=9, id_bits=8),
+        PassageSettings(most_bits=4),
+        PassageSettings(window=10, anchor=9, most_bits=4, id_bits=8),
+    ],
 )
 def test_equals_brute_force(documents, settings):
-    """Also with a sketch and bitmaps so small that they sort out nothing."""
+    """Also with the sketch as a table (``most_bits`` below what is needed) and small bitmaps."""
     found = repeated_passages(documents, settings, with_text=True).collect()
     wanted = expected(corpus(), settings.window)
     assert sorted(map(tuple, found), key=repr) == wanted
@@ -44,6 +60,37 @@ def test_no_rows(nothing):
     assert repeated_passages(nothing).count() == 0
 
 
+def test_a_sketch_that_sorts_out_nothing_loses_nothing(documents, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "bits_for", lambda cells: 8)
+    settings = PassageSettings(window=10, anchor=9)
+    assert sorted(map(tuple, repeated_passages(documents, settings, with_text=True).collect()), key=repr) == expected(corpus(), 10)
+
+
+def test_a_table_of_cells_takes_empty_documents(nothing):
+    assert repeated_passages(nothing, PassageSettings(most_bits=4)).count() == 0
+
+
+@pytest.mark.parametrize("n_bytes", [10**5, 10**7, 5 * 10**7, 5 * 10**8])
+@pytest.mark.parametrize("held", [True, False])
+def test_lone_anchors_are_seldom_suspected(n_bytes, held):
+    """At every size: the sketch is as large as the text asks for."""
+    n = expected_anchors(n_bytes, PassageSettings())
+    rows, row_bits = (2, bits_for(HELD_CELLS * n)) if held else (1, bits_for(TABLE_CELLS * n))
+    keys = np.random.default_rng(1).integers(0, 2**64, int(n), np.uint64)
+    suspected = np.ones(len(keys), bool)
+    for cells in sketch_cells(keys, rows, row_bits):
+        _, which, counts = np.unique(cells, return_inverse=True, return_counts=True)
+        suspected &= counts[which] > 1
+    assert suspected.mean() < 0.05
+
+
+def test_anchors_are_as_many_as_expected():
+    """Of words of three bytes and a space."""
+    text = [b"%03d" % i for i in np.random.default_rng(2).integers(0, 1000, 100_000)]
+    found = len(anchors(word_hashes().of(text)[:, 0], PassageSettings())[0])
+    assert found == pytest.approx(expected_anchors(400_000, PassageSettings()), rel=0.05)
+
+
 def test_equal_windows_have_equal_anchors():
     text = [b"w%d" % (i % 17) for i in range(300)]
     settings = PassageSettings(window=20, anchor=8)

@@ -12,8 +12,9 @@ from pyspark.sql.types import AtomicType, StructType
 from salesmart.sources.lake import spread_for_write
 
 # Size of a range in a sorted write, as estimated, and the most ranges there can be:
-# the estimate of a join may be far too large.
-FILE_BYTES = 512 * 1024**2
+# the estimate of a join may be far too large. A task sorts one range, and rows that were
+# read from compressed files take some ten times the estimate in its memory.
+FILE_BYTES = 64 * 1024**2
 MOST_FILES = 100_000
 
 

@@ -84,6 +84,13 @@ def test_sorted_files_hold_ranges_and_split_a_hot_key(spark, folder):
     assert max(map(len, pairs)) < 20000 * 0.4 and sum(map(len, pairs)) == 20000
 
 
+def test_a_task_of_a_sorted_write_gets_a_bounded_range(spark, folder):
+    rows = spark.range(20_000_000)  # 160 MB as estimated
+    tables.write_sorted(rows, f"{folder}/s", ["id"])
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in Path(f"{folder}/s").glob("*.parquet")]
+    assert sum(sizes) == 20_000_000 and len(sizes) == 3
+
+
 def test_compression(spark, folder):
     write_dataset(spark.range(10), f"{folder}/z", (), options=tables.compression("zstd", 10))
     file = next(Path(f"{folder}/z").glob("*.parquet"))

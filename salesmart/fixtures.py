@@ -23,6 +23,11 @@ OPERATIONS = {
     "4-NOT SPECIFIED": "u",
     "5-LOW": "d",
 }
+# The columns from which a sale follows.
+SALES_SOURCES = (
+    "l_orderkey", "l_linenumber", "l_partkey", "quantity", "price", "discount", "l_returnflag", "l_shipdate",
+    "p_name", "p_type", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate", "r_name", "n_name", "c_mktsegment",
+)
 FIRST_LOAD_DATE = "2026-03-15"
 # Items a conversation can list, so that ids of two never meet.
 LINES_PER_LISTING = 65536
@@ -36,11 +41,13 @@ def cents(amount: Column) -> Column:
     return amount.cast("decimal(12,2)")
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
     """Sales with their change operation, booked on the day they were shipped.
 
     The small tables are joined to the orders first, so the order lines, by far
-    the largest table, are shuffled for two joins only.
+    the largest table, are shuffled for two joins only. With ``by_day`` the rows of a
+    day are brought together, for a write by day, before the columns that follow from
+    others make them wider.
     """
     operation = F.create_map(*[F.lit(v) for pair in OPERATIONS.items() for v in pair])
     places = table(spark, sf_dir, "nation").join(
@@ -53,8 +60,17 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     )
-    discount = F.round(F.col("l_discount") * 100).cast("int")
-    price = cents(F.col("l_extendedprice")).cast("decimal(10,2)")
+    # Amounts as whole numbers, which take fewer bytes in a shuffle than doubles.
+    lines = lines.withColumns(
+        {
+            "quantity": F.col("l_quantity").cast("int"),
+            "price": cents(F.col("l_extendedprice")).cast("decimal(10,2)"),
+            "discount": F.round(F.col("l_discount") * 100).cast("int"),
+        }
+    )
+    if by_day:
+        lines = lines.select(*SALES_SOURCES, F.to_date("l_shipdate").alias("day")).hint("rebalance", "day")
+    discount, price = F.col("discount"), F.col("price")
     return lines.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.concat(F.lit("ORD-"), F.col("l_orderkey")).alias("order_id"),
@@ -62,7 +78,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").cast("int").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
-        F.col("l_quantity").cast("int").alias("quantity"),
+        "quantity",
         price.alias("unit_price"),
         discount.alias("discount_pct"),
         discounted_total(price, F.lit(1), discount, 10).alias("total_price"),

@@ -195,22 +195,16 @@ def price_derivation(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Lake -----------------------------------------------------------------------
 
 
-_lakes: dict[tuple[str, str], str] = {}
-
-
-def standing_lake(spark: SparkSession, sf_dir: str) -> str:
-    """The lake of all sales, written once per application for the queries that read days of it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _lakes:
-        path = working_folder(spark, "lake")
-        write_batch(fx.lake_rows(fx.sales(spark, sf_dir)), path, "all")
-        _lakes[key] = path
-    return _lakes[key]
+def sales_lake(spark: SparkSession, sf_dir: str) -> str:
+    """The lake of all sales, written for the running query."""
+    path = scratch(spark, "lake")
+    write_batch(fx.lake_rows(fx.sales(spark, sf_dir, by_day=True)), path, "all", spread=False)
+    return path
 
 
 @query
 def lake_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_day(spark, standing_lake(spark, sf_dir), LAKE_DAY, model.LAKE_SCHEMA)
+    return read_day(spark, sales_lake(spark, sf_dir), LAKE_DAY, model.LAKE_SCHEMA)
 
 
 def replayed_lake(spark: SparkSession, records: str, lake: str, checkpoint: str) -> None:
@@ -244,7 +238,7 @@ def lake_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def day_table(spark: SparkSession, sf_dir: str, write: Callable[[DataFrame, str], object], days: list) -> DataFrame:
     """A table into which the given days of the lake are loaded one after another."""
-    lake, warehouse = standing_lake(spark, sf_dir), scratch(spark, "day-load")
+    lake, warehouse = sales_lake(spark, sf_dir), scratch(spark, "day-load")
     schema = StructType.fromDDL(model.LAKE_SCHEMA)
     for day in days:
         loads.load_day(spark, lake, schema, day, lambda rows, day=day: write(rows, warehouse, day))

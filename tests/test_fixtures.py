@@ -1,0 +1,55 @@
+import datetime as dt
+
+import pytest
+from helpers import rows
+
+from salesmart import fixtures as fx
+from salesmart import registry
+
+TABLES = {
+    "region": ("r_regionkey INT, r_name STRING", [(0, "EU")]),
+    "nation": ("n_nationkey INT, n_name STRING, n_regionkey INT", [(0, "FR", 0)]),
+    "customer": ("c_custkey LONG, c_nationkey INT, c_mktsegment STRING", [(1, 0, "AUTO"), (2, 0, None)]),
+    "part": ("p_partkey LONG, p_name STRING, p_type STRING", [(1, "bolt", "SMALL"), (2, None, "LARGE")]),
+    "orders": (
+        "o_orderkey LONG, o_custkey LONG, o_orderstatus STRING, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+        [(1, 1, "F", dt.datetime(1998, 3, 1), "1-URGENT"), (2, 2, "O", None, "5-LOW")],
+    ),
+    "lineitem": (
+        "l_orderkey LONG, l_partkey LONG, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
+        "l_discount DOUBLE, l_returnflag STRING, l_shipdate TIMESTAMP_NTZ",
+        [
+            (1, 1, 1, 3.0, 10.25, 0.05, "R", dt.datetime(1998, 4, 1)),
+            (1, 2, 2, None, None, None, None, None),
+            (2, 1, 1, 1.0, 99.99, 0.0, "N", dt.datetime(1998, 4, 2, 7)),
+            (2, 1, 1, 1.0, 99.99, 0.0, "N", dt.datetime(1998, 4, 2, 7)),
+        ],
+    ),
+}
+
+
+@pytest.fixture
+def small(spark, folder):
+    for name, (schema, data) in TABLES.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_rows_by_day_are_the_same_and_shuffled_before_they_are_widened(spark, small):
+    by_day = fx.sales(spark, small, by_day=True)
+    assert rows(by_day) == rows(fx.sales(spark, small))
+    text = by_day._jdf.queryExecution().optimizedPlan().toString()
+    above, _, below = text.partition("RebalancePartitions")
+    assert "AS order_id" in above and "AS total_price" in above
+    assert below and "AS order_id" not in below and "AS total_price" not in below
+
+
+def test_a_query_writes_its_lake_in_each_run(spark, small):
+    """A run pays for its own lake, sees the tables as they are and leaves nothing for the rest of the session."""
+    run = registry.QUERIES["lake_day_scan"]
+    assert [r["id"] for r in run(spark, small).collect()] == [11]
+    schema, data = TABLES["lineitem"]
+    more = (2, 1, 5, 1.0, 1.0, 0.0, "N", dt.datetime(1998, 4, 1))
+    spark.createDataFrame([*data, more], schema).write.mode("overwrite").parquet(f"{small}/lineitem.parquet")
+    assert sorted(r["id"] for r in run(spark, small).collect()) == [11, 25]
+    registry.drop_made(spark, "lake_day_scan")

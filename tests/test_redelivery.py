@@ -3,11 +3,12 @@
 import datetime as dt
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from test_deltas import failing_once, forget_commit
 from test_sales import envelope, wrapped
 from test_streaming import START, arrive, events, lake
 
+from salesmart.operators.key_index import add_keys
 from salesmart.plans import sales as model
 from salesmart.sources.kafka import recorded_changes
 from salesmart.streaming import lake as lake_stream
@@ -130,3 +131,16 @@ def test_another_change_of_a_row_is_no_copy(spark, folder):
     arrive(spark, folder, events(0, 2) + events(0, 2, op="r"))
     run_once(spark, folder)
     assert ids(spark, folder) == [0, 0, 1, 1]
+
+
+def test_rows_are_shuffled_once_to_tell_the_unseen(spark, folder):
+    schema = "event_date DATE, id LONG, ingest_ts INT, payload STRING"
+    day = dt.date(2024, 5, 1)
+    rows_of = spark.createDataFrame([(day, 1, 1, "a"), (day, 2, 1, "b"), (day, 2, 2, "c"), (None, None, 1, "d"), (day, None, 1, "e")], schema)
+    keys = ["event_date", "id"]
+    add_keys(spark.createDataFrame([(day, 1), (None, None)], "event_date DATE, id LONG"), f"{folder}/keys", "one")
+    found = once.unseen(rows_of, f"{folder}/keys", keys, ["ingest_ts"], "event_date")
+    assert rows(found) == [(dt.date(2024, 5, 1), 2, 2, "c"), (dt.date(2024, 5, 1), None, 1, "e")]
+    assert found.columns == rows_of.columns
+    final = plan(found).split("Initial Plan")[0]
+    assert final.count("Exchange hashpartitioning") == 1 and "Join" not in final

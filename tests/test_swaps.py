@@ -3,10 +3,12 @@
 import datetime as dt
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from helpers import rows
 
 from salesmart.operators import loads, swaps
+from salesmart.session import use_settings
 from salesmart.sources.lake import read_dataset, write_batch, write_dataset
 
 SCHEMA = "k INT, ts TIMESTAMP, event_date DATE"
@@ -130,3 +132,17 @@ def test_days_are_compacted_together_and_rows_that_land_meanwhile_stay(spark, fo
     assert len(names(path)) == 4
     loads.compact_days(spark, path, frame(spark).schema, [dt.date(2031, 1, 1)])
     assert len(names(path)) == 4
+
+
+def test_moved_files_keep_what_has_the_same_name(spark, folder):
+    spark.range(4).selectExpr("id", "id % 2 part").coalesce(1).write.partitionBy("part").parquet(f"{folder}/all")
+    assert [swaps.move_files(spark, f"{folder}/all/part={part}", f"{folder}/records") for part in (0, 1)] == [1, 1]
+    assert sorted(r["id"] for r in spark.read.parquet(f"{folder}/records").collect()) == [0, 1, 2, 3]
+    assert swaps.move_files(spark, f"{folder}/all/part=0", f"{folder}/records") == 0
+    assert swaps.move_files(spark, f"{folder}/missing", f"{folder}/records") == 0
+
+
+def test_jobs_write_compact_files(spark, folder):
+    use_settings(spark).range(10).write.parquet(f"{folder}/z")
+    file = next(Path(f"{folder}/z").glob("*.parquet"))
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"

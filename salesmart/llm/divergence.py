@@ -166,22 +166,25 @@ def recounted(documents: DataFrame, rows: list[tuple], settings: DivergenceSetti
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recount = worker_recount(token, shards)
         counts: dict[tuple[str, str, int], np.ndarray] = {}
-        waiting: dict[tuple[str, str], list[bytes]] = defaultdict(list)
+        waiting: dict[tuple[str, str], Counter] = defaultdict(Counter)
         held = seen = total = 0
 
         def added() -> int:
             """Count what waits; returns the bytes of new arrays."""
             more = 0
             for (lang, source), terms in waiting.items():
-                slots = recount.slots(lang, terms, settings.task_bytes)
-                slots = slots[slots >= 0]
+                slots = recount.slots(lang, list(terms), settings.task_bytes)
+                numbers = np.fromiter(terms.values(), np.int32, len(terms))
+                numbers, slots = numbers[slots >= 0], slots[slots >= 0]
                 shard = slots >> SLOT_BITS
                 for number in np.unique(shard).tolist():
                     key = (lang, source, number)
                     if key not in counts:
                         counts[key] = np.zeros(dense[lang, number], np.int32)
                         more += counts[key].nbytes
-                    np.add.at(counts[key], slots[shard == number] & ((1 << SLOT_BITS) - 1), 1)
+                    here = shard == number
+                    # Terms are distinct, so their slots are.
+                    counts[key][slots[here] & ((1 << SLOT_BITS) - 1)] += numbers[here]
             waiting.clear()
             return more
 
@@ -199,12 +202,13 @@ def recounted(documents: DataFrame, rows: list[tuple], settings: DivergenceSetti
             for lang, source, text in zip(batch["lang"].to_pylist(), batch["source"].to_pylist(), batch["text"], strict=True):
                 if lang not in recount.shards:
                     continue
-                terms = terms_of(text.as_py())
-                waiting[lang, source].extend(terms)
-                seen += len(terms)
-                if seen >= 500_000:
-                    held += added()
-                    total, seen = total + seen, 0
+                terms, found = terms_of(text.as_py()), waiting[lang, source]
+                seen -= len(found)
+                found.update(terms)
+                seen += len(found)
+                total += len(terms)
+                if seen >= 500_000 or total >= 1 << 30:
+                    held, seen = held + added(), 0
                     if held >= settings.task_bytes or total >= 1 << 30:
                         yield from emptied()
                         held = total = 0

@@ -53,3 +53,10 @@ def test_a_query_writes_its_lake_in_each_run(spark, small):
     spark.createDataFrame([*data, more], schema).write.mode("overwrite").parquet(f"{small}/lineitem.parquet")
     assert sorted(r["id"] for r in run(spark, small).collect()) == [11, 25]
     registry.drop_made(spark, "lake_day_scan")
+
+
+def test_an_arrival_without_records_still_makes_a_batch(spark, small):
+    """All sales here are booked in the last range of dates, or on none."""
+    for name, n_rows in (("mart_incremental", 2), ("stream_once", 2), ("offset_audit", 0)):
+        assert len(registry.QUERIES[name](spark, small).collect()) == n_rows, name
+        registry.drop_made(spark, name)

@@ -60,7 +60,7 @@ def sales(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     )
-    # Amounts as whole numbers, which take fewer bytes in a shuffle than doubles.
+    # Amounts are converted before the rows of a day are brought together.
     lines = lines.withColumns(
         {
             "quantity": F.col("l_quantity").cast("int"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -74,6 +75,8 @@ def kept_terms(documents: DataFrame, settings: DivergenceSettings) -> DataFrame:
     return (
         documents.select("lang", "text")
         .mapInArrow(counted, "lang string, term string, n long")
+        # Terms leave a task counted, so that adding up before the shuffle would spare no row.
+        .repartition("lang", "term")
         .groupBy("lang", "term")
         .agg(F.sum("n").alias("n"))
         .filter(F.col("n") >= settings.least_documents)
@@ -111,6 +114,14 @@ def hashed_shards(kept: DataFrame, sizes: DataFrame, settings: DivergenceSetting
     )
 
 
+class Numbered(dict):
+    """Distinct terms and their numbers, in the order in which they are asked for."""
+
+    def __missing__(self, term: bytes) -> int:
+        number = self[term] = len(self)
+        return number
+
+
 class Recount:
     """A worker's lookup of terms in the hashes of a round, and what it remembers of them."""
 
@@ -118,14 +129,16 @@ class Recount:
         self.shards: dict[str, tuple[int, dict[int, PerfectHash]]] = {}
         for lang, of_lang, shard, sizes, bits, text in rows:
             self.shards.setdefault(lang, (of_lang, {}))[1][shard] = PerfectHash(Levels(sizes, bits), text.encode())
-        self.known: dict[str, dict[bytes, int]] = defaultdict(dict)
+        self.known: dict[str, Numbered] = defaultdict(Numbered)
+        self.found: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(0, np.int64))
         self.held = 0
 
-    def slots(self, lang: str, terms: list[bytes], room: int) -> np.ndarray:
-        """The slot of each term, -1 for those this round does not count."""
+    def slots(self, lang: str) -> np.ndarray:
+        """By their numbers, the slots of all known terms, -1 for those this round does not
+        count. Terms are looked up here, once, whichever task first met them."""
         of_lang, hashes = self.shards[lang]
-        known = self.known[lang]
-        fresh = list(set(terms).difference(known))
+        known, before = self.known[lang], self.found[lang]
+        fresh = list(islice(known, len(before), None))
         if fresh:
             keys = key_hashes(fresh)
             shard = (keys[:, 0] % np.uint64(of_lang)).astype(np.int64)
@@ -134,13 +147,15 @@ class Recount:
                 at = np.flatnonzero(shard == number)
                 places = perfect.numbers([fresh[i] for i in at.tolist()], keys[at, 1])
                 found[at] = np.where(places >= 0, places + (number << SLOT_BITS), -1)
-            known.update(zip(fresh, found.tolist(), strict=True))
+            self.found[lang] = np.concatenate([before, found])
             self.held += sum(map(len, fresh)) + 100 * len(fresh)
-        slots = np.fromiter(map(known.__getitem__, terms), np.int64, len(terms))
-        if self.held > room:
-            self.known.clear()
-            self.held = 0
-        return slots
+        return self.found[lang]
+
+    def forget(self) -> None:
+        """Start anew; numbers given so far mean nothing any more."""
+        self.known.clear()
+        self.found.clear()
+        self.held = 0
 
 
 _kept: dict[str, Recount] = {}
@@ -166,15 +181,21 @@ def recounted(documents: DataFrame, rows: list[tuple], settings: DivergenceSetti
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recount = worker_recount(token, shards)
         counts: dict[tuple[str, str, int], np.ndarray] = {}
-        waiting: dict[tuple[str, str], Counter] = defaultdict(Counter)
-        held = seen = total = 0
+        waiting: dict[tuple[str, str], list[np.ndarray]] = defaultdict(list)
+        held = seen = fresh = total = 0
 
         def added() -> int:
             """Count what waits; returns the bytes of new arrays."""
             more = 0
-            for (lang, source), terms in waiting.items():
-                slots = recount.slots(lang, list(terms), settings.task_bytes)
-                numbers = np.fromiter(terms.values(), np.int32, len(terms))
+            for (lang, source), parts in waiting.items():
+                found, terms = recount.slots(lang), np.concatenate(parts)
+                if len(terms) < len(found) // 8:
+                    terms, numbers = np.unique(terms, return_counts=True)
+                else:
+                    numbers = np.bincount(terms)
+                    terms = np.flatnonzero(numbers)
+                    numbers = numbers[terms]
+                slots = found[terms]
                 numbers, slots = numbers[slots >= 0], slots[slots >= 0]
                 shard = slots >> SLOT_BITS
                 for number in np.unique(shard).tolist():
@@ -184,8 +205,10 @@ def recounted(documents: DataFrame, rows: list[tuple], settings: DivergenceSetti
                         more += counts[key].nbytes
                     here = shard == number
                     # Terms are distinct, so their slots are.
-                    counts[key][slots[here] & ((1 << SLOT_BITS) - 1)] += numbers[here]
+                    counts[key][slots[here] & ((1 << SLOT_BITS) - 1)] += numbers[here].astype(np.int32)
             waiting.clear()
+            if recount.held > settings.task_bytes:
+                recount.forget()
             return more
 
         def emptied() -> Iterator[pa.RecordBatch]:
@@ -202,20 +225,23 @@ def recounted(documents: DataFrame, rows: list[tuple], settings: DivergenceSetti
             for lang, source, text in zip(batch["lang"].to_pylist(), batch["source"].to_pylist(), batch["text"], strict=True):
                 if lang not in recount.shards:
                     continue
-                terms, found = terms_of(text.as_py()), waiting[lang, source]
-                seen -= len(found)
-                found.update(terms)
-                seen += len(found)
+                terms, known = terms_of(text.as_py()), recount.known[lang]
+                before = len(known)
+                waiting[lang, source].append(np.fromiter(map(known.__getitem__, terms), np.int32, len(terms)))
+                fresh += len(known) - before
+                seen += len(terms)
                 total += len(terms)
-                if seen >= 500_000 or total >= 1 << 30:
-                    held, seen = held + added(), 0
+                if seen >= settings.task_bytes // 32 or fresh >= settings.task_bytes // 128:
+                    held, seen, fresh = held + added(), 0, 0
                     if held >= settings.task_bytes or total >= 1 << 30:
                         yield from emptied()
                         held = total = 0
         added()
         yield from emptied()
 
-    return documents.mapInArrow(counted, "lang string, source string, slot long, n long").groupBy("lang", "source", "slot").agg(F.sum("n").alias("n"))
+    found = documents.mapInArrow(counted, "lang string, source string, slot long, n long")
+    # Hardly a slot comes twice from a task, so that adding up before the shuffle would spare no row.
+    return found.repartition("lang", "source", "slot").groupBy("lang", "source", "slot").agg(F.sum("n").alias("n"))
 
 
 def share(n: Column, total: Column, v: Column) -> Column:

@@ -5,8 +5,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from salesmart.llm import perfect_hash
-from salesmart.llm.divergence import DivergenceSettings, rounds_of, source_divergence, terms_of
+from salesmart.llm import divergence, perfect_hash
+from salesmart.llm.divergence import DivergenceSettings, Recount, kept_terms, recounted, rounds_of, source_divergence, terms_of
 from salesmart.llm.perfect_hash import PerfectHash, built, key_hashes
 
 DOCUMENTS = "doc_id LONG, text STRING, lang STRING, source STRING, term STRING, slot INT, n STRING, p DOUBLE"
@@ -116,3 +116,30 @@ def test_keys_that_share_a_hash_are_found_by_their_text(monkeypatch):
 def test_rounds_hold_all_in_order():
     assert list(rounds_of([3, 3, 3, 10, 1], 6)) == [(0, 1), (2, 2), (3, 3), (4, 4)]
     assert list(rounds_of([], 6)) == []
+
+
+def test_a_term_is_looked_up_once(monkeypatch):
+    keys = [b"one", b"two", b"three"]
+    levels, numbers = built(key_hashes(keys)[:, 1])
+    text = b" ".join(k for _, k in sorted(zip(numbers.tolist(), keys, strict=True))).decode()
+    recount, asked = Recount([("en", 1, 0, levels.sizes, levels.bits, text)]), []
+    monkeypatch.setattr(divergence, "key_hashes", lambda terms: asked.extend(terms) or key_hashes(terms))
+    known = recount.known["en"]
+    assert [known[t] for t in (b"two", b"other", b"two")] == [0, 1, 0]
+    assert recount.slots("en").tolist() == [numbers[1], -1]
+    assert known[b"one"] == 2
+    assert recount.slots("en").tolist() == recount.slots("en").tolist() == [numbers[1], -1, numbers[0]]
+    assert asked == [b"two", b"other", b"one"]
+    recount.forget()
+    assert known is not recount.known["en"] and recount.slots("en").tolist() == []
+
+
+def test_counts_of_tasks_are_added_up_after_the_shuffle_only(spark):
+    """A task's rows are hardly ever of one key: adding them up before they leave spares none."""
+    documents = spark.createDataFrame(corpus(), DOCUMENTS).select("lang", "source", "text")
+    levels, _ = built(key_hashes([b"waa"])[:, 1])
+    counts = recounted(documents, [("en", 1, 0, levels.sizes, levels.bits, "waa")], DivergenceSettings())
+    for found in (kept_terms(documents, DivergenceSettings()), counts):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        between = plan[plan.index("Exchange") : plan.index("MapInArrow")]
+        assert "Aggregate" not in between and plan.count("Exchange") == 1

@@ -71,6 +71,8 @@ def kept_terms(documents: DataFrame, settings: DivergenceSettings) -> DataFrame:
                     yield from emptied()
                     seen = 0
         yield from emptied()
+        # Workers live on: what has been freed goes back to the system.
+        pa.default_memory_pool().release_unused()
 
     return (
         documents.select("lang", "text")
@@ -231,13 +233,14 @@ def recounted(documents: DataFrame, rows: list[tuple], settings: DivergenceSetti
                 fresh += len(known) - before
                 seen += len(terms)
                 total += len(terms)
-                if seen >= settings.task_bytes // 32 or fresh >= settings.task_bytes // 128:
+                if seen >= settings.task_bytes // 32 or fresh >= settings.task_bytes // 256:
                     held, seen, fresh = held + added(), 0, 0
                     if held >= settings.task_bytes or total >= 1 << 30:
                         yield from emptied()
                         held = total = 0
         added()
         yield from emptied()
+        pa.default_memory_pool().release_unused()
 
     found = documents.mapInArrow(counted, "lang string, source string, slot long, n long")
     # Hardly a slot comes twice from a task, so that adding up before the shuffle would spare no row.
@@ -357,7 +360,7 @@ def source_divergence(documents: DataFrame, settings: DivergenceSettings = Diver
     terms of a language).
     """
     spark: SparkSession = documents.sparkSession
-    work = Workspace(spark, "divergence")
+    work = Workspace(spark, "divergence", lean=True)
     docs = documents.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")], "text")
     groups = docs.select("lang", "source").distinct()
     kept = work.stored(kept_terms(docs, settings), "kept")

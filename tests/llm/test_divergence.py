@@ -8,6 +8,7 @@ import pytest
 from salesmart.llm import divergence, perfect_hash
 from salesmart.llm.divergence import DivergenceSettings, Recount, kept_terms, recounted, rounds_of, source_divergence, terms_of
 from salesmart.llm.perfect_hash import PerfectHash, built, key_hashes
+from salesmart.llm.tables import Workspace
 
 DOCUMENTS = "doc_id LONG, text STRING, lang STRING, source STRING, term STRING, slot INT, n STRING, p DOUBLE"
 TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
@@ -143,3 +144,9 @@ def test_counts_of_tasks_are_added_up_after_the_shuffle_only(spark):
         plan = found._jdf.queryExecution().executedPlan().toString()
         between = plan[plan.index("Exchange") : plan.index("MapInArrow")]
         assert "Aggregate" not in between and plan.count("Exchange") == 1
+
+
+def test_texts_are_counted_in_small_batches(spark, monkeypatch):
+    made, init = [], Workspace.__init__
+    monkeypatch.setattr(Workspace, "__init__", lambda self, *a, **b: (init(self, *a, **b), made.append(self.lean))[0])
+    assert source_divergence(spark.createDataFrame(corpus(), DOCUMENTS)).count() and made == [True]
